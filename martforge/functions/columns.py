@@ -19,10 +19,15 @@ def _c(col) -> Column:
 def format_id(prefix: str, width: int, col) -> Column:
     """Zero-padded business id, e.g. ``format_id('ORD', 8, 'k')`` -> ORD_00000042.
 
-    ``format_string`` widens instead of truncating keys longer than the pad
-    (``lpad`` would cut 123456 to 12345).
+    Keys that fit the pad take a codegen-friendly ``lpad`` path; wider or
+    negative keys fall back to ``format_string``, which widens instead of
+    truncating (``lpad`` alone would cut 123456 to 12345).
     """
-    return F.format_string(f"{prefix}_%0{width}d", _c(col))
+    k = _c(col)
+    fits = (k >= 0) & (k < 10 ** width)
+    padded = F.when(fits, F.lpad(k.cast("string"), width, "0")).otherwise(
+        F.format_string(f"%0{width}d", k))
+    return F.concat(F.lit(f"{prefix}_"), padded)
 
 
 def sanitize_id(col) -> Column:

@@ -1,0 +1,23 @@
+"""Join helpers: size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest dimension (rows) that is ever broadcast on the strength of a check.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``dim`` only after counting at most ``max_rows + 1`` of its rows.
+
+    For dimensions whose size has no static bound (distinct values of a
+    column, a calendar spanning the data): a bounded ``limit().count()`` job
+    proves the size; beyond the bound the join is left to the planner
+    (sort-merge join, AQE skew splitting). Used instead of relying on the
+    optimizer's estimate, which for an aggregate is the size of its input,
+    so the fact side is never shuffled just to be read back locally.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim

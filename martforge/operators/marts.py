@@ -2,10 +2,11 @@
 
 Plan notes (checked with ``explain``):
 
-* dimension joins are plain equi joins; the planner broadcasts a dimension
-  only when its measured size is under the broadcast threshold (AQE runtime
-  conversion), otherwise it falls back to a sort-merge join, with AQE
-  splitting skewed partitions;
+* channel and calendar dimensions (no static size bound) are broadcast only
+  after a bounded row count proves them small (``checked_broadcast``); the
+  product dimension is left to the planner: broadcast when its measured size
+  is under the threshold, otherwise a sort-merge join with AQE splitting
+  skewed partitions;
 * ``count(DISTINCT order_id)`` is planned as a two-level aggregate: first
   shuffled on (group keys, order_id), so a hot group is spread by order id;
   the sums are partial (map-side) aggregates;
@@ -18,11 +19,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key, surrogate_key
+from .joins import checked_broadcast
 
 
 def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame) -> DataFrame:
     """fact JOIN dim_channel ON channel_id JOIN dim_product ON product_id (inner)."""
-    ch = dim_channel.select("channel_id", "channel_name")
+    ch = checked_broadcast(dim_channel.select("channel_id", "channel_name"))
     pr = dim_product.select("product_id", "product_name", "category")
     return fact.join(ch, "channel_id", "inner").join(pr, "product_id", "inner")
 
@@ -30,7 +32,7 @@ def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame) -
 def star_join_date(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
                    dim_date: DataFrame) -> DataFrame:
     """Four-way star: + dim_date ON date_key."""
-    dd = dim_date.select("date_key", F.col("date").alias("calendar_date"))
+    dd = checked_broadcast(dim_date.select("date_key", F.col("date").alias("calendar_date")))
     return star_join(fact, dim_channel, dim_product).join(dd, "date_key", "inner")
 
 

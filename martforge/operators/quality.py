@@ -170,12 +170,28 @@ def dq_thresholds(df: DataFrame, key: str, ts: str, as_of: Column,
 
 
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row: min, exact distinct count and non-null count per column."""
-    aggs = []
-    for c in columns:
-        aggs += [F.min(c).alias(f"min_{c}"), F.count_distinct(c).cast("bigint").alias(f"distinct_{c}"),
-                 F.count(c).cast("bigint").alias(f"count_{c}")]
-    return df.agg(F.count(F.lit(1)).cast("bigint").alias("row_count"), *aggs)
+    """Long profile: (column_order, column_name, min_value, distinct_count,
+    non_null_count, row_count) per column.
+
+    One grouped aggregate per column (partial aggregation, then a shuffle of
+    distinct values only), unioned: cheaper than expanding every row once
+    per distinct count in a single multi-distinct aggregate.
+    """
+    parts = []
+    for i, c in enumerate(columns):
+        g = df.groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(g.agg(
+            F.lit(i).alias("column_order"),
+            F.lit(c).alias("column_name"),
+            F.min("v").cast("string").alias("min_value"),
+            F.count("v").cast("bigint").alias("distinct_count"),
+            F.coalesce(F.sum(F.when(F.col("v").isNotNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("non_null_count"),
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_count"),
+        ))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def contract_violations(df: DataFrame, not_null: list[str], primary_key: str | None,

@@ -102,9 +102,11 @@ def dq_thresholds(spark, sf_dir):
 PROFILE_COLS = ["order_id", "product_id", "customer_id", "quantity"]
 
 
-@register("profile_sales", with_ctes(RAW_SALES) + "SELECT CAST(count(*) AS BIGINT) AS row_count, " + ", ".join(
-    f"min({c}) AS min_{c}, CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_{c}, CAST(count({c}) AS BIGINT) AS count_{c}"
-    for c in PROFILE_COLS) + " FROM raw_sales")
+@register("profile_sales", with_ctes(RAW_SALES) + "\nUNION ALL ".join(
+    f"""SELECT {i} AS column_order, '{c}' AS column_name, CAST(min({c}) AS VARCHAR) AS min_value,
+       CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_count, CAST(count({c}) AS BIGINT) AS non_null_count,
+       CAST(count(*) AS BIGINT) AS row_count FROM raw_sales"""
+    for i, c in enumerate(PROFILE_COLS)))
 def profile_sales(spark, sf_dir):
     return quality.profile(model.raw_sales(Tables(spark, sf_dir)), PROFILE_COLS)
 

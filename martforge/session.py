@@ -24,8 +24,11 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Broadcast decision at runtime from measured shuffle sizes (bounded side).
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    # Static broadcast only for inputs whose on-disk size is tiny (nation,
+    # region); every other side is broadcast only when AQE has measured its
+    # materialised size under the runtime threshold, else sort-merge join.
+    "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
 }
 
