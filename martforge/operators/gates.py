@@ -45,6 +45,16 @@ def enforce(decisions: DataFrame) -> list:
     return rows
 
 
+def enforce_checks(checks: DataFrame, what: str = "validation") -> list:
+    """Raise QualityGateError when any (check, ..., passed) row failed."""
+    rows = checks.collect()  # a handful of check rows
+    failed = [r for r in rows if not r["passed"]]
+    if failed:
+        names = ", ".join(str(r[0]) for r in failed)
+        raise QualityGateError(f"{what} failed: {names}")
+    return rows
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Empty input is an error (checked before scoring: an empty batch would
     otherwise pass the pre-transform gate with 5 of 6 checks)."""

@@ -70,6 +70,19 @@ def sales_summary_view(fact: DataFrame, dim_channel: DataFrame, dim_product: Dat
     )
 
 
+def daily_channel_product(fact: DataFrame, qty: str = "quantity", amount: str = "total_amount",
+                          ts: str = "order_date") -> DataFrame:
+    """Channel x product x day totals straight from a curated fact (no dims)."""
+    return (
+        fact.groupBy("channel", "product_id", F.to_date(ts).alias("sales_date"))
+        .agg(
+            F.sum(qty).cast("bigint").alias("total_quantity"),
+            F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total_revenue"),
+            F.countDistinct("order_id").cast("bigint").alias("order_count"),
+        )
+    )
+
+
 # Fixed opening stock of a product at a location before its first movement.
 OPENING_STOCK = 1000
 

@@ -32,8 +32,8 @@ def fct_checks() -> dict[str, Column]:
 
 def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = None) -> DataFrame:
     """raw sales -> curated fact rows: key, load audit, defaults."""
-    df = with_load_audit(raw, batch_ts).withColumn(
-        "sales_key", surrogate_key("order_id", "line_no", "product_id"))
+    key_cols = [c for c in ("order_id", "line_no", "product_id") if c in raw.columns]
+    df = with_load_audit(raw, batch_ts).withColumn("sales_key", surrogate_key(*key_cols))
     df = with_defaults(df, {
         "source_system": F.lit(SOURCE_SYSTEM_DEFAULT),
         "validation_status": F.lit(VALIDATION_STATUS_DEFAULT),

@@ -158,3 +158,19 @@ def test_resumable_ingest_after_failure(spark, scratch):
     ingest.ingest_resumable(spark, src, df.schema, out, f"{base}/_ckpt", fmt="csv",
                             max_files_per_trigger=1, foreach_batch=flaky)
     assert spark.read.parquet(out).count() == 100
+
+
+def test_feed_ingest_new_keys_only(spark, scratch, tmp_path):
+    from martforge.sources import feeds
+    base = scratch("feed")
+    land = tmp_path / "landing"
+    land.mkdir()
+    head = "customer_id,name,email,country,created_date\n"
+    (land / "a.csv").write_text(head + "C1,A,a@x,US,2024-01-01 00:00:00\nC2,B,b@x,DE,2024-01-01 00:00:00\n")
+    feeds.ingest_feed(spark, "erp_customers", str(land), f"{base}/t", f"{base}/_c")
+    (land / "b.csv").write_text(head + "C2,B,b@x,DE,2024-01-01 00:00:00\nC3,C,c@x,FR,2024-01-02 00:00:00\n"
+                                "C3,C,c@x,FR,2024-01-02 00:00:00\n")
+    feeds.ingest_feed(spark, "erp_customers", str(land), f"{base}/t", f"{base}/_c")
+    feeds.ingest_feed(spark, "erp_customers", str(land), f"{base}/t", f"{base}/_c")
+    ids = sorted(r["customer_id"] for r in spark.read.parquet(f"{base}/t").collect())
+    assert ids == ["C1", "C2", "C3"]
