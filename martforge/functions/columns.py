@@ -75,8 +75,8 @@ def hourly(base: str, i) -> Column:
 
 
 def pct(part, total) -> Column:
-    """Percentage with a zero guard (0 when total is 0)."""
-    return F.when(_c(total) > 0, _c(part) * F.lit(100.0) / _c(total)).otherwise(F.lit(0.0))
+    """(part / total) * 100 with a zero guard (0 when total is 0)."""
+    return F.when(_c(total) > 0, (_c(part) / _c(total)) * F.lit(100.0)).otherwise(F.lit(0.0))
 
 
 def file_stem(path) -> Column:

@@ -131,7 +131,8 @@ def suite_error(products: DataFrame, sales: DataFrame) -> str | None:
 
 
 def summary(checks: DataFrame) -> DataFrame:
-    """One row: quality_score (mean of scores, 0 without checks), passed, total."""
+    """Suite-1 form. One row: quality_score = sum(score) / n (0 without
+    checks), passed_checks, total_checks."""
     return checks.agg(
         F.coalesce(F.avg("score"), F.lit(0.0)).cast("double").alias("quality_score"),
         F.count_if(F.col("passed")).cast("bigint").alias("passed_checks"),
@@ -139,6 +140,17 @@ def summary(checks: DataFrame) -> DataFrame:
     )
 
 
+def ratio_summary(checks: DataFrame) -> DataFrame:
+    """Suite-2 form. One row: quality_score = (passed / total) * 100 (0
+    without checks), passed_checks, total_checks. Same value as the mean of
+    100/0 scores up to the last bit, computed in the source's order."""
+    m = checks.agg(F.count_if(F.col("passed")).cast("bigint").alias("passed_checks"),
+                   F.count(F.lit(1)).cast("bigint").alias("total_checks"))
+    score = F.when(F.col("total_checks") > 0,
+                   (F.col("passed_checks") / F.col("total_checks")) * F.lit(100.0)).otherwise(F.lit(0.0))
+    return m.select(score.cast("double").alias("quality_score"), "passed_checks", "total_checks")
+
+
 def dq_thresholds(df: DataFrame, key: str, ts: str, as_of: Column,
                   null_threshold: float = NULL_THRESHOLD,
                   duplicate_threshold: float = DUPLICATE_THRESHOLD,

@@ -53,7 +53,7 @@ CHUNK = 1000
 SELECT chunk_no, CAST(least((chunk_no + 1) * {CHUNK}, total) - chunk_no * {CHUNK} AS BIGINT) AS rows_in_chunk,
        CAST(least((chunk_no + 1) * {CHUNK}, total) AS BIGINT) AS processed_rows,
        CAST(total AS BIGINT) AS total_rows,
-       CASE WHEN total > 0 THEN CAST(least((chunk_no + 1) * {CHUNK}, total) AS DOUBLE) * 100.0 / CAST(total AS DOUBLE)
+       CASE WHEN total > 0 THEN (CAST(least((chunk_no + 1) * {CHUNK}, total) AS DOUBLE) / CAST(total AS DOUBLE)) * 100.0
             ELSE 0.0 END AS completion_percentage
 FROM (SELECT unnest(generate_series(0, CAST(ceil(count(*) / {CHUNK}.0) AS BIGINT) - 1)) AS chunk_no,
              count(*) AS total FROM orders) g""")

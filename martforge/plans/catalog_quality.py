@@ -40,7 +40,7 @@ def _suite2_rows(suite: str, m: str = "m") -> str:
 
 def _scored(rows_sql: str) -> str:
     return f"""SELECT suite, check_order, check_name, passed,
-       CASE WHEN passed THEN 100.0 ELSE 0.0 END AS score, observed
+       CAST(CASE WHEN passed THEN 100.0 ELSE 0.0 END AS DOUBLE) AS score, observed
 FROM ({rows_sql}) x"""
 
 
@@ -184,37 +184,39 @@ def _post_frame(t):
 
 
 def _score_sql(src: str, suite: str) -> str:
-    return f"(SELECT avg(score) FROM ({_scored(_suite2_rows(suite, 'm_' + src))}) s_{src})"
+    rows = _scored(_suite2_rows(suite, 'm_' + src))
+    return (f"(SELECT CASE WHEN count(*) > 0 THEN (count(*) FILTER (WHERE passed) / count(*)) * 100.0 "
+            f"ELSE 0.0 END FROM ({rows}) s_{src})")
 
 
 @register("gate_decisions", with_ctes(RAW_SALES, DIRTY_SALES, PRODUCT_SOURCE,
                                       _suite2_metrics("dirty_sales", "m_dirty_sales")) + f"""
-SELECT 'dimensional_gate' AS gate, CAST(s AS DOUBLE) AS score, 85.0 AS threshold, s >= 85.0 AS passed
+SELECT 'dimensional_gate' AS gate, CAST(s AS DOUBLE) AS score, CAST(85.0 AS DOUBLE) AS threshold, s >= 85.0 AS passed
 FROM (SELECT avg(score) AS s FROM ({_scored(SUITE1_ROWS)}) a)
 UNION ALL
-SELECT 'post_transform_gate', CAST(s AS DOUBLE), 90.0, s >= 90.0
+SELECT 'post_transform_gate', CAST(s AS DOUBLE), CAST(90.0 AS DOUBLE), s >= 90.0
 FROM (SELECT {_score_sql('dirty_sales', 'post')} AS s) b""")
 def gate_decisions(spark, sf_dir):
     t = Tables(spark, sf_dir)
     g1 = gates.gate(quality.summary(_suite1(t)), "dimensional_gate", gates.DIMENSIONAL_GATE)
     _, post = _post_frame(t)
-    g3 = gates.gate(quality.summary(quality.dq_sales(post, "post")), "post_transform_gate",
+    g3 = gates.gate(quality.ratio_summary(quality.dq_sales(post, "post")), "post_transform_gate",
                     gates.POST_TRANSFORM_GATE)
     return g1.unionByName(g3)
 
 
 @register("gate_pre_post", with_ctes(RAW_SALES, DIRTY_SALES,
                                      _suite2_metrics("dirty_sales", "m_dirty_sales")) + f"""
-SELECT 'pre_transform' AS gate, CAST(s AS DOUBLE) AS score, 80.0 AS threshold, s >= 80.0 AS passed
+SELECT 'pre_transform' AS gate, CAST(s AS DOUBLE) AS score, CAST(80.0 AS DOUBLE) AS threshold, s >= 80.0 AS passed
 FROM (SELECT {_score_sql('dirty_sales', 'pre')} AS s) a
 UNION ALL
-SELECT 'post_transform', CAST(s AS DOUBLE), 80.0, s >= 80.0
+SELECT 'post_transform', CAST(s AS DOUBLE), CAST(80.0 AS DOUBLE), s >= 80.0
 FROM (SELECT {_score_sql('dirty_sales', 'post')} AS s) b""")
 def gate_pre_post(spark, sf_dir):
     t = Tables(spark, sf_dir)
     pre, post = _post_frame(t)
-    a = gates.gate(quality.summary(quality.dq_sales(pre, "pre")), "pre_transform", gates.PRE_TRANSFORM_GATE)
-    b = gates.gate(quality.summary(quality.dq_sales(post, "post")), "post_transform", gates.PRE_TRANSFORM_GATE)
+    a = gates.gate(quality.ratio_summary(quality.dq_sales(pre, "pre")), "pre_transform", gates.PRE_TRANSFORM_GATE)
+    b = gates.gate(quality.ratio_summary(quality.dq_sales(post, "post")), "post_transform", gates.PRE_TRANSFORM_GATE)
     return a.unionByName(b)
 
 

@@ -66,9 +66,9 @@ def run_layered(spark: SparkSession, landing: str, warehouse: str, batch_ts: str
     ingest.ingest_resumable(spark, landing, schema, raw_path, f"{warehouse}/_checkpoints/raw", fmt=fmt,
                             max_files_per_trigger=4)
     raw = gates.require_rows(spark.read.schema(schema).parquet(raw_path), "raw layer")
-    gates.enforce(gates.gate(quality.summary(quality.dq_sales(raw)), "pre_transform", gates.PRE_TRANSFORM_GATE))
+    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(raw)), "pre_transform", gates.PRE_TRANSFORM_GATE))
     transformed = transform(raw, batch_ts)
-    gates.enforce(gates.gate(quality.summary(quality.dq_sales(transformed)), "post_transform",
+    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(transformed)), "post_transform",
                              gates.POST_TRANSFORM_GATE))
     staging = writers.replace_table(filters.clean_sales(transformed), f"{warehouse}/staging/sales_clean")
     core = writers.write_partitioned(curated.fct_sales(spark.read.parquet(staging), ts_literal(batch_ts)),

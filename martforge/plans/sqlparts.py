@@ -81,9 +81,9 @@ DATE_SPAN = """date_span AS (
   FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate AS d FROM lineitem))"""
 
 DIM_DATE = f"""dim_date AS (
-  SELECT {date_key('g.date')} AS date_key, g.date, year(g.date) AS year,
-         quarter(g.date) AS quarter, month(g.date) AS month, day(g.date) AS day,
-         dayofweek(g.date) + 1 AS day_of_week,
+  SELECT {date_key('g.date')} AS date_key, g.date, CAST(year(g.date) AS INTEGER) AS year,
+         CAST(quarter(g.date) AS INTEGER) AS quarter, CAST(month(g.date) AS INTEGER) AS month,
+         CAST(day(g.date) AS INTEGER) AS day, CAST(dayofweek(g.date) + 1 AS INTEGER) AS day_of_week,
          CAST(g.date AS TIMESTAMP) AS transaction_time
   FROM (SELECT CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS date
         FROM date_span) g)"""

@@ -39,7 +39,7 @@ def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE):
             n = next(r["observed"] for r in card if r["check_name"] == "row_count_check")
             if not n:
                 return  # empty micro-batch: refused before scoring, nothing to publish
-            score = sum(r["score"] for r in card) / len(card)
+            score = (sum(1 for r in card if r["passed"]) / len(card)) * 100
             passed = score >= threshold
             spark = batch.sparkSession
             card_df = spark.createDataFrame(card, schema=CARD_SCHEMA).withColumn("gate_passed", F.lit(passed))

@@ -11,6 +11,8 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows_key  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+TYPE_MAP = {"string": {"VARCHAR"}, "bigint": {"BIGINT"}, "int": {"INTEGER"}, "double": {"DOUBLE"},
+            "boolean": {"BOOLEAN"}, "date": {"DATE"}, "timestamp_ntz": {"TIMESTAMP"}}
 KEYS = sorted(E.queries())
 
 
@@ -36,5 +38,13 @@ def test_query_matches_oracle(spark, key):
         return
     cols, drows = duck(sql, SF)
     assert sorted(df.columns) == sorted(cols)
+    import duckdb
+    con = duckdb.connect()
+    for t in ("region nation customer supplier part orders lineitem events").split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    rel = con.sql(sql)
+    dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        assert dtypes[f.name] in TYPE_MAP[f.dataType.simpleString()], (f.name, f.dataType, dtypes[f.name])
     assert len(rows) == len(drows)
     assert rows_key(rows, df.columns) == rows_key(drows, cols)

@@ -8,8 +8,8 @@ from martforge.operators import gates, quality
 SALES = "order_id string, product_id string, quantity bigint, unit_price double"
 
 
-def score(df):
-    r = quality.summary(df).first()
+def score(df, suite2=True):
+    r = (quality.ratio_summary(df) if suite2 else quality.summary(df)).first()
     return round(r["quality_score"], 2), r["passed_checks"], r["total_checks"]
 
 
@@ -17,6 +17,8 @@ def test_suite2_dirty_three_rows(spark):
     df = spark.createDataFrame(
         [("ORD001", "PROD1", 1, 10.0), (None, "PROD2", -1, 0.0), ("ORD003", None, 3, 30.0)], SALES)
     assert score(quality.dq_sales(df)) == (33.33, 2, 6)
+    # the source's exact order of operations: (passed / total) * 100
+    assert quality.ratio_summary(quality.dq_sales(df)).first()["quality_score"] == (2 / 6) * 100
 
 
 def test_suite2_all_null_order_refused(spark):
@@ -24,19 +26,19 @@ def test_suite2_all_null_order_refused(spark):
     card = quality.dq_sales(df)
     assert score(card) == (50.0, 3, 6)
     with pytest.raises(gates.QualityGateError):
-        gates.enforce(gates.gate(quality.summary(card), "pre", gates.PRE_TRANSFORM_GATE))
+        gates.enforce(gates.gate(quality.ratio_summary(card), "pre", gates.PRE_TRANSFORM_GATE))
 
 
 def test_suite2_clean(spark):
     df = spark.createDataFrame([("ORD001", "P1", 1, 10.0), ("ORD002", "P2", 2, 20.0)], SALES)
     assert score(quality.dq_sales(df)) == (100.0, 6, 6)
-    gates.enforce(gates.gate(quality.summary(quality.dq_sales(df)), "pre", 80))
+    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(df)), "pre", 80))
 
 
 def test_suite2_empty_frame_passes_80_but_require_rows_refuses(spark):
     df = spark.createDataFrame([], SALES)
     assert score(quality.dq_sales(df)) == (83.33, 5, 6)
-    gates.enforce(gates.gate(quality.summary(quality.dq_sales(df)), "pre", 80))
+    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(df)), "pre", 80))
     with pytest.raises(gates.QualityGateError):
         gates.require_rows(df)
 
@@ -60,13 +62,13 @@ SALES1 = "order_id string, quantity bigint, total_amount double"
 def test_suite1_all_good(spark):
     p = spark.createDataFrame([("P1", "A", "c", 1.0), ("P2", "B", "c", 2.0), ("P3", "C", "c", 3.0)], PRODUCTS)
     s = spark.createDataFrame([("O1", 1, 10.0), ("O2", 2, 20.0), ("O3", 3, 30.0)], SALES1)
-    assert score(quality.dq_dimensional(p, s)) == (100.0, 5, 5)
+    assert score(quality.dq_dimensional(p, s), suite2=False) == (100.0, 5, 5)
 
 
 def test_suite1_failing(spark):
     p = spark.createDataFrame([("P1", "A", "c", 1.0), ("P1", None, "c", 2.0)], PRODUCTS)
     s = spark.createDataFrame([("O1", -2, 10.0), ("O2", 1, -45.0)], SALES1)
-    assert score(quality.dq_dimensional(p, s)) == (20.0, 1, 5)
+    assert score(quality.dq_dimensional(p, s), suite2=False) == (20.0, 1, 5)
     with pytest.raises(gates.QualityGateError):
         gates.enforce(gates.gate(quality.summary(quality.dq_dimensional(p, s)), "dim", 85))
 
@@ -74,7 +76,7 @@ def test_suite1_failing(spark):
 def test_suite1_missing_column_scores_zero(spark):
     p = spark.createDataFrame([("P1", 1.0)], "product_id string, unit_cost double")
     s = spark.createDataFrame([("O1", 1, 10.0)], SALES1)
-    assert score(quality.dq_dimensional(p, s)) == (0.0, 0, 0)
+    assert score(quality.dq_dimensional(p, s), suite2=False) == (0.0, 0, 0)
     assert "product_name" in quality.suite_error(p, s)
 
 
