@@ -23,10 +23,15 @@ from .joins import checked_broadcast
 
 
 def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """fact JOIN dim_channel ON channel_id JOIN dim_product ON product_id (inner)."""
+    """fact JOIN dim_product ON product_id JOIN dim_channel ON channel_id (inner).
+
+    Product first: the fact arrives hash-partitioned on product_id (its cost
+    lookup joined on it), so this join adds no exchange on the fact side;
+    the channel dimension is then a size-checked broadcast.
+    """
     ch = checked_broadcast(dim_channel.select("channel_id", "channel_name"))
     pr = dim_product.select("product_id", "product_name", "category")
-    return fact.join(ch, "channel_id", "inner").join(pr, "product_id", "inner")
+    return fact.join(pr, "product_id", "inner").join(ch, "channel_id", "inner")
 
 
 def star_join_date(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
