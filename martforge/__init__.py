@@ -2,7 +2,7 @@
 
 Layers: ``sources`` (scans, ingest, sinks), ``functions`` (column
 expressions), ``operators`` (DataFrame -> DataFrame building blocks),
-``plans`` (the star model, layered loads, pipelines, registered queries) and
+``plans`` (the star model, layered loads, daily jobs, registered queries) and
 ``streaming`` (Structured Streaming forms).
 """
 

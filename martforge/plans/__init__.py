@@ -1 +1 @@
-"""Plans: the star model, layered loads, pipelines and the query catalog."""
+"""Plans: the star model, layered loads, the daily jobs and the query catalog."""

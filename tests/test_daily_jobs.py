@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martforge.operators import gates
-from martforge.plans import dim_store, pipelines
+from martforge.plans import daily_jobs, dim_store
 from martforge.sources import csv as csv_src
 from martforge.sources import generators
 
@@ -21,13 +21,13 @@ def test_csv_to_dw_and_rerun(spark, scratch):
     base = scratch("dw")
     p, s = _extracts(spark, base)
     wh = f"{base}/wh"
-    out = pipelines.run_csv_to_dw(spark, p, s, wh, "2024-03-01 02:00:00")
+    out = daily_jobs.run_csv_to_dw(spark, p, s, wh, "2024-03-01 02:00:00")
     assert out["dim_product_rows"] == 100 and out["fct_sales_rows"] == 2000 and out["quality_score"] == 100.0
-    again = pipelines.run_csv_to_dw(spark, p, s, wh, "2024-03-01 02:00:00")
+    again = daily_jobs.run_csv_to_dw(spark, p, s, wh, "2024-03-01 02:00:00")
     assert again["fct_sales_rows"] == 2000
     assert spark.read.parquet(f"{wh}/fct_sales").count() == 2000
     # next day: unchanged products keep their version, no duplicate current rows
-    pipelines.run_csv_to_dw(spark, p, s, wh, "2024-03-02 02:00:00")
+    daily_jobs.run_csv_to_dw(spark, p, s, wh, "2024-03-02 02:00:00")
     dim = dim_store.read_current(spark, f"{wh}/dim_product")
     assert dim.count() == 100 and dim.filter("is_current").count() == 100
     assert spark.read.parquet(f"{wh}/fct_sales").count() == 4000
@@ -40,12 +40,12 @@ def test_csv_to_dw_refuses_bad_batch(spark, scratch, tmp_path):
     bad.write_text("order_id,product_id,customer_id,channel,quantity,unit_price,order_date,region,total_amount\n"
                    ",P,C,Retail,-1,1.0,2024-01-01 00:00:00,North,-1.0\n")
     with pytest.raises(gates.QualityGateError):
-        pipelines.run_csv_to_dw(spark, p, str(bad), f"{base}/wh", "2024-03-01 02:00:00")
+        daily_jobs.run_csv_to_dw(spark, p, str(bad), f"{base}/wh", "2024-03-01 02:00:00")
 
 
 def test_layered_pipeline(spark, scratch):
     base = scratch("layers")
     _, s = _extracts(spark, base, 3000)
-    rows = pipelines.run_layered(spark, s, f"{base}/wh", "2024-03-01 02:00:00")
+    rows = daily_jobs.run_layered(spark, s, f"{base}/wh", "2024-03-01 02:00:00")
     got = {r["layer"]: r["rows"] for r in rows}
     assert got["raw"] == 3000 and got["staging"] == 3000 and got["core"] == 3000 and got["mart"] > 0
