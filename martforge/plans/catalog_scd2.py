@@ -33,13 +33,10 @@ DIM_V1 = f"""dim_v1 AS (
   FROM product_source)"""
 
 INCOMING = f"""incoming AS (
-  SELECT printf('PROD_%05d', p_partkey) AS product_id, p_name AS product_name, p_type AS category,
-         p_brand AS brand,
+  SELECT printf('PROD_%05d', CASE WHEN p_partkey % 50 = 0 THEN p_partkey + 1000000 ELSE p_partkey END) AS product_id,
+         p_name AS product_name, p_type AS category, p_brand AS brand,
          CAST(CAST(p_retailprice AS DECIMAL(10,2)) + CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS unit_cost
-  FROM part WHERE p_partkey % 3 = 0
-  UNION ALL
-  SELECT printf('PROD_%05d', p_partkey + 1000000), p_name, p_type, p_brand, CAST(p_retailprice AS DECIMAL(10,2))
-  FROM part WHERE p_partkey % 50 = 0),
+  FROM part),
 inc AS (SELECT *, {sha_of(*ATTRS)} AS record_hash FROM incoming)"""
 
 MERGED = f"""merged AS (

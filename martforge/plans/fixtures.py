@@ -22,8 +22,8 @@ QTY_NULL_MOD = 79
 ORPHAN_MOD = 71
 ORPHAN_SHIFT = 1_000_000
 
-# Fixed SCD-2 change set: products in the batch, price change, new products.
-INCOMING_MOD = 3
+# Fixed SCD-2 change set: every part is in the batch; price change, re-keyed
+# (new) products.
 CHANGE_MOD = 10
 NEW_MOD = 50
 NEW_SHIFT = 1_000_000
@@ -72,26 +72,21 @@ def product_source(t: Tables) -> DataFrame:
 
 
 def incoming_products(t: Tables) -> DataFrame:
-    """Batch of product records: a third of the parts (a tenth with a new
-    cost) plus brand-new products."""
-    p = t.part
-    base = p.filter(F.col("p_partkey") % INCOMING_MOD == 0).select(
-        format_id(*model.PRODUCT_FMT, "p_partkey").alias("product_id"),
+    """Batch of product records: the whole part table, as a daily full
+    extract delivers it. A tenth of the parts arrive with a new cost; a
+    fiftieth arrive under a new id (new products), so their old ids are
+    absent from the batch and must stay current."""
+    key = F.col("p_partkey")
+    rekey = key % NEW_MOD == 0
+    return t.part.select(
+        format_id(*model.PRODUCT_FMT, F.when(rekey, key + NEW_SHIFT).otherwise(key)).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
         F.col("p_brand").alias("brand"),
         (money("p_retailprice", 10, 2)
-         + F.when(F.col("p_partkey") % CHANGE_MOD == 0, F.lit(1)).otherwise(F.lit(0))
+         + F.when(key % CHANGE_MOD == 0, F.lit(1)).otherwise(F.lit(0))
          ).cast("decimal(10,2)").alias("unit_cost"),
     )
-    new = p.filter(F.col("p_partkey") % NEW_MOD == 0).select(
-        format_id(*model.PRODUCT_FMT, F.col("p_partkey") + NEW_SHIFT).alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        money("p_retailprice", 10, 2).alias("unit_cost"),
-    )
-    return base.unionByName(new)
 
 
 def product_supplier_changes(t: Tables) -> DataFrame:
