@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import filters, marts
 from ..operators.conform import with_audit
 from ..sources.tables import Tables
-from ..sources.writers import replace_table, write_partitioned
+from ..sources.writers import replace_table
 from . import model
 
 LAYER_TABLES = (
@@ -38,8 +38,9 @@ def load_layers(spark: SparkSession, t: Tables, raw: DataFrame, base: str, batch
     channels = model.dim_channel(t)
     replace_table(products, layer_path(base, "core", "dim_product"))
     replace_table(channels, layer_path(base, "core", "dim_channel"))
-    write_partitioned(model.fact_sales(t, products), p["core"], "transaction_time",
-                      ["channel_id", "product_id", "customer_id"])
+    # The core fact has no partition clause in its DDL (only the curated fact
+    # is day-partitioned): one plain table, no folder per day.
+    replace_table(model.fact_sales(t, products), p["core"])
     core_fact = spark.read.parquet(p["core"])
     summary = marts.sales_summary(core_fact, spark.read.parquet(layer_path(base, "core", "dim_channel")),
                                   spark.read.parquet(layer_path(base, "core", "dim_product")))

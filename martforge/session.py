@@ -55,7 +55,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL settings the operators assume (idempotent)."""
-    for k, v in ENGINE_CONF.items():
+    conf = dict(ENGINE_CONF)
+    # Listing a day-partitioned table: Spark's default runs one listing task
+    # per folder (up to 10,000 tasks). The cluster's own parallelism (its core
+    # count) lists the same folders in one wave of tasks.
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = str(
+        max(1, spark.sparkContext.defaultParallelism))
+    for k, v in conf.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked settings stay as the cluster set them
