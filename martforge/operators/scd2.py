@@ -56,14 +56,27 @@ def current_rows(dim: DataFrame) -> DataFrame:
     return dim.filter(F.col("is_current"))
 
 
+def duplicate_keys(incoming: DataFrame, key: str = PRODUCT_KEY, sample: int = 5) -> list:
+    """Up to ``sample`` business keys that occur more than once in a batch
+    (a partial count per key, then a bounded take)."""
+    dup = incoming.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    return [r[key] for r in dup.select(key).limit(sample).collect()]
+
+
 def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: Column, key: str = PRODUCT_KEY,
-               attrs=PRODUCT_ATTRS, surrogate: str = SURROGATE) -> DataFrame:
+               attrs=PRODUCT_ATTRS, surrogate: str = SURROGATE, order_cols=None) -> DataFrame:
     """Apply one batch of records to a type-2 dimension.
 
     unchanged -> kept; changed -> old version closed at ``batch_ts`` plus a
     new current version; new key -> inserted; key absent from the batch ->
-    kept current. ``incoming`` must hold one row per key.
+    kept current. ``incoming`` must hold one row per key; when a feed can
+    repeat a key, ``order_cols`` names the order whose last record per key
+    is the one applied (a partial aggregate, see ``dedup_latest``).
     """
+    if order_cols:
+        from .ordering import dedup_latest
+        incoming = dedup_latest(incoming.select(key, *attrs, *[c for c in order_cols if c not in attrs]),
+                                [key], list(order_cols))
     cols = _dim_columns(key, attrs, surrogate)
     cur = current_rows(dim).select(*cols)
     hist = dim.filter(~F.col("is_current")).select(*cols)

@@ -48,16 +48,28 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def apply_batch(spark: SparkSession, base: str, incoming: DataFrame, batch_ts: Column,
-                batch_id: str) -> str:
-    """Merge ``incoming`` into the current version; returns the version path."""
+                batch_id: str, order_cols=None) -> str:
+    """Merge ``incoming`` into the current version; returns the version path.
+
+    A batch repeating a business key is refused unless ``order_cols`` says
+    which of its records is the latest.
+    """
     target = f"{base}/{VERSION_PREFIX}{batch_id}"
     versions = committed_versions(spark, base)
     if batch_id in versions:
         return target  # already applied
+    if not order_cols:
+        dups = scd2.duplicate_keys(incoming, scd2.PRODUCT_KEY)
+        if dups:
+            raise ValueError(f"batch {batch_id} repeats product ids, e.g. {dups}; pass order_cols")
     prev = current_path(spark, base)
     if prev is None:
+        if order_cols:
+            from ..operators.ordering import dedup_latest
+            incoming = dedup_latest(incoming, [scd2.PRODUCT_KEY], list(order_cols))
         dim = scd2.scd2_initial(incoming, batch_ts)
     else:
-        dim = scd2.scd2_merge(spark.read.schema(DIM_PRODUCT).parquet(prev), incoming, batch_ts)
+        dim = scd2.scd2_merge(spark.read.schema(DIM_PRODUCT).parquet(prev), incoming, batch_ts,
+                              order_cols=order_cols)
     dim.select(*scd2.DIM_COLUMNS).write.mode("overwrite").partitionBy("is_current").parquet(target)
     return target

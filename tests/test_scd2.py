@@ -65,3 +65,23 @@ def test_asof_half_open_and_left(spark):
     assert inner == {"2024-02-29 23:59:59": "v1", "2024-03-01 00:00:00": "v2", "2025-06-01 00:00:00": "v2"}
     left = scd2.asof_join(f, v, "product_id", "ts", how="left").collect()
     assert len(left) == 5 and sum(r["ver"] is None for r in left) == 2
+
+
+def test_merge_repeated_key_takes_latest(spark):
+    v1 = scd2.scd2_initial(_src(spark, [("P1", "A", "x", "b", 1.0)]), ts_literal("2024-01-01 00:00:00"))
+    inc = _src(spark, [("P1", "A", "x", "b", 5.0), ("P1", "A", "x", "b", 7.0), ("P1", "A", "x", "b", 6.0)])
+    inc = inc.withColumn("seq", F.monotonically_increasing_id())
+    assert scd2.duplicate_keys(inc) == ["P1"]
+    merged = scd2.scd2_merge(v1, inc, ts_literal("2024-02-01 00:00:00"), order_cols=["seq"]).collect()
+    cur = [r for r in merged if r["is_current"]]
+    assert len(merged) == 2 and len(cur) == 1 and float(cur[0]["unit_cost"]) == 6.0
+
+
+def test_apply_batch_refuses_repeated_key(spark, scratch):
+    import pytest
+    from martforge.plans import dim_store
+    base = scratch("dimstore")
+    inc = _src(spark, [("P1", "A", "x", "b", 1.0), ("P1", "A", "x", "b", 2.0)])
+    with pytest.raises(ValueError, match="repeats product ids"):
+        dim_store.apply_batch(spark, base, inc, ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000")
+    assert dim_store.current_path(spark, base) is None
