@@ -18,6 +18,14 @@ def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     (sort-merge join, AQE skew splitting). Used instead of relying on the
     optimizer's estimate, which for an aggregate is the size of its input,
     so the fact side is never shuffled just to be read back locally.
+
+    The dimension is persisted for the check, so the broadcast reads the
+    rows the check computed instead of scanning its source again; past the
+    bound it is released.
     """
+    dim = dim.persist()
     n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    if n <= max_rows:
+        return F.broadcast(dim)
+    dim.unpersist()
+    return dim

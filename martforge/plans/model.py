@@ -152,10 +152,21 @@ def dim_location(t: Tables) -> DataFrame:
 
 
 def dim_date(span: DataFrame) -> DataFrame:
-    """Date dimension from a one-row (start_date, end_date) frame."""
-    days = span.select(
-        F.explode(F.sequence(F.col("start_date"), F.col("end_date"), F.expr("INTERVAL 1 DAY"))).alias("date")
-    )
+    """Date dimension from a one-row (start_date, end_date) frame.
+
+    The span is one row, read on the driver; the calendar is then a
+    distributed ``range`` of day offsets from the start. Its size (end -
+    start + 1 days) is known by arithmetic before any join decides to
+    broadcast it, and the span's scan is not repeated by later uses.
+    """
+    spark = span.sparkSession
+    row = span.first()
+    if row is None or row["start_date"] is None:
+        days = spark.range(0).select(F.lit(None).cast("date").alias("date"))
+    else:
+        n_days = (row["end_date"] - row["start_date"]).days + 1
+        start = F.lit(row["start_date"].isoformat()).cast("date")
+        days = spark.range(n_days).select(F.date_add(start, F.col("id").cast("int")).alias("date"))
     return days.select(
         date_key("date").alias("date_key"),
         "date",
