@@ -40,6 +40,11 @@ def batch_id(ts) -> Column:
     return F.concat(F.lit("batch_"), F.date_format(_c(ts), "yyyyMMdd_HHmmss"))
 
 
+def batch_id_text(batch_ts: str) -> str:
+    """Driver-side twin of ``batch_id`` for a batch time given as text."""
+    return "batch_" + batch_ts.replace("-", "").replace(":", "").replace(" ", "_").replace("T", "_")[:15]
+
+
 def ts_literal(ts: str) -> Column:
     """Wall-clock literal (``timestamp_ntz``; the warehouse has no zones)."""
     return F.lit(ts).cast("timestamp_ntz")

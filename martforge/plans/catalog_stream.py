@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import ts_literal
+from ..operators import scd2
 from ..session import scratch_path
 from ..sources import ingest
 from ..sources.tables import Tables
 from ..streaming import batches, runner, windows
-from . import model
-from .registry import register
+from . import dim_store, fixtures, model
+from .catalog_scd2 import DIM_OUT, DIM_V1, INCOMING, MERGED, PRODUCT_SOURCE, V1
+from .registry import BATCH_TS, register, with_ctes
 
 BUCKET = "time_bucket(INTERVAL '2 hours', ts)"
 TUMBLING_SQL = f"""
@@ -64,3 +67,21 @@ def stream_dq_per_batch(spark, sf_dir):
     runner.run_foreach_batch(s, batches.scored_publisher(base), f"{base}/_checkpoint")
     cards = spark.read.parquet(f"{base}/scorecards")
     return cards.select("epoch_id", "check_order", "check_name", "passed", "score", "observed", "gate_passed")
+
+
+@register("stream_scd2_apply", with_ctes(PRODUCT_SOURCE, DIM_V1, INCOMING, MERGED) + f"SELECT {DIM_OUT} FROM merged")
+def stream_scd2_apply(spark, sf_dir):
+    """Two daily product extracts land one after the other (the whole part
+    table, then the change batch), each stamped with its snapshot time; a
+    streaming run after each landing applies the new files to the versioned
+    type-2 dimension. The result is the dimension's current version."""
+    t = Tables(spark, sf_dir)
+    base = scratch_path(spark, "stream-scd2")
+    land, dim, ckpt = f"{base}/landing", f"{base}/dim_product", f"{base}/_checkpoint"
+    for snap, extract in ((V1, fixtures.product_source(t)), (BATCH_TS, fixtures.incoming_products(t))):
+        landed = extract.withColumn("extracted_at", ts_literal(snap))
+        schema = landed.schema
+        ingest.land_files(landed, land, 4, ["product_id"], mode="append")
+        runner.run_foreach_batch(runner.read_landed(spark, land, schema), batches.scd2_applier(dim), ckpt)
+    out = dim_store.read_current(spark, dim)
+    return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)

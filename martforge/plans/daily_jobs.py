@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ts_literal
+from ..functions.columns import batch_id_text, ts_literal
 from ..operators import conform, filters, gates, marts, quality
 from ..schemas import RAW_PRODUCTS_CSV, RAW_SALES_CSV
 from ..sources import csv as csv_src
@@ -26,10 +26,6 @@ from ..sources import ingest, writers
 from . import curated, dim_store
 
 
-def batch_id_text(batch_ts: str) -> str:
-    return "batch_" + batch_ts.replace("-", "").replace(":", "").replace(" ", "_")[:15]
-
-
 def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, warehouse: str,
                   batch_ts: str) -> dict:
     bts = ts_literal(batch_ts)

@@ -17,9 +17,11 @@ from pyspark.sql.types import StructType
 from ..functions.columns import pct
 
 
-def land_files(df: DataFrame, path: str, n_files: int, order_cols, fmt: str = "parquet") -> str:
-    """Write ``df`` as about ``n_files`` range-ordered files (a landing folder)."""
-    w = df.repartitionByRange(n_files, *order_cols).sortWithinPartitions(*order_cols).write.mode("overwrite")
+def land_files(df: DataFrame, path: str, n_files: int, order_cols, fmt: str = "parquet",
+               mode: str = "overwrite") -> str:
+    """Write ``df`` as about ``n_files`` range-ordered files (a landing folder;
+    ``mode='append'`` adds a new delivery next to the files already landed)."""
+    w = df.repartitionByRange(n_files, *order_cols).sortWithinPartitions(*order_cols).write.mode(mode)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

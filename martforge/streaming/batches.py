@@ -1,4 +1,4 @@
-"""Per-micro-batch scorecard, gate and publish.
+"""Per-micro-batch scorecard, gate and publish; per-micro-batch SCD-2 apply.
 
 Each micro-batch is scored with the sales suite (one aggregate), the gate
 decision is taken on the driver from the one-row summary, and:
@@ -11,6 +11,12 @@ decision is taken on the driver from the one-row summary, and:
 All three writes use dynamic partition overwrite keyed by the epoch, so a
 replayed epoch (after a failure between write and commit) replaces its own
 output instead of duplicating it.
+
+``scd2_applier`` applies product extracts to the versioned type-2 dimension
+(``plans.dim_store``). Each extract carries its snapshot time; a micro-batch
+applies the snapshots it holds in time order, one dimension version per
+snapshot, named by the snapshot's batch id. A replayed epoch finds its
+versions committed and skips them.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, quality
 
 
@@ -48,3 +55,20 @@ def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE):
         finally:
             batch.unpersist()
     return apply
+
+
+def scd2_applier(dim_base: str, snapshot_col: str = "extracted_at"):
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        from ..plans import dim_store
+        batch = batch.persist()
+        try:
+            spark = batch.sparkSession
+            # distinct snapshot times of this micro-batch: one per landed extract
+            snaps = sorted(r[0] for r in batch.select(snapshot_col).distinct().collect())
+            for ts in snaps:
+                text = ts.isoformat(sep=" ")
+                rows = batch.filter(F.col(snapshot_col) == ts_literal(text)).drop(snapshot_col)
+                dim_store.apply_batch(spark, dim_base, rows, ts_literal(text), batch_id_text(text))
+        finally:
+            batch.unpersist()
+    return apply
