@@ -34,7 +34,7 @@ def for_all(pred: Column) -> Column:
     return F.coalesce(F.bool_and(F.coalesce(pred, F.lit(False))), F.lit(True))
 
 
-def _long(metrics: DataFrame, suite: str, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+def _long(metrics: DataFrame, suite: str, checks: list[tuple[str, Column, Column]], by=()) -> DataFrame:
     if not checks:
         return metrics.sparkSession.createDataFrame(
             [], "suite string, check_order int, check_name string, passed boolean, score double, observed double")
@@ -47,16 +47,21 @@ def _long(metrics: DataFrame, suite: str, checks: list[tuple[str, Column, Column
         )
         for i, (name, passed, observed) in enumerate(checks, start=1)
     ])
-    out = metrics.select(F.inline(arr))
+    out = metrics.select(*by, F.inline(arr))
     return out.select(
-        F.lit(suite).alias("suite"), "check_order", "check_name", "passed",
+        *by, F.lit(suite).alias("suite"), "check_order", "check_name", "passed",
         F.when(F.col("passed"), F.lit(100.0)).otherwise(F.lit(0.0)).alias("score"),
         "observed",
     )
 
 
-def dq_sales(df: DataFrame, suite: str = "sales") -> DataFrame:
-    """Suite 2: up to six checks, each only when its column exists."""
+def dq_sales(df: DataFrame, suite: str = "sales", by=()) -> DataFrame:
+    """Suite 2: up to six checks, each only when its column exists.
+
+    ``by``: score every group (e.g. every delivery of a micro-batch) on its
+    own, in the same single aggregate.
+    """
+    by = list(by)
     cols = set(df.columns)
     aggs = [F.count(F.lit(1)).alias("n")]
     if "order_id" in cols:
@@ -70,7 +75,7 @@ def dq_sales(df: DataFrame, suite: str = "sales") -> DataFrame:
     if "unit_price" in cols:
         lo, hi = UNIT_PRICE_RANGE
         aggs.append(for_all((F.col("unit_price") >= lo) & (F.col("unit_price") <= hi)).alias("price_ok"))
-    m = df.agg(*aggs)
+    m = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
     n = F.col("n")
     checks = [("row_count_check", (n >= ROW_COUNT_MIN) & (n <= ROW_COUNT_MAX), n)]
     if "order_id" in cols:
@@ -83,7 +88,7 @@ def dq_sales(df: DataFrame, suite: str = "sales") -> DataFrame:
         checks.append(("unit_price_range_check", F.col("price_ok"), F.col("price_ok").cast("int")))
     if "order_id" in cols:
         checks.append(("order_id_unique", F.col("oid_distinct") == n, F.col("oid_distinct")))
-    return _long(m, suite, checks)
+    return _long(m, suite, checks, by)
 
 
 SUITE1_PRODUCT_COLS = ("product_id", "product_name")

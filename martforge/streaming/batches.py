@@ -5,8 +5,8 @@ decision is taken on the driver from the one-row summary, and:
 
 * the batch's scorecard rows are written to ``<base>/scorecards`` in the
   partition ``epoch_id=<n>``;
-* a passing batch is published to ``<base>/published`` in its own epoch
-  partition; a refused one to ``<base>/quarantine``.
+* a passing batch (or delivery) is published to ``<base>/published`` in its
+  own epoch partition; a refused one to ``<base>/quarantine``.
 
 All three writes use dynamic partition overwrite keyed by the epoch, so a
 replayed epoch (after a failure between write and commit) replaces its own
@@ -38,20 +38,37 @@ def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
      .partitionBy("epoch_id").parquet(path))
 
 
-def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE):
+def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE, delivery_col: str | None = None):
+    """Without ``delivery_col`` the whole micro-batch is one scored unit.
+    With it, every delivery in the micro-batch is scored and gated on its own
+    (one grouped aggregate), so one trigger can carry many deliveries; the
+    scorecards then carry the delivery, whatever epoch processed it."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            card = quality.dq_sales(batch, "stream_batch").collect()  # six rows
-            n = next(r["observed"] for r in card if r["check_name"] == "row_count_check")
-            if not n:
-                return  # empty micro-batch: refused before scoring, nothing to publish
-            score = (sum(1 for r in card if r["passed"]) / len(card)) * 100
-            passed = score >= threshold
+            by = [delivery_col] if delivery_col else []
+            rows = quality.dq_sales(batch, "stream_batch", by).collect()  # six rows per delivery
+            units: dict = {}
+            for r in rows:
+                units.setdefault(r[delivery_col] if delivery_col else None, []).append(r)
+            cards, passed, refused = [], [], []
+            for unit, checks in units.items():
+                n = next(r["observed"] for r in checks if r["check_name"] == "row_count_check")
+                if not n:
+                    continue  # empty micro-batch: refused before scoring, nothing to publish
+                ok = (sum(1 for r in checks if r["passed"]) / len(checks)) * 100 >= threshold
+                (passed if ok else refused).append(unit)
+                cards += [(*tuple(r), ok) for r in checks]
+            if not cards:
+                return
             spark = batch.sparkSession
-            card_df = spark.createDataFrame(card, schema=CARD_SCHEMA).withColumn("gate_passed", F.lit(passed))
+            key_schema = f"{delivery_col} {batch.schema[delivery_col].dataType.simpleString()}, " if by else ""
+            card_df = spark.createDataFrame(cards, schema=key_schema + CARD_SCHEMA + ", gate_passed boolean")
             _write_epoch(card_df, f"{base}/scorecards", epoch_id)
-            _write_epoch(batch, f"{base}/published" if passed else f"{base}/quarantine", epoch_id)
+            for units_, folder in ((passed, "published"), (refused, "quarantine")):
+                if units_:
+                    part = batch.filter(F.col(delivery_col).isin(units_)) if by else batch
+                    _write_epoch(part, f"{base}/{folder}", epoch_id)
         finally:
             batch.unpersist()
     return apply

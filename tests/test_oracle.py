@@ -16,9 +16,8 @@ TYPE_MAP = {"string": {"VARCHAR"}, "bigint": {"BIGINT"}, "int": {"INTEGER"}, "do
 KEYS = sorted(E.queries())
 
 
-def test_every_key_has_oracle_or_is_declared_rows_only():
-    rows_only = set(KEYS) - set(E.oracle_sql())
-    assert rows_only == {"stream_dq_per_batch"}
+def test_every_key_has_oracle():
+    assert set(KEYS) == set(E.oracle_sql())
 
 
 def test_entry_runs(spark):

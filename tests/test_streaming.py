@@ -80,3 +80,23 @@ def test_scd2_applier_orders_snapshots_and_replays(spark, scratch):
     batches.scd2_applier(dim)(spark.read.parquet(land), 0)
     assert dim_store.committed_versions(spark, dim) == ["batch_20240101_000000", "batch_20240102_000000"]
     assert dim_store.read_current(spark, dim).count() == 4
+
+
+def test_scored_publisher_gates_each_delivery(spark, scratch):
+    from martforge.streaming import batches
+
+    base = scratch("stream-dq")
+    land = f"{base}/landing"
+    good = [(f"O{i}", "P1", 2, 10.0, 1) for i in range(5)]
+    bad = [(None, "P1", 2, 10.0, 2), ("O9", None, -1, 10.0, 2), ("O9", "P2", 2, 10.0, 2)]
+    df = spark.createDataFrame(good + bad, "order_id string, product_id string, quantity bigint, "
+                                           "unit_price double, delivery bigint")
+    ingest.land_files(df, land, 1, ["delivery", "order_id"])
+    s = runner.read_landed(spark, land, df.schema)
+    runner.run_foreach_batch(s, batches.scored_publisher(base, delivery_col="delivery"), f"{base}/_ckpt")
+    cards = spark.read.parquet(f"{base}/scorecards").collect()
+    gate = {r["delivery"]: r["gate_passed"] for r in cards}
+    assert gate == {1: True, 2: False}
+    assert sum(1 for r in cards if r["delivery"] == 2 and r["passed"]) == 2  # row count, price range
+    assert sorted(r["delivery"] for r in spark.read.parquet(f"{base}/published").collect()) == [1] * 5
+    assert spark.read.parquet(f"{base}/quarantine").count() == 3
