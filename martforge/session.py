@@ -12,6 +12,7 @@ Runtime settings the engine relies on:
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -69,6 +70,53 @@ def apply_engine_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffle and scan sizing (bytes of compressed input per task).
+SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+LARGE_INPUT_BYTES = 1 << 40
+SCAN_SPLIT_BYTES = 128 * 1024 * 1024
+LARGE_SCAN_SPLIT_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes under ``path`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def size_for_input(spark: SparkSession, n_bytes: int) -> int:
+    """Size shuffles and scans for an input of ``n_bytes``.
+
+    * initial shuffle partitions (before AQE coalesces them) = input /
+      128 MB, in whole waves of the cluster's cores, at most 100,000: a
+      100 TB input starts with ~100,000 partitions of about 1 GB of input
+      each, which AQE splits no further but never lets one task hold more;
+      a small input keeps one partition per core;
+    * AQE coalesces toward 128 MB per partition (also the size skewed
+      partitions are split into);
+    * scans read 128 MB splits, 256 MB past 1 TiB of input (half the tasks).
+
+    Returns the initial shuffle partition count.
+    """
+    cores = max(1, spark.sparkContext.defaultParallelism)
+    want = math.ceil(max(0, n_bytes) / SHUFFLE_TARGET_BYTES)
+    n = min(MAX_SHUFFLE_PARTITIONS, max(cores, math.ceil(want / cores) * cores))
+    conf = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TARGET_BYTES),
+    }
+    conf["spark.sql.files.maxPartitionBytes"] = str(
+        LARGE_SCAN_SPLIT_BYTES if n_bytes >= LARGE_INPUT_BYTES else SCAN_SPLIT_BYTES)
+    for k, v in conf.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # locked by the cluster
+            pass
+    return n
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
