@@ -13,19 +13,19 @@ def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """Broadcast ``dim`` only after counting at most ``max_rows + 1`` of its rows.
 
     For dimensions whose size has no static bound (distinct values of a
-    column, a calendar spanning the data): a bounded ``limit().count()`` job
-    proves the size; beyond the bound the join is left to the planner
-    (sort-merge join, AQE skew splitting). Used instead of relying on the
-    optimizer's estimate, which for an aggregate is the size of its input,
-    so the fact side is never shuffled just to be read back locally.
-
-    The dimension is persisted for the check, so the broadcast reads the
-    rows the check computed instead of scanning its source again; past the
-    bound it is released.
+    column, a calendar spanning the data): the first ``max_rows + 1`` rows
+    are written as a reliable checkpoint in the shared checkpoint folder and
+    counted. At most ``max_rows`` means that checkpoint is the whole
+    dimension: it is broadcast from there, so the dimension's source is
+    scanned once and nothing is left cached (a cache would keep serving old
+    rows after the source files change). Beyond the bound the join is left
+    to the planner (sort-merge join, AQE skew splitting). Used instead of
+    the optimizer's estimate, which for an aggregate is the size of its
+    input, so the fact side is never shuffled just to be read back locally.
     """
-    dim = dim.persist()
-    n = dim.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(dim)
-    dim.unpersist()
+    from ..session import shared_dir
+    shared_dir(dim.sparkSession)  # the checkpoint folder the cluster names (set only in tests)
+    head = dim.limit(max_rows + 1).checkpoint(eager=True)
+    if head.count() <= max_rows:
+        return F.broadcast(head)
     return dim

@@ -132,11 +132,12 @@ def shared_dir(spark: SparkSession) -> str:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="martforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        sc.setCheckpointDir(d)
         try:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:
             pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)  # DataFrame.checkpoint() writes under the same shared folder
     return d.rstrip("/")
 
 
