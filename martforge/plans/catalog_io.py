@@ -39,7 +39,8 @@ def ingest_resumable(spark, sf_dir):
     parquet; a second run over the same checkpoint adds nothing."""
     orders = Tables(spark, sf_dir).orders
     base = scratch_path(spark, "ingest")
-    src = ingest.land_files(orders, f"{base}/landing", 8, ["o_orderkey"], fmt="csv")
+    # several files (at least 8, more as the data grows), two per micro-batch
+    src = ingest.land_files(orders, f"{base}/landing", ingest.session_files(spark, 8), ["o_orderkey"], fmt="csv")
     for _ in range(2):  # second run: resume finds every file committed
         ingest.ingest_resumable(spark, src, orders.schema, f"{base}/out", f"{base}/_checkpoint",
                                 fmt="csv", max_files_per_trigger=2)
@@ -173,7 +174,7 @@ def ingest_feed_incremental(spark, sf_dir):
     existing_path = writers.replace_table(o.filter(F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00")),
                                           f"{base}/table")
     feed_path = ingest.land_files(o.filter(F.col("o_orderdate") >= ts_literal("1997-01-01 00:00:00")),
-                                  f"{base}/landing", 4, ["o_orderkey"])
+                                  f"{base}/landing", None, ["o_orderkey"])
     existing = spark.read.parquet(existing_path)
     feed = spark.read.schema(o.schema).parquet(feed_path)
     return ingest.incremental_union(existing, feed, ["o_orderkey"])

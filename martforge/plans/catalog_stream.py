@@ -30,8 +30,8 @@ def tumbling_2h(spark, sf_dir):
 def _land_events(spark, sf_dir, name):
     ev = Tables(spark, sf_dir).events
     base = scratch_path(spark, name)
-    # one time-ordered file: a single micro-batch, so no row is late by file order
-    ingest.land_files(ev, f"{base}/landing", 1, ["ts"])
+    # time-ordered files, read in one micro-batch: no row is late by file order
+    ingest.land_files(ev, f"{base}/landing", None, ["ts"])
     return ev.schema, base
 
 
@@ -91,7 +91,7 @@ def stream_dq_per_batch(spark, sf_dir):
     raw = model.raw_sales(Tables(spark, sf_dir)).withColumn("delivery", F.year("order_date").cast("bigint"))
     base = scratch_path(spark, "stream-dq")
     land = f"{base}/landing"
-    ingest.land_files(raw, land, 8, ["delivery", "order_id", "line_no"])
+    ingest.land_files(raw, land, None, ["delivery", "order_id", "line_no"])
     runner.run_foreach_batch(runner.read_landed(spark, land, raw.schema),
                              batches.scored_publisher(base, delivery_col="delivery"), f"{base}/_checkpoint")
     cards = spark.read.parquet(f"{base}/scorecards")
@@ -110,7 +110,7 @@ def stream_scd2_apply(spark, sf_dir):
     for snap, extract in ((V1, fixtures.product_source(t)), (BATCH_TS, fixtures.incoming_products(t))):
         landed = extract.withColumn("extracted_at", ts_literal(snap))
         schema = landed.schema
-        ingest.land_files(landed, land, 4, ["product_id"], mode="append")
+        ingest.land_files(landed, land, None, ["product_id"], mode="append")
         runner.run_foreach_batch(runner.read_landed(spark, land, schema), batches.scd2_applier(dim), ckpt)
     out = dim_store.read_current(spark, dim)
     return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)

@@ -17,11 +17,26 @@ from pyspark.sql.types import StructType
 from ..functions.columns import pct
 
 
-def land_files(df: DataFrame, path: str, n_files: int, order_cols, fmt: str = "parquet",
+def session_files(spark: SparkSession, at_least: int = 1) -> int:
+    """A file count that grows with the data: the session's initial shuffle
+    partitions (sized from the input by ``size_for_input``), at least ``at_least``."""
+    conf = spark.conf
+    n = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or \
+        conf.get("spark.sql.shuffle.partitions")
+    return max(at_least, int(n))
+
+
+def land_files(df: DataFrame, path: str, n_files: int | None, order_cols, fmt: str = "parquet",
                mode: str = "overwrite") -> str:
-    """Write ``df`` as about ``n_files`` range-ordered files (a landing folder;
-    ``mode='append'`` adds a new delivery next to the files already landed)."""
-    w = df.repartitionByRange(n_files, *order_cols).sortWithinPartitions(*order_cols).write.mode(mode)
+    """Write ``df`` as range-ordered files (a landing folder; ``mode='append'``
+    adds a new delivery next to the files already landed).
+
+    ``n_files=None`` lets the file count follow the data: range partitions
+    sized by the session (``size_for_input``) and coalesced by AQE, so no
+    file, and no writer task, holds more than about one shuffle partition.
+    """
+    r = (df.repartitionByRange(n_files, *order_cols) if n_files else df.repartitionByRange(*order_cols))
+    w = r.sortWithinPartitions(*order_cols).write.mode(mode)
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
