@@ -31,6 +31,10 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # The distributed row index reads one range exchange twice (per-partition
+    # counts and tagged rows); reuse makes both one shuffle with one set of
+    # range bounds, so positions agree.
+    "spark.sql.exchange.reuse": "true",
 }
 
 
