@@ -28,8 +28,6 @@ from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, quality
 
 
-CARD_SCHEMA = ("suite string, check_order int, check_name string, passed boolean, "
-               "score double, observed double")
 
 
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
@@ -40,37 +38,34 @@ def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
 
 def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE, delivery_col: str | None = None):
     """Without ``delivery_col`` the whole micro-batch is one scored unit.
-    With it, every delivery in the micro-batch is scored and gated on its own
-    (one grouped aggregate), so one trigger can carry many deliveries; the
-    scorecards then carry the delivery, whatever epoch processed it."""
+    With it, every delivery in the micro-batch is scored and gated on its own,
+    so one trigger can carry many deliveries; the scorecards then carry the
+    delivery, whatever epoch processed it.
+
+    All of it is distributed: the scorecard is one grouped aggregate, the
+    gate decision one aggregate over the scorecard (one row per unit), and
+    rows reach ``published`` or ``quarantine`` through a join with the
+    decisions. An empty micro-batch has no unit and writes nothing.
+    """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
+        unit = F.col(delivery_col) if delivery_col else F.lit(0)
+        rows = batch.withColumn("_unit", unit).persist()
         try:
-            by = [delivery_col] if delivery_col else []
-            rows = quality.dq_sales(batch, "stream_batch", by).collect()  # six rows per delivery
-            units: dict = {}
-            for r in rows:
-                units.setdefault(r[delivery_col] if delivery_col else None, []).append(r)
-            cards, passed, refused = [], [], []
-            for unit, checks in units.items():
-                n = next(r["observed"] for r in checks if r["check_name"] == "row_count_check")
-                if not n:
-                    continue  # empty micro-batch: refused before scoring, nothing to publish
-                ok = (sum(1 for r in checks if r["passed"]) / len(checks)) * 100 >= threshold
-                (passed if ok else refused).append(unit)
-                cards += [(*tuple(r), ok) for r in checks]
-            if not cards:
-                return
-            spark = batch.sparkSession
-            key_schema = f"{delivery_col} {batch.schema[delivery_col].dataType.simpleString()}, " if by else ""
-            card_df = spark.createDataFrame(cards, schema=key_schema + CARD_SCHEMA + ", gate_passed boolean")
-            _write_epoch(card_df, f"{base}/scorecards", epoch_id)
-            for units_, folder in ((passed, "published"), (refused, "quarantine")):
-                if units_:
-                    part = batch.filter(F.col(delivery_col).isin(units_)) if by else batch
-                    _write_epoch(part, f"{base}/{folder}", epoch_id)
+            card = quality.dq_sales(rows, "stream_batch", ["_unit"]).persist()  # six rows per unit
+            decision = card.groupBy("_unit").agg(
+                ((F.count_if("passed") / F.count(F.lit(1))) * F.lit(100.0) >= F.lit(float(threshold)))
+                .alias("gate_passed"))
+            scored = card.join(decision, "_unit")
+            scored = (scored.withColumnRenamed("_unit", delivery_col) if delivery_col
+                      else scored.drop("_unit"))
+            _write_epoch(scored, f"{base}/scorecards", epoch_id)
+            routed = rows.join(decision, "_unit")
+            for passed, folder in ((True, "published"), (False, "quarantine")):
+                part = routed.filter(F.col("gate_passed") == F.lit(passed)).drop("_unit", "gate_passed")
+                _write_epoch(part, f"{base}/{folder}", epoch_id)
+            card.unpersist()
         finally:
-            batch.unpersist()
+            rows.unpersist()
     return apply
 
 
