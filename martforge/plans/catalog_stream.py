@@ -112,5 +112,5 @@ def stream_scd2_apply(spark, sf_dir):
         schema = landed.schema
         ingest.land_files(landed, land, None, ["product_id"], mode="append")
         runner.run_foreach_batch(runner.read_landed(spark, land, schema), batches.scd2_applier(dim), ckpt)
-    out = dim_store.read_current(spark, dim)
+    out = dim_store.read_dimension(spark, dim)
     return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)

@@ -41,7 +41,7 @@ def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, ware
         fct = curated.fct_sales(sales, bts, F.lit(decision["score"]))
         fct_path = writers.append_batch(fct, f"{warehouse}/fct_sales")
         loaded = spark.read.parquet(fct_path).filter(F.col("batch_id") == bid)
-        dim_now = dim_store.read_current(spark, f"{warehouse}/dim_product").filter(F.col("is_current"))
+        dim_now = dim_store.read_current(spark, f"{warehouse}/dim_product")
         summary = gates.load_summary(dim_now, loaded, card, bts)
         gates.enforce_checks(gates.validate_warehouse(summary), "warehouse validation")
         return summary.first().asDict()

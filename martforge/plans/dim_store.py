@@ -1,16 +1,26 @@
 """Versioned storage of the type-2 dimension (no MERGE on parquet).
 
-Each applied batch writes the complete new dimension to a NEW folder
-``<base>/v=<batch_id>`` (partitioned by ``is_current`` so readers of current
-rows prune the history), and the newest committed folder is the current
-version. A batch already applied is detected by its folder and skipped, so
-re-running a load is a no-op; a failed write leaves no ``_SUCCESS`` marker
-and is ignored by readers.
+Each applied batch writes ONE new folder ``<base>/v=<batch_id>``, partitioned
+by ``is_current``:
+
+* ``is_current=true``  - the complete current set after the batch;
+* ``is_current=false`` - only the versions this batch closed.
+
+A batch reads and merges the current rows of the newest version only; the
+history is never read or rewritten, so a batch costs the size of the current
+set, not of the whole history. The full dimension is the closed rows of every
+committed version plus the current rows of the newest one.
+
+A batch already applied is detected by its folder and skipped, so re-running
+a load is a no-op; a failed write leaves no ``_SUCCESS`` marker, and
+uncommitted folders are ignored by readers.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import scd2
 from ..schemas import DIM_PRODUCT
@@ -43,13 +53,28 @@ def current_path(spark: SparkSession, base: str) -> str | None:
 
 
 def read_current(spark: SparkSession, base: str) -> DataFrame | None:
+    """Current rows of the newest committed version."""
     p = current_path(spark, base)
-    return spark.read.schema(DIM_PRODUCT).parquet(p) if p else None
+    return spark.read.schema(DIM_PRODUCT).parquet(p).filter(F.col("is_current")) if p else None
+
+
+def read_dimension(spark: SparkSession, base: str) -> DataFrame | None:
+    """The full dimension: closed versions of every committed batch plus the
+    current rows of the newest (one scan over the version folders, pruned on
+    ``v`` and ``is_current``)."""
+    versions = committed_versions(spark, base)
+    if not versions:
+        return None
+    schema = StructType([*DIM_PRODUCT.fields, StructField("v", StringType())])
+    df = (spark.read.schema(schema).option("basePath", base)
+          .parquet(*[f"{base}/{VERSION_PREFIX}{v}" for v in versions]))
+    keep = ~F.col("is_current") | (F.col("v") == F.lit(versions[-1]))
+    return df.filter(keep).drop("v")
 
 
 def apply_batch(spark: SparkSession, base: str, incoming: DataFrame, batch_ts: Column,
                 batch_id: str, order_cols=None) -> str:
-    """Merge ``incoming`` into the current version; returns the version path.
+    """Merge ``incoming`` into the current rows; returns the new version path.
 
     A batch repeating a business key is refused unless ``order_cols`` says
     which of its records is the latest.
@@ -62,14 +87,15 @@ def apply_batch(spark: SparkSession, base: str, incoming: DataFrame, batch_ts: C
         dups = scd2.duplicate_keys(incoming, scd2.PRODUCT_KEY)
         if dups:
             raise ValueError(f"batch {batch_id} repeats product ids, e.g. {dups}; pass order_cols")
-    prev = current_path(spark, base)
-    if prev is None:
+    current = read_current(spark, base)
+    if current is None:
         if order_cols:
             from ..operators.ordering import dedup_latest
             incoming = dedup_latest(incoming, [scd2.PRODUCT_KEY], list(order_cols))
         dim = scd2.scd2_initial(incoming, batch_ts)
     else:
-        dim = scd2.scd2_merge(spark.read.schema(DIM_PRODUCT).parquet(prev), incoming, batch_ts,
-                              order_cols=order_cols)
+        # current rows only: the output is the new current set plus the rows
+        # this batch closes; older history stays where it is
+        dim = scd2.scd2_merge(current, incoming, batch_ts, order_cols=order_cols)
     dim.select(*scd2.DIM_COLUMNS).write.mode("overwrite").partitionBy("is_current").parquet(target)
     return target

@@ -28,7 +28,7 @@ def test_csv_to_dw_and_rerun(spark, scratch):
     assert spark.read.parquet(f"{wh}/fct_sales").count() == 2000
     # next day: unchanged products keep their version, no duplicate current rows
     daily_jobs.run_csv_to_dw(spark, p, s, wh, "2024-03-02 02:00:00")
-    dim = dim_store.read_current(spark, f"{wh}/dim_product")
+    dim = dim_store.read_dimension(spark, f"{wh}/dim_product")
     assert dim.count() == 100 and dim.filter("is_current").count() == 100
     assert spark.read.parquet(f"{wh}/fct_sales").count() == 4000
 

@@ -85,3 +85,23 @@ def test_apply_batch_refuses_repeated_key(spark, scratch):
     with pytest.raises(ValueError, match="repeats product ids"):
         dim_store.apply_batch(spark, base, inc, ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000")
     assert dim_store.current_path(spark, base) is None
+
+
+def test_store_writes_history_once(spark, scratch):
+    from martforge.plans import dim_store
+    base = scratch("dimstore-hist")
+    days = [("2024-01-01 00:00:00", "batch_20240101_000000", [("P1", "A", 1.0), ("P2", "B", 2.0)]),
+            ("2024-01-02 00:00:00", "batch_20240102_000000", [("P1", "A", 1.0), ("P2", "B", 2.5)]),
+            ("2024-01-03 00:00:00", "batch_20240103_000000", [("P1", "A", 1.5), ("P2", "B", 2.5)])]
+    for ts, bid, rows in days:
+        rows = [(p, n, "x", "b", c) for p, n, c in rows]
+        dim_store.apply_batch(spark, base, _src(spark, rows), ts_literal(ts), bid)
+    # the third version holds the full current set and only the row it closed
+    from martforge.schemas import DIM_PRODUCT
+    v3 = spark.read.schema(DIM_PRODUCT).parquet(f"{base}/v=batch_20240103_000000")
+    assert v3.filter("is_current").count() == 2
+    assert [(r["product_id"], float(r["unit_cost"])) for r in v3.filter("NOT is_current").collect()] == [("P1", 1.0)]
+    full = dim_store.read_dimension(spark, base).collect()
+    assert sorted((r["product_id"], float(r["unit_cost"]), r["is_current"]) for r in full) == [
+        ("P1", 1.0, False), ("P1", 1.5, True), ("P2", 2.0, False), ("P2", 2.5, True)]
+    assert dim_store.read_current(spark, base).count() == 2

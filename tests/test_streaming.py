@@ -73,13 +73,13 @@ def test_scd2_applier_orders_snapshots_and_replays(spark, scratch):
     stream = runner.read_landed(spark, land, spark.read.parquet(land).schema)
     runner.run_foreach_batch(stream, batches.scd2_applier(dim), f"{base}/_ckpt")
     assert dim_store.committed_versions(spark, dim) == ["batch_20240101_000000", "batch_20240102_000000"]
-    rows = dim_store.read_current(spark, dim).collect()
+    rows = dim_store.read_dimension(spark, dim).collect()
     cur = {r["product_id"]: float(r["unit_cost"]) for r in rows if r["is_current"]}
     assert cur == {"P1": 1.5, "P2": 2.0, "P3": 3.0} and len(rows) == 4
     # a replayed epoch (same batch applied again) writes no new version
     batches.scd2_applier(dim)(spark.read.parquet(land), 0)
     assert dim_store.committed_versions(spark, dim) == ["batch_20240101_000000", "batch_20240102_000000"]
-    assert dim_store.read_current(spark, dim).count() == 4
+    assert dim_store.read_dimension(spark, dim).count() == 4
 
 
 def test_scored_publisher_gates_each_delivery(spark, scratch):
