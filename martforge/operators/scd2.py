@@ -139,17 +139,16 @@ def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
 
     Versions must not overlap per key, so every fact matches at most once.
     """
-    cap = facts.agg(F.max(fact_ts).alias("m")).first()["m"]  # one scalar
+    # the facts' last time, as a scalar subquery in the same plan (no job of
+    # its own; the facts' exchanges can be shared with the join below): open
+    # versions are expanded only up to it. No facts -> NULL -> no versions.
+    cap = facts.agg(F.max(fact_ts)).scalar()
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    if cap is None:
-        vexp = versions.withColumn("_b", F.lit(None).cast("timestamp_ntz")).limit(0)
-    else:
-        cap_lit = F.lit(str(cap)).cast("timestamp_ntz")
-        last = F.least(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"), cap_lit)
-        v = versions.filter((F.col(eff) <= cap_lit) & (F.col(end) > F.col(eff)))
-        vexp = v.withColumn("_b", F.explode(F.sequence(
-            F.date_trunc(bucket, F.col(eff)).cast("timestamp_ntz"),
-            F.date_trunc(bucket, last).cast("timestamp_ntz"), step)))
+    last = F.least(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"), cap)
+    v = versions.filter((F.col(eff) <= cap) & (F.col(end) > F.col(eff)))
+    vexp = v.withColumn("_b", F.explode(F.sequence(
+        F.date_trunc(bucket, F.col(eff)).cast("timestamp_ntz"),
+        F.date_trunc(bucket, last).cast("timestamp_ntz"), step)))
     f = facts.withColumn("_b", F.date_trunc(bucket, F.col(fact_ts)).cast("timestamp_ntz"))
     vk = vexp.withColumnRenamed(key, "_vk")
     cond = ((f[key] == vk["_vk"]) & (f["_b"] == vk["_b"]) &
