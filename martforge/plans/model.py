@@ -39,14 +39,19 @@ def order_headers(t: Tables) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey")
 
 
-def sales_lines(t: Tables) -> DataFrame:
-    """Sale lines with business ids, exact money and times (no region)."""
+def _line_headers(t: Tables) -> DataFrame:
+    """lineitem joined to its order header; keys still numeric."""
     li = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate",
     )
     h = order_headers(t)
-    j = li.join(h, li.l_orderkey == h.o_orderkey, "inner")
+    return li.join(h, li.l_orderkey == h.o_orderkey, "inner")
+
+
+def sales_lines(t: Tables) -> DataFrame:
+    """Sale lines with business ids, exact money and times (no region)."""
+    j = _line_headers(t)
     return j.select(
         format_id(*ORDER_FMT, "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -203,10 +208,34 @@ def with_margin(df: DataFrame) -> DataFrame:
 
 
 def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
-    """Core sales fact: lines + product cost -> money chain, keys, date key."""
-    lines = sales_lines(t)
+    """Core sales fact: lines + product cost -> money chain, keys, date key.
+
+    The lines cross the product shuffle with numeric order, customer and
+    supplier keys; their text ids are formatted after the join, so the
+    widest exchange of the fact carries one text key (the product id it is
+    partitioned on, which the mart's product-name join reuses).
+    """
+    lines = _line_headers(t).select(
+        "l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "c_mktsegment", "l_quantity",
+        "l_extendedprice", "l_discount", "l_shipdate",
+        format_id(*PRODUCT_FMT, "l_partkey").alias("product_id"),
+    )
     prods = (products if products is not None else dim_product(t)).select("product_id", "cost_price")
-    j = with_margin(lines.join(prods, "product_id", "inner"))
+    j = lines.join(prods, "product_id", "inner").select(
+        format_id(*ORDER_FMT, "l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line_no"),
+        "product_id",
+        format_id(*CUSTOMER_FMT, "o_custkey").alias("customer_id"),
+        format_id(*LOCATION_FMT, "l_suppkey").alias("location_id"),
+        F.col("c_mktsegment").alias("channel"),
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        money("l_extendedprice", 12, 2).alias("total_amount"),
+        money("l_discount", 4, 2).alias("discount_rate"),
+        F.col("l_shipdate").alias("transaction_time"),
+        "cost_price",
+    )
+    j = with_margin(j)
     return j.select(
         surrogate_key("order_id", "line_no", "product_id").alias("sales_id"),
         date_key("transaction_time").alias("date_key"),
