@@ -49,6 +49,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of lineage cuts are removed once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
