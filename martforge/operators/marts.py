@@ -22,28 +22,32 @@ from ..functions.columns import date_key, surrogate_key
 from .joins import checked_broadcast
 
 
-def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame) -> DataFrame:
-    """fact JOIN dim_product ON product_id JOIN dim_channel ON channel_id (inner).
-
-    Product first: the fact arrives hash-partitioned on product_id (its cost
-    lookup joined on it), so this join adds no exchange on the fact side;
-    the channel dimension is then a size-checked broadcast.
+def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+              product_key: str = "product_id") -> DataFrame:
+    """fact JOIN dim_product ON product key JOIN dim_channel ON channel_id (inner).
+
+    Product first: the fact arrives hash-partitioned on the product key (its
+    cost lookup joined on it), so this join adds no exchange on the fact
+    side; the channel dimension is then a size-checked broadcast.
+    ``product_key`` may be a numeric source key both sides carry: it sorts
+    on an 8-byte prefix, where text ids with a common prefix do not.
     """
     ch = checked_broadcast(dim_channel.select("channel_id", "channel_name"))
-    pr = dim_product.select("product_id", "product_name", "category")
-    return fact.join(pr, "product_id", "inner").join(ch, "channel_id", "inner")
+    pr = dim_product.select(product_key, "product_name", "category")
+    return fact.join(pr, product_key, "inner").join(ch, "channel_id", "inner")
 
 
 def star_join_date(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
-                   dim_date: DataFrame) -> DataFrame:
+                   dim_date: DataFrame, product_key: str = "product_id") -> DataFrame:
     """Four-way star: + dim_date ON date_key."""
     dd = checked_broadcast(dim_date.select("date_key", F.col("date").alias("calendar_date")))
-    return star_join(fact, dim_channel, dim_product).join(dd, "date_key", "inner")
+    return star_join(fact, dim_channel, dim_product, product_key).join(dd, "date_key", "inner")
 
 
-def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame) -> DataFrame:
+def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+                  product_key: str = "product_id") -> DataFrame:
     """Flagship mart: channel x product name x category x day."""
-    j = star_join(fact, dim_channel, dim_product)
+    j = star_join(fact, dim_channel, dim_product, product_key)
     return (
         j.groupBy("channel_name", "product_name", "category",
                   F.to_date("transaction_time").alias("sales_date"))
@@ -57,13 +61,13 @@ def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFram
 
 
 def sales_summary_view(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
-                       dim_date: DataFrame) -> DataFrame:
+                       dim_date: DataFrame, product_key: str = "product_id") -> DataFrame:
     """The view form: through the date dimension, no order count.
 
     The sales day is taken from the fact's transaction time (the calendar
     table has no transaction time of its own).
     """
-    j = star_join_date(fact, dim_channel, dim_product, dim_date)
+    j = star_join_date(fact, dim_channel, dim_product, dim_date, product_key)
     return (
         j.groupBy("channel_name", "product_name", "category",
                   F.to_date("transaction_time").alias("sales_date"))

@@ -34,7 +34,8 @@ GROUP BY dc.channel_name, dp.product_name, dp.category, CAST(fs.transaction_time
 def mart_sales_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
     products = model.dim_product(t)
-    return marts.sales_summary(model.fact_sales(t, products), model.dim_channel(t), products)
+    return marts.sales_summary(model.fact_sales(t, products), model.dim_channel(t), products,
+                               model.PRODUCT_JOIN_KEY)
 
 
 @register("mart_sales_summary_view", with_ctes(*FACT_CORE, DIM_CHANNEL, DATE_SPAN, DIM_DATE) + """
@@ -53,7 +54,7 @@ def mart_sales_summary_view(spark, sf_dir):
     t = Tables(spark, sf_dir)
     products = model.dim_product(t)
     return marts.sales_summary_view(model.fact_sales(t, products), model.dim_channel(t), products,
-                                    model.dim_date(model.data_date_span(t)))
+                                    model.dim_date(model.data_date_span(t)), model.PRODUCT_JOIN_KEY)
 
 
 @register("star_join", with_ctes(*FACT_CORE, DIM_CHANNEL) + """
@@ -66,7 +67,7 @@ JOIN dim_product dp ON fs.product_id = dp.product_id
 def star_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
     products = model.dim_product(t)
-    j = marts.star_join(model.fact_sales(t, products), model.dim_channel(t), products)
+    j = marts.star_join(model.fact_sales(t, products), model.dim_channel(t), products, model.PRODUCT_JOIN_KEY)
     return j.select("sales_id", "channel_name", "product_name", "category",
                     F.col("net_amount").cast("double").alias("net_amount"))
 
@@ -82,7 +83,7 @@ def star_join_date(spark, sf_dir):
     t = Tables(spark, sf_dir)
     products = model.dim_product(t)
     j = marts.star_join_date(model.fact_sales(t, products), model.dim_channel(t), products,
-                             model.dim_date(model.data_date_span(t)))
+                             model.dim_date(model.data_date_span(t)), model.PRODUCT_JOIN_KEY)
     return j.select("sales_id", "channel_name", "product_name", "calendar_date", "date_key")
 
 

@@ -43,7 +43,8 @@ def load_layers(spark: SparkSession, t: Tables, raw: DataFrame, base: str, batch
     replace_table(model.fact_sales(t, products), p["core"])
     core_fact = spark.read.parquet(p["core"])
     summary = marts.sales_summary(core_fact, spark.read.parquet(layer_path(base, "core", "dim_channel")),
-                                  spark.read.parquet(layer_path(base, "core", "dim_product")))
+                                  spark.read.parquet(layer_path(base, "core", "dim_product")),
+                                  model.PRODUCT_JOIN_KEY)
     replace_table(summary, p["mart"])
     return layer_counts(spark, base)
 

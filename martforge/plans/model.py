@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from ..functions.columns import date_key, format_id, money, surrogate_key, ts_literal
 from ..sources.tables import Tables
 
+# Numeric source key of a product (the part key) that the product dimension
+# and the sales fact both carry: the fact's product joins run on it.
+PRODUCT_JOIN_KEY = "product_source_key"
+
 # Fixed id formats of the model (prefix, zero-pad width).
 ORDER_FMT = ("ORD", 8)
 PRODUCT_FMT = ("PROD", 5)
@@ -118,6 +122,7 @@ def dim_product(t: Tables) -> DataFrame:
         F.col("p_brand").alias("brand"),
         money("p_retailprice", 10, 2).alias("cost_price"),
         F.lit(True).alias("is_active"),
+        F.col("p_partkey").alias(PRODUCT_JOIN_KEY),
     )
 
 
@@ -210,21 +215,20 @@ def with_margin(df: DataFrame) -> DataFrame:
 def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
     """Core sales fact: lines + product cost -> money chain, keys, date key.
 
-    The lines cross the product shuffle with numeric order, customer and
-    supplier keys; their text ids are formatted after the join, so the
-    widest exchange of the fact carries one text key (the product id it is
-    partitioned on, which the mart's product-name join reuses).
+    The lines cross the product shuffle with numeric keys only, partitioned
+    and sorted on the numeric product source key (which the mart's
+    product-name join reuses); text ids are formatted after the join.
     """
     lines = _line_headers(t).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "c_mktsegment", "l_quantity",
-        "l_extendedprice", "l_discount", "l_shipdate",
-        format_id(*PRODUCT_FMT, "l_partkey").alias("product_id"),
+        "l_extendedprice", "l_discount", "l_shipdate", F.col("l_partkey").alias(PRODUCT_JOIN_KEY),
     )
-    prods = (products if products is not None else dim_product(t)).select("product_id", "cost_price")
-    j = lines.join(prods, "product_id", "inner").select(
+    prods = (products if products is not None else dim_product(t)).select(PRODUCT_JOIN_KEY, "cost_price")
+    j = lines.join(prods, PRODUCT_JOIN_KEY, "inner").select(
         format_id(*ORDER_FMT, "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
-        "product_id",
+        format_id(*PRODUCT_FMT, PRODUCT_JOIN_KEY).alias("product_id"),
+        PRODUCT_JOIN_KEY,
         format_id(*CUSTOMER_FMT, "o_custkey").alias("customer_id"),
         format_id(*LOCATION_FMT, "l_suppkey").alias("location_id"),
         F.col("c_mktsegment").alias("channel"),
@@ -252,4 +256,5 @@ def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
         "cost_amount",
         "profit_amount",
         "transaction_time",
+        PRODUCT_JOIN_KEY,
     )
