@@ -10,6 +10,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from martforge.operators import marts, scd2
 
@@ -156,3 +157,18 @@ def test_history_hot_key(spark):
     got_t = sorted((r.product_id, pd.Timestamp(r.effective_date), r.supplier_id, pd.Timestamp(r.end_date))
                    for r in got.itertuples())
     assert got_t == sorted(want)
+
+
+def test_checked_broadcast_bound(spark):
+    from martforge.operators.joins import checked_broadcast
+    fact = spark.range(5000).select((F.col("id") % 50).alias("k"), "id")
+    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).distinct()
+    with large_plan(spark):
+        small = fact.join(checked_broadcast(dim, max_rows=100), "k")
+        assert small.count() == 5000
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        big = fact.join(checked_broadcast(dim, max_rows=10), "k")  # past the bound: no broadcast
+        assert big.count() == 5000
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
