@@ -103,7 +103,8 @@ def stream_scd2_apply(spark, sf_dir):
     """Two daily product extracts land one after the other (the whole part
     table, then the change batch), each stamped with its snapshot time; a
     streaming run after each landing applies the new files to the versioned
-    type-2 dimension. The result is the dimension's current version."""
+    type-2 dimension. The result is the full dimension (closed and current
+    versions), the same rows as the batch merge."""
     t = Tables(spark, sf_dir)
     base = scratch_path(spark, "stream-scd2")
     land, dim, ckpt = f"{base}/landing", f"{base}/dim_product", f"{base}/_checkpoint"

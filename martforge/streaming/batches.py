@@ -1,7 +1,8 @@
 """Per-micro-batch scorecard, gate and publish; per-micro-batch SCD-2 apply.
 
-Each micro-batch is scored with the sales suite (one aggregate), the gate
-decision is taken on the driver from the one-row summary, and:
+Each micro-batch (or each delivery in it) is scored with the sales suite in
+one grouped aggregate, the gate decision is one more aggregate over that
+scorecard, and:
 
 * the batch's scorecard rows are written to ``<base>/scorecards`` in the
   partition ``epoch_id=<n>``;
@@ -28,8 +29,6 @@ from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, quality
 
 
-
-
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
     (df.withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
