@@ -96,17 +96,20 @@ def daily_channel_product(fact: DataFrame, qty: str = "quantity", amount: str =
 OPENING_STOCK = 1000
 
 
-def inventory_daily(txn: DataFrame) -> DataFrame:
+INVENTORY_KEYS = ("product_id", "location_id")
+
+
+def inventory_daily(txn: DataFrame, keys=INVENTORY_KEYS) -> DataFrame:
     """Daily roll-up per (day, product, location) of typed movements.
 
-    ``txn`` columns: product_id, location_id, txn_time, movement
-    ('received' | 'sold' | 'adjusted'), quantity. Partial aggregate, so a hot
-    product is combined map-side before the shuffle.
+    ``txn`` columns: the two ``keys`` (product, location), txn_time,
+    movement ('received' | 'sold' | 'adjusted'), quantity. Partial
+    aggregate, so a hot product is combined map-side before the shuffle.
     """
     q = F.col("quantity")
     m = F.col("movement")
     return (
-        txn.groupBy(F.to_date("txn_time").alias("inventory_date"), "product_id", "location_id")
+        txn.groupBy(F.to_date("txn_time").alias("inventory_date"), *keys)
         .agg(
             F.sum(F.when(m == "received", q).otherwise(F.lit(0))).cast("bigint").alias("quantity_received"),
             F.sum(F.when(m == "sold", q).otherwise(F.lit(0))).cast("bigint").alias("quantity_sold"),
@@ -115,14 +118,14 @@ def inventory_daily(txn: DataFrame) -> DataFrame:
     )
 
 
-def roll_forward(daily: DataFrame, opening: int = OPENING_STOCK) -> DataFrame:
+def roll_forward(daily: DataFrame, opening: int = OPENING_STOCK, keys=INVENTORY_KEYS) -> DataFrame:
     """closing = opening + received - sold + adjusted; opening = previous closing.
 
     A running sum per (product, location) ordered by day. The window sees one
     row per calendar day of that pair (the input is already at day grain), so
     its size is bounded by the calendar, not by the data volume.
     """
-    w = (Window.partitionBy("product_id", "location_id").orderBy("inventory_date")
+    w = (Window.partitionBy(*keys).orderBy("inventory_date")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     net = F.col("quantity_received") - F.col("quantity_sold") + F.col("quantity_adjusted")
     return (
@@ -133,11 +136,22 @@ def roll_forward(daily: DataFrame, opening: int = OPENING_STOCK) -> DataFrame:
     )
 
 
-def fact_inventory(txn: DataFrame, products: DataFrame, opening: int = OPENING_STOCK) -> DataFrame:
-    """Core inventory fact: daily roll-up, roll-forward, stock value at unit cost."""
-    rolled = roll_forward(inventory_daily(txn), opening)
-    cost = products.select("product_id", "cost_price")
-    j = rolled.join(cost, "product_id", "left")
+def fact_inventory(txn: DataFrame, products: DataFrame, opening: int = OPENING_STOCK,
+                   keys=INVENTORY_KEYS, ids: dict | None = None) -> DataFrame:
+    """Core inventory fact: daily roll-up, roll-forward, stock value at unit cost.
+
+    ``keys``: the product and location key columns of ``txn`` (``products``
+    carries the same product key). Numeric source keys keep the roll-up's
+    shuffle and the window's sort on 8-byte prefixes; ``ids`` then gives the
+    columns that turn them into the output ids ``product_id`` and
+    ``location_id`` (by default the keys are the ids).
+    """
+    product_key = keys[0]
+    rolled = roll_forward(inventory_daily(txn, keys), opening, keys)
+    cost = products.select(product_key, "cost_price")
+    j = rolled.join(cost, product_key, "left")
+    if ids:
+        j = j.withColumns(ids)
     return j.select(
         surrogate_key("product_id", "location_id", "inventory_date").alias("inventory_id"),
         date_key("inventory_date").alias("date_key"),

@@ -237,4 +237,5 @@ FROM rolled r LEFT JOIN dim_product p ON r.product_id = p.product_id
 """)
 def fact_inventory(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return marts.fact_inventory(fixtures.inventory_transactions(t), model.dim_product(t))
+    return marts.fact_inventory(fixtures.inventory_transactions(t), model.dim_product(t),
+                                keys=fixtures.INVENTORY_KEYS, ids=fixtures.inventory_ids())

@@ -100,12 +100,25 @@ def product_supplier_changes(t: Tables) -> DataFrame:
 
 
 def inventory_transactions(t: Tables) -> DataFrame:
-    """Stock movements: returned lines are receipts, the rest are sales."""
+    """Stock movements: returned lines are receipts, the rest are sales.
+    Keyed by the numeric source keys of product and location."""
     li = t.lineitem
     return li.select(
-        format_id(*model.PRODUCT_FMT, "l_partkey").alias("product_id"),
-        format_id(*model.LOCATION_FMT, "l_suppkey").alias("location_id"),
+        F.col("l_partkey").alias(model.PRODUCT_JOIN_KEY),
+        F.col("l_suppkey").alias(LOCATION_SOURCE_KEY),
         F.col("l_shipdate").alias("txn_time"),
         F.when(F.col("l_returnflag") == "R", F.lit("received")).otherwise(F.lit("sold")).alias("movement"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
     )
+
+
+LOCATION_SOURCE_KEY = "location_source_key"
+INVENTORY_KEYS = (model.PRODUCT_JOIN_KEY, LOCATION_SOURCE_KEY)
+
+
+def inventory_ids() -> dict:
+    """Output ids of the inventory fact from its numeric keys."""
+    return {
+        "product_id": format_id(*model.PRODUCT_FMT, model.PRODUCT_JOIN_KEY),
+        "location_id": format_id(*model.LOCATION_FMT, LOCATION_SOURCE_KEY),
+    }
