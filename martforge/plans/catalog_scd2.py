@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.columns import record_hash, surrogate_key, ts_literal
+from ..functions.columns import format_id, record_hash, surrogate_key, ts_literal
 from ..operators import scd2
 from ..sources.tables import Tables
 from . import fixtures, model
@@ -126,15 +126,22 @@ history AS (
   FROM kept)"""
 
 
-def _history(t):
-    return scd2.scd2_history(fixtures.product_supplier_changes(t), "product_id", "change_time",
+def _history_by_key(t):
+    """Versions keyed by the numeric product source key: the history window
+    and the as-of join sort on it (text ids share their first 8 bytes)."""
+    return scd2.scd2_history(fixtures.product_supplier_changes(t), model.PRODUCT_JOIN_KEY, "change_time",
                              ["supplier_id"], grain="day")
 
 
+def _product_id():
+    return format_id(*model.PRODUCT_FMT, model.PRODUCT_JOIN_KEY).alias("product_id")
+
+
 @register("scd2_history", with_ctes(HISTORY) + f"""
 SELECT product_id, effective_date, supplier_id, end_date, end_date = TIMESTAMP '{OPEN}' AS is_current FROM history""")
 def scd2_history(spark, sf_dir):
-    return _history(Tables(spark, sf_dir))
+    h = _history_by_key(Tables(spark, sf_dir))
+    return h.select(_product_id(), "effective_date", "supplier_id", "end_date", "is_current")
 
 
 @register("asof_product_version", with_ctes(ORDER_HEADERS, LINES, HISTORY) + """
@@ -143,7 +150,10 @@ FROM lines l JOIN history h
   ON l.product_id = h.product_id AND l.order_date >= h.effective_date AND l.order_date < h.end_date""")
 def asof_product_version(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    facts = model.sales_lines(t).select("order_id", "line_no", "product_id", "order_date")
-    versions = _history(t).select("product_id", "effective_date", "end_date", "supplier_id")
-    j = scd2.asof_join(facts, versions, "product_id", "order_date")
-    return j.select("order_id", "line_no", "product_id", "order_date", "supplier_id", "effective_date")
+    facts = model.line_headers(t).select(
+        "l_orderkey", F.col("l_linenumber").alias("line_no"), F.col("l_partkey").alias(model.PRODUCT_JOIN_KEY),
+        F.col("o_orderdate").alias("order_date"))
+    versions = _history_by_key(t).select(model.PRODUCT_JOIN_KEY, "effective_date", "end_date", "supplier_id")
+    j = scd2.asof_join(facts, versions, model.PRODUCT_JOIN_KEY, "order_date")
+    return j.select(format_id(*model.ORDER_FMT, "l_orderkey").alias("order_id"), "line_no", _product_id(),
+                    "order_date", "supplier_id", "effective_date")

@@ -90,10 +90,11 @@ def incoming_products(t: Tables) -> DataFrame:
 
 
 def product_supplier_changes(t: Tables) -> DataFrame:
-    """Tracked attribute log: (product, ship time) -> supplier."""
+    """Tracked attribute log: (product, ship time) -> supplier, keyed by the
+    numeric product source key."""
     li = t.lineitem
     return li.select(
-        format_id(*model.PRODUCT_FMT, "l_partkey").alias("product_id"),
+        F.col("l_partkey").alias(model.PRODUCT_JOIN_KEY),
         F.col("l_shipdate").alias("change_time"),
         format_id(*model.LOCATION_FMT, "l_suppkey").alias("supplier_id"),
     )

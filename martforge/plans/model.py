@@ -43,7 +43,7 @@ def order_headers(t: Tables) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey, "inner").drop("c_custkey")
 
 
-def _line_headers(t: Tables) -> DataFrame:
+def line_headers(t: Tables) -> DataFrame:
     """lineitem joined to its order header; keys still numeric."""
     li = t.lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
@@ -55,7 +55,7 @@ def _line_headers(t: Tables) -> DataFrame:
 
 def sales_lines(t: Tables) -> DataFrame:
     """Sale lines with business ids, exact money and times (no region)."""
-    j = _line_headers(t)
+    j = line_headers(t)
     return j.select(
         format_id(*ORDER_FMT, "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -219,7 +219,7 @@ def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
     and sorted on the numeric product source key (which the mart's
     product-name join reuses); text ids are formatted after the join.
     """
-    lines = _line_headers(t).select(
+    lines = line_headers(t).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "c_mktsegment", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate", F.col("l_partkey").alias(PRODUCT_JOIN_KEY),
     )
