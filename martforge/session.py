@@ -96,9 +96,9 @@ def size_for_input(spark: SparkSession, n_bytes: int) -> int:
     """Size shuffles and scans for an input of ``n_bytes``.
 
     * initial shuffle partitions (before AQE coalesces them) = input /
-      128 MB, in whole waves of the cluster's cores, at most 100,000: a
-      100 TB input starts with ~100,000 partitions of about 1 GB of input
-      each, which AQE splits no further but never lets one task hold more;
+      128 MB, rounded up to whole waves of the cluster's cores, at most
+      100,000 (a 100 TB input gets the cap, about 1 GB of input per
+      partition before column pruning and partial aggregation shrink it);
       a small input keeps one partition per core;
     * AQE coalesces toward 128 MB per partition (also the size skewed
       partitions are split into);
