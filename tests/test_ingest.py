@@ -174,3 +174,19 @@ def test_feed_ingest_new_keys_only(spark, scratch, tmp_path):
     feeds.ingest_feed(spark, "erp_customers", str(land), f"{base}/t", f"{base}/_c")
     ids = sorted(r["customer_id"] for r in spark.read.parquet(f"{base}/t").collect())
     assert ids == ["C1", "C2", "C3"]
+
+
+def test_landing_file_count_follows_data(spark, scratch):
+    import glob
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "16k")  # small partitions: the data spans several
+    try:
+        path = ingest.land_files(spark.range(50000).withColumn("v", F.col("id") * 3), scratch("land"), None, ["id"])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    files = glob.glob(path.replace("file:", "") + "/*.parquet")
+    assert len(files) > 1
+    assert spark.read.parquet(path).count() == 50000
