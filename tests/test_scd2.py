@@ -105,3 +105,16 @@ def test_store_writes_history_once(spark, scratch):
     assert sorted((r["product_id"], float(r["unit_cost"]), r["is_current"]) for r in full) == [
         ("P1", 1.0, False), ("P1", 1.5, True), ("P2", 2.0, False), ("P2", 2.5, True)]
     assert dim_store.read_current(spark, base).count() == 2
+
+
+def test_store_ignores_uncommitted_version(spark, scratch):
+    from martforge.plans import dim_store
+    base = scratch("dimstore-failed")
+    rows = [("P1", "A", "x", "b", 1.0)]
+    dim_store.apply_batch(spark, base, _src(spark, rows), ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000")
+    # a later batch whose write died before commit: data files but no _SUCCESS marker
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{base}/v=batch_20240102_000000/is_current=true")
+    import os
+    os.remove(f"{base}/v=batch_20240102_000000/is_current=true/_SUCCESS".replace("file:", ""))
+    assert dim_store.committed_versions(spark, base) == ["batch_20240101_000000"]
+    assert [r["product_id"] for r in dim_store.read_dimension(spark, base).collect()] == ["P1"]
