@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard_join
+from ..session import scratch_path
+from . import (decontaminate, jaccard_join, language_id, quality, secret_scan, sentencepiece, sharding, token_rollup,
+               toxicity, url_filter)
+from .graph import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +60,125 @@ FROM g JOIN member m USING (doc_id)""")
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = jaccard_join.ngram_jaccard(_read(spark, sf_dir, "documents"))
     return members.select("doc_id", "n_shingles", "component_id")
+
+
+def _crc(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus`` (of an empty text where doc_id is null)."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+@query("op1_sentencepiece")
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every whole text, and whether decoding them gives the text again."""
+    coded = sentencepiece.encode(_read(spark, sf_dir, "documents"), ["doc_id", "text"])
+    back = sentencepiece.decode(coded.select("doc_id", "text", "ids"), ["doc_id", "text", "ids"])
+    return back.select("doc_id", F.size(F.coalesce("ids", F.array().cast("array<int>"))).cast("long").alias("n_ids"),
+                       F.xxhash64("ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query("op2_token_rollup")
+def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents.
+
+    1 inserts every document with the counts of both tokenizer versions; 2
+    deletes the exact copies (all but the least doc_id of each text); 3 revises
+    the counts of the first version (out with the old ones, in with those of
+    the texts without outer blanks); 1 is delivered again and changes nothing.
+    """
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    outer = F.coalesce(F.col("text") != F.trim("text"), F.lit(False))
+    counted = materialize(spark, token_rollup.count(
+        docs.withColumns({"h": F.sha2(F.coalesce("text", F.lit("")), 256), "outer": outer}),
+        ["doc_id", "source", "lang", "h", "outer"]), "rollup-counted")
+    store = token_rollup.Rollup(spark, scratch_path(spark, "rollup"))
+    insert = token_rollup.signed(counted, 1)
+    store.commit("1-insert", insert)
+    least = counted.groupBy("h").agg(F.min("doc_id").alias("least"))
+    copies = materialize(spark, counted.join(least, "h").filter("doc_id <> least").drop("least"), "rollup-copies")
+    store.commit("2-delete", token_rollup.signed(copies, -1))
+    version = next(iter(token_rollup.TOKENIZERS))
+    old = counted.filter(F.col("outer") & (F.col("tokenizer") == version)).join(
+        copies.select("doc_id").distinct(), "doc_id", "left_anti")
+    new = token_rollup.count(docs.filter(outer).join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
+                             .withColumn("text", F.trim("text")), ["source", "lang"], {version: token_rollup.TOKENIZERS[version]})
+    store.commit("3-revise", token_rollup.signed(old, -1), token_rollup.signed(new, 1))
+    store.commit("1-insert", insert)
+    return store.totals()
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(_crc(4) != 2))
+    return language_id.identify(docs, ["doc_id"], model).select(
+        "doc_id", (_crc(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op4_secret_scan")
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_read(spark, sf_dir, "documents"), ["doc_id"])
+    base = "filter(findings, x -> x.kind in ('assign', 'access', 'hex'))"
+    joined = "array_join(transform({}, x -> concat_ws(':', x.kind, x.start, x.end)), ',')"
+    counts = {f"n_{k}": F.expr(f"size(filter(findings, x -> x.kind = '{k}'))").cast("long") for k in secret_scan.BASE}
+    return found.select("doc_id", *(c.alias(k) for k, c in counts.items()),
+                        F.sha2(F.expr(joined.format(base)), 256).alias("base_sha256"),
+                        F.expr(joined.format("findings")).alias("spans"))
+
+
+@query("op5_decontaminate")
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages as captures: the fetch time is derived from the page id (2024, to the minute)."""
+    return pages.select("page_id", "url", F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, cast(crc32(cast(page_id as string)) % 525600 as int))")
+        .alias("fetched_at"))
+
+
+def list_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries derived from the hosts of the pages: every third host is blocked for part of the year,
+    and of those every third has its first folder allowed for another part."""
+    host = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1))"
+    hosts = pages.select(F.expr(host).alias("host"), F.expr(
+        "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+)', 1)").alias("folder")).filter("host <> ''")
+    hosts = hosts.groupBy("host").agg(F.min("folder").alias("folder")).withColumn(
+        "c", F.expr("crc32(cast(host as binary))")).filter("c % 3 = 0")
+    day = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast({} as int))"
+    rows = ("stack(4, 'block', 'add', host, {a}, 'block', 'remove', host, {b}, "
+            "'allow', 'add', concat(host, folder), {c}, 'allow', 'remove', concat(host, folder), {d}) "
+            "as (list, action, pattern, at)").format(
+        a=day.format("c % 120"), b=day.format("180 + c % 180"), c=day.format("30 + c % 90"), d=day.format("150 + c % 90"))
+    return hosts.selectExpr("c", "folder", rows).filter("list = 'block' or (folder <> '' and c % 9 = 0)").select(
+        "list", "action", "pattern", "at")
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return url_filter.judge(captures(pages), list_events(pages))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    model = toxicity.fit(labels.filter(_crc(3) != 1), docs)
+    return toxicity.score(docs, ["doc_id"], model).select(
+        "doc_id", (_crc(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
+
+
+@query("op9_sharding")
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op10_quality")
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "log_perplexity", "lower", "upper")
