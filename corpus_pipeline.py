@@ -1,19 +1,44 @@
-"""Corpus pipeline: documents through the training-data operators, one stage after another."""
+"""Corpus pipeline: documents through five training-data operators, one stage after another."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martforge.llm import jaccard_join
+from martforge.llm import decontaminate, jaccard_join, language_id, secret_scan, sentencepiece
 from martforge.session import scratch_path
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the others carry the predicted language."""
+    found = language_id.identify(docs, docs.columns, language_id.fit(docs))
+    return found.filter("not rejected").withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return jaccard_join.one_per_component(docs)
 
 
-STAGES = [("near_duplicates", near_duplicates)]
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.contamination(docs, benchmark).filter("not contaminated").select(*docs.columns)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by their kind; all documents stay."""
+    clean = secret_scan.scan(docs, [c for c in docs.columns if c not in ("text", "n_chars")])
+    return clean.withColumns({"text": F.col("clean_text"), "n_chars": F.length("clean_text").cast("long")}).select(
+        *docs.columns)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as piece ids, ready for training."""
+    return sentencepiece.encode(docs, ["doc_id", "lang", "source"]).withColumn("n_ids", F.size("ids").cast("long"))
+
+
+STAGES = [("language_id", identify_language), ("near_duplicates", near_duplicates),
+          ("decontamination", remove_benchmark), ("secret_scan", redact_secrets), ("sentencepiece", encode_pieces)]
 ORACLE_SQL = None
 
 
