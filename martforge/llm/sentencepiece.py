@@ -28,21 +28,27 @@ from . import text as tx
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Finer cuts, for models in which no piece has a line feed or goes on from a Latin letter or digit to a mark.
+_MARK = ".,;:!?#$%&*"
+_LATIN = "A-Za-z0-9\u00C0-\u024F"
+_FINE = re.compile(rf"\n|{SPACE}*(?:[{_LATIN}]+(?=[{_MARK}\n{SPACE}]|\Z)|[^{SPACE}\n]+)|{SPACE}+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Words kept with their ids in one task, and cells of one search matrix.
-CACHE_WORDS = 1 << 18
-CELLS = 1 << 22
+CACHE_WORDS = 1 << 19
+CELLS = 1 << 18
 
 
 @dataclass
 class Model:
     keys: list[np.ndarray]      # by length: sorted hashes
+    slots: list[np.ndarray]     # by length: which of 2^18 slots have a hash
     ids: list[np.ndarray]
     scores: list[np.ndarray]
     byte_ids: np.ndarray        # id of each byte, -1 where the model has none
     unknown: int
     unknown_score: float
     pieces: list[bytes]         # by id
+    word: re.Pattern            # the words of a text, past which no piece goes on
 
 
 def _hash(s: str) -> np.uint64:
@@ -52,11 +58,16 @@ def _hash(s: str) -> np.uint64:
     return h[0]
 
 
+def _slot(h: np.ndarray) -> np.ndarray:
+    return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(46)).astype(np.int32)
+
+
 def load_model(path: str = MODEL_PATH) -> Model:
     """The pieces of a model file (its size does not follow the data)."""
     from sentencepiece import SentencePieceProcessor
     sp = SentencePieceProcessor(model_file=path)
     by: dict[int, list] = {}
+    word = _FINE
     pieces, byte_ids, least = [], np.full(256, -1, np.int32), 0.0
     for i in range(sp.get_piece_size()):
         s = sp.id_to_piece(i)
@@ -69,53 +80,60 @@ def load_model(path: str = MODEL_PATH) -> Model:
             continue
         if re.search(f"[^{SPACE}]{SPACE}", s):
             raise ValueError(f"piece {i} goes on past a space: {s!r}")
+        if "\n" in s or re.search(f"[{_LATIN}][{_MARK}]", s):
+            word = _WORD
         pieces.append(s.replace(SPACE, " ").encode())
         least = min(least, sp.get_score(i))
         by.setdefault(len(s), []).append((_hash(s), i, sp.get_score(i)))
-    keys, ids, scores = [], [], []
+    keys, slots, ids, scores = [], [], [], []
     for k in range(1, max(by) + 1):
         rows = sorted(by.get(k, []))
         keys.append(np.array([r[0] for r in rows], np.uint64))
         ids.append(np.array([r[1] for r in rows], np.int32))
         scores.append(np.array([r[2] for r in rows], np.float64))
+        slots.append(np.zeros(1 << 18, bool))
+        slots[-1][_slot(keys[-1])] = True
         if len(np.unique(keys[-1])) < len(rows):
             raise ValueError("two pieces share a hash")
-    return Model(keys, ids, scores, byte_ids, sp.unk_id(), least - 10, pieces)
+    return Model(keys, slots, ids, scores, byte_ids, sp.unk_id(), least - 10, pieces, word)
 
 
 def _search(m: Model, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best pieces of words of one length (a matrix of code points): row, start and id (-1: no piece)."""
     n, length = chars.shape
     most = min(len(m.keys), length)
-    score = np.full((n, length + 1, most), -np.inf)
-    ident = np.full((n, length + 1, most), -1, np.int32)
-    code = chars.astype(np.uint64) + np.uint64(1)
-    h = np.zeros((n, length + 1), np.uint64)
+    # by start position (most - k for a piece of k characters), end, word
+    score = np.full((most, length + 1, n), -np.inf)
+    ident = np.full((most, length + 1, n), -1, np.int32)
+    code = np.ascontiguousarray(chars.T).astype(np.uint64) + np.uint64(1)
+    h = np.zeros((length + 1, n), np.uint64)
     for k in range(1, most + 1):
-        h = h[:, :-1] * _P + code[:, k - 1:]
+        h = h[:-1] * _P + code[k - 1:]
         keys = m.keys[k - 1]
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-            hit = keys[at] == h
-            score[:, k:, most - k] = np.where(hit, m.scores[k - 1][at], -np.inf)
-            ident[:, k:, most - k] = np.where(hit, m.ids[k - 1][at], -1)
-    single = score[:, 1:, most - 1]
+        maybe = np.flatnonzero(m.slots[k - 1][_slot(h)].ravel())
+        if len(maybe):
+            probe = h.ravel()[maybe]
+            at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
+            hit = keys[at] == probe
+            score[most - k, k:].reshape(-1)[maybe[hit]] = m.scores[k - 1][at[hit]]
+            ident[most - k, k:].reshape(-1)[maybe[hit]] = m.ids[k - 1][at[hit]]
+    single = score[most - 1, 1:]
     single[np.isneginf(single)] = m.unknown_score
-    best = np.full((n, most + length + 1), -np.inf)
-    best[:, most] = 0
-    back = np.zeros((n, length + 1), np.int32)  # length of the piece that ends here
+    best = np.full((most + length + 1, n), -np.inf)
+    best[most] = 0
+    back = np.zeros((length + 1, n), np.int32)  # length of the piece that ends here
     rows = np.arange(n)
     for end in range(1, length + 1):
-        sums = score[:, end] + best[:, end:end + most]
-        first = sums.argmax(1)
-        best[:, most + end] = sums[rows, first]
-        back[:, end] = most - first
+        sums = score[:, end] + best[end:end + most]
+        first = sums.argmax(0)
+        best[most + end] = sums[first, rows]
+        back[end] = most - first
     begins, chosen = np.zeros((n, length), bool), np.zeros((n, length), np.int32)
     end = np.full(n, length)
     while len(rows):
-        k = back[rows, end]
+        k = back[end, rows]
         begins[rows, end - k] = True
-        chosen[rows, end - k] = ident[rows, end, most - k]
+        chosen[rows, end - k] = ident[most - k, end, rows]
         end = end - k
         rows, end = rows[end > 0], end[end > 0]
     row, start = np.nonzero(begins)
@@ -146,7 +164,7 @@ def encode_words(m: Model, words: list[str]) -> dict[str, bytes]:
 
 
 def encode_texts(m: Model, texts: list[str | None], cache: dict[str, bytes]) -> list[np.ndarray | None]:
-    cut = [None if t is None else _WORD.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+    cut = [None if t is None else m.word.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
     new = {w for words in cut if words for w in words} - cache.keys()
     if len(cache) + len(new) > CACHE_WORDS:
         new = {w for words in cut if words for w in words}

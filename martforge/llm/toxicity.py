@@ -156,19 +156,80 @@ def fit(labelled: DataFrame, documents: DataFrame, sample: int = SAMPLE) -> Mode
     return train([r.text for r in texts if r.toxic == 1], [r.text for r in texts if r.toxic == 0])
 
 
+def _ratio(a, b, x):
+    """Log of (a[0] + b[0] X) / (a[1] + b[1] X), where X are the odds of ``x``."""
+    x = np.exp(np.clip(x, -_LIMIT, _LIMIT))
+    return np.log((a[0] + b[0] * x) / (a[1] + b[1] * x))
+
+
+def posterior(rows: list[np.ndarray], m: Model) -> list[np.ndarray]:
+    """Marginal of state 1 at each step of each row, by forward-backward in blocks.
+
+    The steps of a block are a product of 2 x 2 matrices, taken for all blocks
+    side by side; messages then pass from block to block of a row, and inside
+    all blocks side by side. So a row of n steps takes n / CHUNK rounds.
+    """
+    size = np.array([len(r) for r in rows], np.int64)
+    blocks = -(-size // CHUNK)
+    base = np.concatenate([[0], np.cumsum(blocks)])
+    n = int(base[-1])
+    if not n:
+        return [np.empty(0) for _ in rows]
+    flat, at = np.concatenate(rows), np.concatenate([[0], np.cumsum(size)])
+    where = np.arange(len(flat)) + np.repeat(base[:-1] * CHUNK - at[:-1], size)
+    inside = np.zeros(n * CHUNK, bool)
+    inside[where] = True
+    e = np.zeros(n * CHUNK)
+    e[where] = m.weight[flat]
+    inside, e = np.ascontiguousarray(inside.reshape(n, CHUNK).T), np.ascontiguousarray(e.reshape(n, CHUNK).T)
+    t = np.exp(m.move)
+    odds = np.exp(np.clip(e, -_LIMIT, _LIMIT))
+    # product of the steps' matrices [[t00, t10], [t01 E, t11 E]], scaled
+    p = [np.ones(n), np.zeros(n), np.zeros(n), np.ones(n)]
+    for k in range(CHUNK):
+        q = [t[0, 0] * p[0] + t[1, 0] * p[2], t[0, 0] * p[1] + t[1, 0] * p[3],
+             odds[k] * (t[0, 1] * p[0] + t[1, 1] * p[2]), odds[k] * (t[0, 1] * p[1] + t[1, 1] * p[3])]
+        scale = 1 / (q[0] + q[1] + q[2] + q[3])
+        p = [np.where(inside[k], x * scale, y) for x, y in zip(q, p)]
+    order = np.argsort(-blocks, kind="stable")
+    active = np.searchsorted(-blocks[order], -np.arange(1, blocks.max() + 1), "right")
+    first = np.zeros(n, bool)
+    first[base[:-1][blocks > 0]] = True
+    step = lambda x: _ratio((t[0, 1], t[0, 0]), (t[1, 1], t[1, 0]), x)
+
+    def forward(which, entry):
+        f = np.zeros((CHUNK, len(which)))
+        x = entry
+        for k in range(CHUNK):
+            x = np.where(inside[k, which], e[k, which] + (step(x) if k else np.where(first[which], m.start, step(x))), x)
+            f[k] = x
+        return f
+
+    entry, after = np.zeros(n), np.zeros(n)
+    begin = base[:-1][order]
+    last = forward(begin[:active[0]], np.zeros(active[0]))[-1]
+    for k in range(1, len(active)):
+        b = begin[:active[k]] + k
+        entry[b] = last[:active[k]]
+        last = _ratio((p[2][b], p[0][b]), (p[3][b], p[1][b]), entry[b])
+    for k in range(len(active) - 1, 0, -1):
+        b = begin[:active[k]] + k
+        after[b - 1] = _ratio((p[1][b], p[0][b]), (p[3][b], p[2][b]), after[b])
+    f = forward(np.arange(n), entry)
+    back = np.zeros((CHUNK, n))
+    x = after
+    for k in range(CHUNK - 1, -1, -1):
+        back[k] = x
+        x = np.where(inside[k], _ratio((t[1, 0], t[0, 0]), (t[1, 1], t[0, 1]), e[k] + x), x)
+    out = _sigmoid(f + back).T.ravel()[where]
+    return [out[at[i]:at[i + 1]] for i in range(len(rows))]
+
+
 def marginals(texts: list[str | None], m: Model) -> list[np.ndarray]:
     """Marginal of the toxic state for each word of each text."""
     get = m.words.get
-    rows = [np.fromiter((get(w, 0) for w in _WORD.findall(t.lower())), np.int64) if t else np.empty(0, np.int64)
-            for t in texts]
-    out: list[np.ndarray] = [np.empty(0)] * len(texts)
-    x, active, order = _pad(rows)
-    if len(x):
-        f, b = _chain(m.weight[x], active, m.start, m.move)
-        p = _sigmoid(f + b)
-        for j, i in enumerate(order):
-            out[i] = p[:len(rows[i]), j]
-    return out
+    return posterior([np.array([get(w, 0) for w in _WORD.findall(t.lower())], np.int64) if t else np.empty(0, np.int64)
+                      for t in texts], m)
 
 
 def spans(text: str, p: np.ndarray) -> list[dict]:
