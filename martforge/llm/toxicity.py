@@ -32,9 +32,9 @@ from . import text as tx
 
 #: Training documents per label at most (those of the least hash of doc_id).
 SAMPLE = 800
-MIN_SHARE, LIFT, MIN_DOCUMENTS = 0.02, 8.0, 3
+MIN_SHARE, LIFT, MIN_DOCUMENTS = 0.02, 20.0, 3
 SPAN = 0.5
-STEPS, RATE, PENALTY, CHUNK = 120, 0.3, 1e-3, 64
+STEPS, RATE, PENALTY, CHUNK = 120, 0.3, 2e-5, 64
 _WORD = re.compile(r"[^\W\d_]+")
 _LIMIT = 30.0
 
