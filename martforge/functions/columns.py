@@ -53,10 +53,11 @@ def ts_literal(ts: str) -> Column:
 def record_hash(*cols) -> Column:
     """SHA-256 over the tracked attributes.
 
-    Nulls are written as an explicit marker: ``concat_ws`` skips nulls, so
-    (null, 'a') and ('a', null) would otherwise collide.
+    Each value is written with its length before it, and null as a marker that
+    starts with no digit, so no two lists of values have the same text.
     """
-    parts = [F.coalesce(_c(c).cast("string"), F.lit(HASH_NULL)) for c in cols]
+    texts = [_c(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(HASH_NULL)) for t in texts]
     return F.sha2(F.concat_ws(HASH_SEP, *parts), 256)
 
 
@@ -76,7 +77,9 @@ def day(ts) -> Column:
 
 def hourly(base: str, i) -> Column:
     """``base + i hours`` (hourly generator grid)."""
-    return ts_literal(base) + F.make_dt_interval(F.lit(0), _c(i).cast("int"))
+    hours = _c(i).cast("bigint")
+    days = F.floor(hours / 24).cast("int")
+    return ts_literal(base) + F.make_dt_interval(days, F.pmod(hours, F.lit(24)).cast("int"))
 
 
 def pct(part, total) -> Column:

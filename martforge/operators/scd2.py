@@ -71,7 +71,8 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: Column, key: str =
     new current version; new key -> inserted; key absent from the batch ->
     kept current. ``incoming`` must hold one row per key; when a feed can
     repeat a key, ``order_cols`` names the order whose last record per key
-    is the one applied (a partial aggregate, see ``dedup_latest``).
+    is the one applied (a partial aggregate, see ``dedup_latest``). Records
+    without a key are not applied.
     """
     if order_cols:
         from .ordering import dedup_latest
@@ -80,7 +81,7 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: Column, key: str =
     cols = _dim_columns(key, attrs, surrogate)
     cur = current_rows(dim).select(*cols)
     hist = dim.filter(~F.col("is_current")).select(*cols)
-    inc = incoming.select(key, *attrs).withColumn("record_hash", record_hash(*attrs))
+    inc = incoming.filter(F.col(key).isNotNull()).select(key, *attrs).withColumn("record_hash", record_hash(*attrs))
     inc = inc.select(key, *[F.col(c).alias(f"_n_{c}") for c in (*attrs, "record_hash")])
 
     j = cur.join(inc, key, "full_outer")
@@ -111,15 +112,16 @@ def scd2_merge(dim: DataFrame, incoming: DataFrame, batch_ts: Column, key: str =
     return hist.unionByName(merged)
 
 
-def scd2_history(changes: DataFrame, key: str, ts: str, attrs, grain: str = "day") -> DataFrame:
-    """Versions from a change log: one state per (key, period), equal
+def scd2_history(changes: DataFrame, key: str, ts: str, attrs, grain: str | None = None) -> DataFrame:
+    """Versions from a change log: one state per (key, time), equal
     neighbours collapsed, end = next version's start (open end otherwise).
 
-    The state of a period is the latest change in it (ties on time broken by
-    the larger attribute values).
+    Every change time counts. With a ``grain`` (such as ``day``) the state of
+    a period is the latest change in it and starts with the period. Ties on
+    time go to the larger attribute values.
     """
     attrs = list(attrs)
-    period = F.date_trunc(grain, F.col(ts)).cast("timestamp_ntz")
+    period = (F.date_trunc(grain, F.col(ts)) if grain else F.col(ts)).cast("timestamp_ntz")
     per = changes.groupBy(key, period.alias("effective_date")).agg(
         F.max(F.struct(F.col(ts).alias("_t"), *[F.col(a) for a in attrs])).alias("_s"))
     per = per.select(key, "effective_date", *[F.col(f"_s.{a}").alias(a) for a in attrs])

@@ -80,11 +80,11 @@ def chunk_slice(spark, sf_dir):
 @register("concat_chunks", f"""
 SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01 00:00:00'
 UNION ALL
-SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00'""")
+SELECT {ORDERS_COLS} FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01 00:00:00' OR o_orderdate IS NULL""")
 def concat_chunks(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     a = o.filter(F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00"))
-    b = o.filter(F.col("o_orderdate") >= ts_literal("1997-01-01 00:00:00"))
+    b = o.filter((F.col("o_orderdate") >= ts_literal("1997-01-01 00:00:00")) | F.col("o_orderdate").isNull())
     return ordering.concat_chunks(a, b)
 
 
@@ -114,7 +114,7 @@ def append_idempotent(spark, sf_dir):
     from ..functions.columns import batch_id
     o = Tables(spark, sf_dir).orders
     path = scratch_path(spark, "append")
-    cut = F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00")
+    cut = F.coalesce(F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00"), F.lit(False))
     b1 = o.filter(cut).withColumn("batch_id", batch_id(ts_literal(B1)))
     b2 = o.filter(~cut).withColumn("batch_id", batch_id(ts_literal(B2)))
     for b in (b1, b2, b2):
@@ -173,7 +173,8 @@ def ingest_feed_incremental(spark, sf_dir):
     base = scratch_path(spark, "feed")
     existing_path = writers.replace_table(o.filter(F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00")),
                                           f"{base}/table")
-    feed_path = ingest.land_files(o.filter(F.col("o_orderdate") >= ts_literal("1997-01-01 00:00:00")),
+    late = (F.col("o_orderdate") >= ts_literal("1997-01-01 00:00:00")) | F.col("o_orderdate").isNull()
+    feed_path = ingest.land_files(o.filter(late),
                                   f"{base}/landing", None, ["o_orderkey"])
     existing = spark.read.parquet(existing_path)
     feed = spark.read.schema(o.schema).parquet(feed_path)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import ts_literal
-from ..schemas import RAW_PRODUCTS_CSV, RAW_SALES_CSV
+from ..schemas import RAW_PRODUCTS_CSV, SALES_LINES_CSV
 from ..session import scratch_path
 from ..sources import csv as csv_src
 from ..sources.tables import Tables
-from . import daily_jobs, fixtures, model
+from . import curated, daily_jobs, fixtures, model
 from .catalog_quality import LOAD_SUMMARY_SQL_CTE, PRODUCT_SOURCE
 from .registry import BATCH_TS, register, with_ctes
 from .sqlparts import RAW_SALES
@@ -32,7 +32,7 @@ def daily_csv_to_dw(spark, sf_dir):
     sales = model.raw_sales(t).withColumns({
         "unit_price": F.col("unit_price").cast("double"), "total_amount": F.col("total_amount").cast("double")})
     p = csv_src.write_csv(products.select(*RAW_PRODUCTS_CSV.fieldNames()), f"{base}/extract/products")
-    s = csv_src.write_csv(sales.select(*RAW_SALES_CSV.fieldNames()), f"{base}/extract/sales")
-    out = daily_jobs.run_csv_to_dw(spark, p, s, f"{base}/warehouse", BATCH_TS)
+    s = csv_src.write_csv(sales.select(*SALES_LINES_CSV.fieldNames()), f"{base}/extract/sales")
+    out = daily_jobs.run_csv_to_dw(spark, p, s, f"{base}/warehouse", BATCH_TS, SALES_LINES_CSV, curated.LINE_KEY)
     return spark.createDataFrame([tuple(out[c] for c in ("dim_product_rows", "fct_sales_rows", "quality_score",
                                                          "load_timestamp"))], SUMMARY_SCHEMA)

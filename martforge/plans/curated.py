@@ -18,6 +18,10 @@ FCT_SALES_COLUMNS = (
     "source_system", "quality_score", "validation_status",
 )
 
+# Business key of a sales line, and of extracts without line numbers.
+LINE_KEY = ("order_id", "line_no", "product_id")
+ORDER_PRODUCT_KEY = ("order_id", "product_id")
+
 FCT_NOT_NULL = ("sales_key", "order_id", "product_id", "customer_id", "quantity", "unit_price",
                 "total_amount", "channel", "order_date", "batch_id")
 
@@ -30,13 +34,21 @@ def fct_checks() -> dict[str, Column]:
     }
 
 
-def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = None) -> DataFrame:
-    """raw sales -> curated fact rows: key, load audit, defaults."""
-    key_cols = [c for c in ("order_id", "line_no", "product_id") if c in raw.columns]
+def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = None,
+              key_cols=LINE_KEY) -> DataFrame:
+    """raw sales -> curated fact rows: key, load audit, defaults.
+
+    ``key_cols`` must all be there; a missing ``region`` (nullable) is null.
+    """
+    missing = [c for c in key_cols if c not in raw.columns]
+    if missing:
+        raise ValueError(f"sales rows lack key columns {missing}")
+    if "region" not in raw.columns:
+        raw = raw.withColumn("region", F.lit(None).cast("string"))
     df = with_load_audit(raw, batch_ts).withColumn("sales_key", surrogate_key(*key_cols))
     df = with_defaults(df, {
         "source_system": F.lit(SOURCE_SYSTEM_DEFAULT),
         "validation_status": F.lit(VALIDATION_STATUS_DEFAULT),
         "quality_score": (quality_score if quality_score is not None else F.lit(None)).cast("decimal(5,2)"),
     })
-    return df.select(*[c for c in FCT_SALES_COLUMNS if c in df.columns])
+    return df.select(*FCT_SALES_COLUMNS)

@@ -27,18 +27,18 @@ from . import curated, dim_store
 
 
 def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, warehouse: str,
-                  batch_ts: str) -> dict:
+                  batch_ts: str, sales_schema=RAW_SALES_CSV, line_key=curated.ORDER_PRODUCT_KEY) -> dict:
     bts = ts_literal(batch_ts)
     bid = batch_id_text(batch_ts)
     products = gates.require_rows(csv_src.scan_csv(spark, products_path, RAW_PRODUCTS_CSV), "products")
-    sales = gates.require_rows(csv_src.scan_csv(spark, sales_path, RAW_SALES_CSV), "sales")
+    sales = gates.require_rows(csv_src.scan_csv(spark, sales_path, sales_schema), "sales")
     products, sales = products.persist(), sales.persist()  # read by scorecard and by the load
     try:
         card = quality.dq_dimensional(products, sales)
         decision = gates.enforce(gates.gate(quality.summary(card), "dimensional_gate",
                                             gates.DIMENSIONAL_GATE))[0]
         dim_path = dim_store.apply_batch(spark, f"{warehouse}/dim_product", products, bts, bid)
-        fct = curated.fct_sales(sales, bts, F.lit(decision["score"]))
+        fct = curated.fct_sales(sales, bts, F.lit(decision["score"]), line_key)
         fct_path = writers.append_batch(fct, f"{warehouse}/fct_sales")
         loaded = spark.read.parquet(fct_path).filter(F.col("batch_id") == bid)
         dim_now = dim_store.read_current(spark, f"{warehouse}/dim_product")
@@ -56,7 +56,7 @@ def transform(df: DataFrame, batch_ts: str) -> DataFrame:
 
 
 def run_layered(spark: SparkSession, landing: str, warehouse: str, batch_ts: str,
-                schema=RAW_SALES_CSV, fmt: str = "csv") -> list:
+                schema=RAW_SALES_CSV, fmt: str = "csv", line_key=curated.ORDER_PRODUCT_KEY) -> list:
     """Returns the validated (layer, rows) rows."""
     raw_path = f"{warehouse}/raw/sales_data"
     ingest.ingest_resumable(spark, landing, schema, raw_path, f"{warehouse}/_checkpoints/raw", fmt=fmt,
@@ -67,7 +67,7 @@ def run_layered(spark: SparkSession, landing: str, warehouse: str, batch_ts: str
     gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(transformed)), "post_transform",
                              gates.POST_TRANSFORM_GATE))
     staging = writers.replace_table(filters.clean_sales(transformed), f"{warehouse}/staging/sales_clean")
-    core = writers.write_partitioned(curated.fct_sales(spark.read.parquet(staging), ts_literal(batch_ts)),
+    core = writers.write_partitioned(curated.fct_sales(spark.read.parquet(staging), ts_literal(batch_ts), key_cols=line_key),
                                      f"{warehouse}/core/fct_sales", "order_date",
                                      ["channel", "product_id", "customer_id"])
     mart = writers.replace_table(marts.daily_channel_product(spark.read.parquet(core)),

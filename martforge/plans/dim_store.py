@@ -11,9 +11,12 @@ history is never read or rewritten, so a batch costs the size of the current
 set, not of the whole history. The full dimension is the closed rows of every
 committed version plus the current rows of the newest one.
 
-A batch already applied is detected by its folder and skipped, so re-running
-a load is a no-op; a failed write leaves no ``_SUCCESS`` marker, and
-uncommitted folders are ignored by readers.
+Rows of a batch that the dimension already holds at the batch's time are
+skipped, so re-running a load is a no-op; further rows of the newest batch (an
+extract of several files) become one more part of it, ``v=<batch_id>_pNNNNN``.
+Rows for a time before the newest batch are refused. Rows without a key go to
+``<base>_rejected`` (at least once). A failed write leaves no ``_SUCCESS``
+marker, and uncommitted folders are ignored by readers.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from ..operators import scd2
 from ..schemas import DIM_PRODUCT
 
 VERSION_PREFIX = "v="
+PART = "_p"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -72,17 +76,42 @@ def read_dimension(spark: SparkSession, base: str) -> DataFrame | None:
     return df.filter(keep).drop("v")
 
 
+def _not_held(dim: DataFrame, incoming: DataFrame, batch_ts: Column) -> DataFrame:
+    """The incoming rows that the dimension does not hold as of ``batch_ts``."""
+    held = dim.filter((F.col("effective_date") <= batch_ts) & (F.col("end_date") > batch_ts)).select(
+        scd2.PRODUCT_KEY, "record_hash")
+    return (incoming.withColumn("record_hash", scd2.record_hash(*scd2.PRODUCT_ATTRS))
+            .join(held, [scd2.PRODUCT_KEY, "record_hash"], "left_anti").drop("record_hash"))
+
+
 def apply_batch(spark: SparkSession, base: str, incoming: DataFrame, batch_ts: Column,
                 batch_id: str, order_cols=None) -> str:
-    """Merge ``incoming`` into the current rows; returns the new version path.
+    """Merge ``incoming`` into the current rows; returns the version path.
 
     A batch repeating a business key is refused unless ``order_cols`` says
-    which of its records is the latest.
+    which of its records is the latest; so is one that, in another part, gives
+    a key other values, and one that comes after a newer batch.
     """
-    target = f"{base}/{VERSION_PREFIX}{batch_id}"
+    key = scd2.PRODUCT_KEY
+    keyless = incoming.filter(F.col(key).isNull())
+    if not keyless.isEmpty():
+        keyless.write.mode("append").parquet(f"{base}_rejected/{VERSION_PREFIX}{batch_id}")
+    incoming = incoming.filter(F.col(key).isNotNull())
     versions = committed_versions(spark, base)
-    if batch_id in versions:
-        return target  # already applied
+    own = [v for v in versions if v == batch_id or v.startswith(batch_id + PART)]
+    target = f"{base}/{VERSION_PREFIX}{batch_id}"
+    if own:
+        target += f"{PART}{len(own):05d}"
+        incoming = _not_held(read_dimension(spark, base), incoming, batch_ts)
+        if incoming.isEmpty():
+            return f"{base}/{VERSION_PREFIX}{own[-1]}"  # already applied
+    if versions and versions[-1] not in own and batch_id < versions[-1]:
+        raise ValueError(f"batch {batch_id} comes after {versions[-1]} was applied")
+    if own:
+        now = read_current(spark, base).filter(F.col("effective_date") == batch_ts).select(key)
+        other = [r[key] for r in incoming.join(now, key, "left_semi").select(key).limit(5).collect()]
+        if other:
+            raise ValueError(f"batch {batch_id} repeats product ids in another part, e.g. {other}")
     if not order_cols:
         dups = scd2.duplicate_keys(incoming, scd2.PRODUCT_KEY)
         if dups:

@@ -64,7 +64,7 @@ def sales_lines(t: Tables) -> DataFrame:
         format_id(*LOCATION_FMT, "l_suppkey").alias("location_id"),
         F.col("c_mktsegment").alias("channel"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         money("l_extendedprice", 12, 2).alias("total_amount"),
         money("l_discount", 4, 2).alias("discount_rate"),
         F.col("o_orderdate").alias("order_date"),
@@ -101,7 +101,7 @@ def raw_sales(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("channel"),
         F.col("r_name").alias("region"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         money("l_extendedprice", 12, 2).alias("total_amount"),
         F.col("o_orderdate").alias("order_date"),
         F.col("l_shipdate").alias("transaction_time"),
@@ -233,7 +233,7 @@ def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
         format_id(*LOCATION_FMT, "l_suppkey").alias("location_id"),
         F.col("c_mktsegment").alias("channel"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
-        (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        F.try_divide("l_extendedprice", "l_quantity").alias("unit_price"),
         money("l_extendedprice", 12, 2).alias("total_amount"),
         money("l_discount", 4, 2).alias("discount_rate"),
         F.col("l_shipdate").alias("transaction_time"),

@@ -6,7 +6,8 @@ HNULL = "'\\N'"  # SQL literal '\N', the record-hash null marker
 
 
 def sha_of(*exprs: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({e} AS VARCHAR), {HNULL})" for e in exprs)
+    texts = [f"CAST({e} AS VARCHAR)" for e in exprs]
+    parts = ", ".join(f"coalesce(length({t}) || ':' || {t}, {HNULL})" for t in texts)
     return f"sha256(concat_ws('|', {parts}))"
 
 

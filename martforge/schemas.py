@@ -19,6 +19,9 @@ RAW_SALES_CSV = _s(
     ("order_date", TimestampNTZType()), ("region", StringType()), ("total_amount", DoubleType()),
 )
 
+# The same by order line, for extracts and feeds that carry the line number.
+SALES_LINES_CSV = StructType([RAW_SALES_CSV[0], StructField("line_no", LongType(), True), *RAW_SALES_CSV[1:].fields])
+
 # Raw products extract (CSV).
 RAW_PRODUCTS_CSV = _s(
     ("product_id", StringType()), ("product_name", StringType()), ("category", StringType()),
@@ -45,7 +48,7 @@ FEEDS: dict[str, tuple[StructType, list[str]]] = {
                                       ("fulfillment_center", StringType()), ("movement", StringType()),
                                       ("quantity", LongType()), ("txn_time", TimestampNTZType())),
                                    ["transaction_id"]),
-    "erp_sales_orders": (RAW_SALES_CSV, ["order_id"]),
+    "erp_sales_orders": (SALES_LINES_CSV, ["order_id", "line_no"]),
     "erp_inventory_transactions": (_s(("transaction_id", StringType()), ("product_id", StringType()),
                                       ("location_id", StringType()), ("movement", StringType()),
                                       ("quantity", LongType()), ("txn_time", TimestampNTZType())),

@@ -137,6 +137,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="martforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -9,13 +9,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 CORRUPT_COL = "_corrupt_record"
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "FAILFAST") -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "FAILFAST",
+             multi_line: bool = False) -> DataFrame:
     """Header CSV with a declared schema (never inferred).
 
     FAILFAST raises on a malformed row; PERMISSIVE keeps the row with nulls and
-    the raw text in ``_corrupt_record`` for quarantine.
+    the raw text in ``_corrupt_record`` for quarantine. Quotes inside a quoted
+    field are doubled. ``multi_line`` allows line breaks inside quoted fields;
+    each file is then read by one task, so it is off for large files.
     """
-    reader = spark.read.option("header", True).option("mode", mode)
+    reader = spark.read.options(header=True, mode=mode, escape='"', multiLine=multi_line)
     if mode.upper() == "PERMISSIVE":
         schema = StructType(list(schema.fields) + [StructField(CORRUPT_COL, StringType(), True)])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
@@ -29,10 +32,10 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(header=True, escape='"').csv(path)
     return path
 
 
 def source_row_count(df: DataFrame) -> DataFrame:
-    """Records of a parsed scan (not text lines: quoted newlines count once)."""
+    """Records of a parsed scan (of a ``multi_line`` one, quoted line breaks count once)."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))

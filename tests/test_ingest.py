@@ -28,9 +28,13 @@ def test_csv_roundtrip_and_count(spark, scratch):
 
 def test_csv_quoted_newline_counts_once(spark, scratch, tmp_path):
     p = tmp_path / "q.csv"
-    p.write_text('id,name\n1,"a\nb"\n2,c\n')
-    df = spark.read.option("header", True).option("multiLine", True).schema("id long, name string").csv(str(p))
-    assert csv_src.source_row_count(df).first()["total_rows"] == 2
+    p.write_text('id,name\n1,"a\nb"\n2,c\n3,"say ""x"", y"\n')
+    schema = spark.createDataFrame([], "id long, name string").schema
+    df = csv_src.scan_csv(spark, str(p), schema, multi_line=True)
+    assert csv_src.source_row_count(df).first()["total_rows"] == 3
+    rows = [(1, "a\nb"), (2, "c"), (3, 'say "x", y'), (4, 'ends with "')]
+    out = csv_src.write_csv(spark.createDataFrame(rows, schema), scratch("quoted"))
+    assert sorted(map(tuple, csv_src.scan_csv(spark, out, schema, multi_line=True).collect())) == rows
 
 
 def test_csv_permissive_quarantine(spark, tmp_path):

@@ -48,7 +48,11 @@ def test_history_collapses_and_chains(spark):
         "t", F.col("t").cast("timestamp_ntz"))
     h = scd2.scd2_history(df, "product_id", "t", ["s"]).orderBy("effective_date").collect()
     assert [(str(r["effective_date"])[:10], r["s"], str(r["end_date"])[:10], r["is_current"]) for r in h] == [
-        ("2024-01-01", "S1", "2024-01-03", False), ("2024-01-03", "S3", "2099-12-31", True)]
+        ("2024-01-01", "S1", "2024-01-03", False), ("2024-01-03", "S2", "2024-01-03", False),
+        ("2024-01-03", "S3", "2099-12-31", True)]
+    assert str(h[1]["effective_date"])[11:] == "08:00:00" and str(h[1]["end_date"])[11:] == "20:00:00"
+    daily = scd2.scd2_history(df, "product_id", "t", ["s"], grain="day").orderBy("effective_date").collect()
+    assert [r["s"] for r in daily] == ["S1", "S3"]
 
 
 def test_asof_half_open_and_left(spark):
@@ -118,3 +122,48 @@ def test_store_ignores_uncommitted_version(spark, scratch):
     os.remove(f"{base}/v=batch_20240102_000000/is_current=true/_SUCCESS".replace("file:", ""))
     assert dim_store.committed_versions(spark, base) == ["batch_20240101_000000"]
     assert [r["product_id"] for r in dim_store.read_dimension(spark, base).collect()] == ["P1"]
+
+
+def test_store_takes_an_extract_in_parts(spark, scratch):
+    import pytest
+    from martforge.plans import dim_store
+    rows = [(f"P{i}", "A", "x", "b", float(i)) for i in range(10)]
+    base, ts, bid = scratch("dimstore-parts"), ts_literal("2024-01-05 00:00:00"), "batch_20240105_000000"
+    first = [(p, n, c, b, v + 100) for p, n, c, b, v in rows]
+    dim_store.apply_batch(spark, base, _src(spark, first), ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000")
+    for part in (rows[:5], rows[5:], rows[:5], rows):
+        dim_store.apply_batch(spark, base, _src(spark, part), ts, bid)
+    assert dim_store.committed_versions(spark, base) == ["batch_20240101_000000", bid, f"{bid}_p00001"]
+    full = dim_store.read_dimension(spark, base).collect()
+    assert sorted((r["product_id"], float(r["unit_cost"])) for r in full if r["is_current"]) == [
+        (p, v) for p, *_, v in rows]
+    assert len(full) == 20
+    # a redelivery of the older batch changes nothing; other rows for its time are refused
+    old = ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000"
+    dim_store.apply_batch(spark, base, _src(spark, first[:3]), *old)
+    with pytest.raises(ValueError, match="comes after"):
+        dim_store.apply_batch(spark, base, _src(spark, [("P99", "A", "x", "b", 1.0)]), *old)
+    with pytest.raises(ValueError, match="comes after"):
+        dim_store.apply_batch(spark, base, _src(spark, rows), ts_literal("2024-01-03 00:00:00"), "batch_20240103_000000")
+    with pytest.raises(ValueError, match="another part"):
+        dim_store.apply_batch(spark, base, _src(spark, [("P1", "B", "x", "b", 1.0)]), ts, bid)
+
+
+def test_store_sets_keyless_rows_aside(spark, scratch):
+    from martforge.plans import dim_store
+    base = scratch("dimstore-null")
+    rows = [(None, "A", "x", "b", 1.0), ("P1", "A", "x", "b", 1.0)]
+    for _ in range(2):
+        dim_store.apply_batch(spark, base, _src(spark, rows), ts_literal("2024-01-01 00:00:00"), "batch_20240101_000000")
+    assert [r["product_id"] for r in dim_store.read_dimension(spark, base).collect()] == ["P1"]
+    assert spark.read.parquet(f"{base}_rejected").filter("product_id is null").count() == 2
+
+
+def test_hash_keeps_values_apart(spark):
+    from martforge.functions.columns import hourly, record_hash
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("\\N", "x"), (None, "x")], "x string, y string")
+    assert len({r[0] for r in df.select(record_hash("x", "y")).collect()}) == 4
+    far = spark.range(1).select(hourly("2024-01-01 00:00:00", F.lit(26)).alias("a"),
+                                hourly("2024-01-01 00:00:00", F.lit(2_400_000_000)).alias("b")).selectExpr(
+        "cast(a as string) as a", "datediff(b, timestamp_ntz'2024-01-01 00:00:00') as b").first()
+    assert far["a"] == "2024-01-02 02:00:00" and far["b"] == 100_000_000
