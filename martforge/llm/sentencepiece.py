@@ -189,12 +189,14 @@ def encode(docs: DataFrame, keep: list[str], model_path: str = MODEL_PATH) -> Da
     """The columns ``keep`` of ``docs`` with ``ids``, the piece ids of the whole text."""
     model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
     keep = [c for c in keep if c != "ids"]
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
+    kept = "text" in keep and docs.schema["text"].dataType == StringType()
+    source = "text" if kept else "_text"
+    rows = docs.select(*keep, *([] if kept else [F.col("text").cast("string").alias("_text")]))
 
     def run(batches):
         cache: dict[str, bytes] = {}
-        for step in tx.steps(batches, "_text"):
-            ids = encode_texts(model.value, step.column("_text").to_pylist(), cache)
+        for step in tx.steps(batches, source):
+            ids = encode_texts(model.value, step.column(source).to_pylist(), cache)
             yield pa.RecordBatch.from_arrays([*(step.column(c) for c in keep), _arrays(ids)], names=[*keep, "ids"])
     return rows.mapInArrow(run, StructType([*rows.select(*keep).schema.fields,
                                             StructField("ids", ArrayType(IntegerType()))]))
@@ -212,7 +214,9 @@ def decode(rows: DataFrame, keep: list[str], model_path: str = MODEL_PATH) -> Da
                 part = batch.slice(i, 256)
                 column = part.column("ids")
                 offsets = column.offsets.to_numpy()
-                flat = column.values.to_numpy(zero_copy_only=False).tolist()
+                # of this slice only: ``values`` are those of the whole batch
+                flat = column.values[offsets[0]:offsets[-1]].to_numpy(zero_copy_only=False).tolist()
+                offsets = offsets - offsets[0]
                 null = column.is_null().to_pylist()
                 texts = [None if x else decode_ids(model.value, flat[offsets[j]:offsets[j + 1]])
                          for j, x in enumerate(null)]
