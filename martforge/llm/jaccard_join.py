@@ -302,7 +302,8 @@ def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = found if links is None else links.union(found)
         rest = named.filter(F.col("nth") > leaders).select("key", "digest")
         leaders *= 2
-        labels = components(spark, links.select(F.col("left_digest").alias("u"), F.col("right_digest").alias("v")))
+        if labels is None or not found.isEmpty():
+            labels = components(spark, links.select(F.col("left_digest").alias("u"), F.col("right_digest").alias("v")))
 
     if labels is None:
         links = _verify(meeting.select(F.col("digest").alias("l"), F.col("digest").alias("r")).limit(0), classes, sets)
