@@ -4,7 +4,9 @@ One automaton finds every keyword of every kind in a pass over the text; the
 expression of a kind is tried at its hits only. Runs of hexadecimal digits have
 no keyword; they are found as byte runs of a whole batch at once. Tokens with an
 embedded checksum (six base-62 digits of a CRC-32, prefixes gh?_ and npm_) and
-web tokens (a base64 JSON header) count only if that part is valid.
+web tokens (a base64 JSON header) count only if that part is valid. A private
+key runs from its first marker to its last, or, if that is missing before the
+next marker or the end of the text, over the base64 lines that follow.
 
 Defined results: null and empty texts have no findings; offsets are code
 points, end exclusive; within a kind, findings never overlap (leftmost first);
@@ -28,6 +30,12 @@ from . import text as tx
 #: Kinds in the order in which findings of equal start are listed; the first three are the base kinds.
 KINDS = ("assign", "access", "hex", "github", "npm", "slack", "stripe", "google", "jwt", "private_key")
 BASE = KINDS[:3]
+#: After a private key's first marker: all up to its last marker, or header and base64 lines (line feeds may be escaped).
+_GAP = r"(?:\s|\\[nr])+"
+_KEY_BODY = (r"(?:(?s:(?:(?!-----BEGIN ).)*?)-----END (?:[A-Z]+ ){0,2}PRIVATE KEY-----"
+             rf"|(?:{_GAP}[A-Z][A-Za-z]*-[A-Za-z]+:[^\n\\]*)*"
+             rf"(?:(?:{_GAP}[A-Za-z0-9+/]{{20,}}={{0,2}})+(?:{_GAP}[A-Za-z0-9+/]{{1,19}}={{0,2}}(?=[\x20\t\r]*(?:\n|\\[nr]|[\"']|\Z)))?"
+             rf"|{_GAP}[A-Za-z0-9+/]{{1,19}}={{0,2}}(?=\s*\Z))?)")
 #: Keywords in lower case, and the expression that starts at the keyword.
 RULES = {
     "assign": (("password", "passwd", "secret", "token", "apikey", "api_key"),
@@ -40,7 +48,7 @@ RULES = {
     "stripe": (("sk_live_", "rk_live_"), re.compile(r"[sr]k_live_[0-9A-Za-z]{24,}")),
     "google": (("aiza",), re.compile(r"AIza[0-9A-Za-z_-]{35}(?![0-9A-Za-z_-])")),
     "jwt": (("eyj",), re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")),
-    "private_key": (("-----begin ",), re.compile(r"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----")),
+    "private_key": (("-----begin ",), re.compile(r"-----BEGIN (?:[A-Z]+ ){0,2}PRIVATE KEY-----" + _KEY_BODY)),
 }
 _HEX = np.zeros(256, bool)
 _HEX[list(b"0123456789abcdef")] = True

@@ -173,6 +173,25 @@ def test_secrets_against_plain_expressions(spark):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(x[2] == k for x in base) for k in secret_scan.BASE)
 
 
+def test_private_key_bodies_are_redacted():
+    a = secret_scan.automaton()
+    line = "MIIEpAIBAAKCAQEAx+3/" + "aB3+" * 11
+    key = lambda nl, name="RSA ": nl.join([f"-----BEGIN {name}PRIVATE KEY-----", line, line, "Qk9EWQ==",
+                                           f"-----END {name}PRIVATE KEY-----"])
+    cut = "\n".join(key("\n").split("\n")[:-1])
+    locked = key("\n").replace("-----\n", "-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n", 1)
+    for body in (key("\n"), key("\\n", ""), key("\r\n", "EC "), key(" "), cut, locked, "\n".join(locked.split("\n")[:-1]),
+                 key("\n> "), "-----BEGIN PRIVATE KEY-----\n" + line):
+        for text in (f"é before\n{body}", f"before {body}\nand after it", f"{body}\n\n{body}\nand after it"):
+            found = secret_scan.find(pa.array([text]), a)[0]
+            clean = secret_scan.redact(text, found)
+            assert "aB3+" not in clean and "Qk9EWQ" not in clean and "[private_key]" in clean, text
+            assert clean.endswith("and after it") == text.endswith("and after it"), clean
+    text = "the line -----BEGIN PRIVATE KEY----- starts a key"
+    assert secret_scan.redact(text, secret_scan.find(pa.array([text]), a)[0]) == "the line [private_key] starts a key"
+    assert len(secret_scan.find(pa.array(["-----BEGIN PRIVATE KEY-----\n" * 3000]), a)[0]) == 3000
+
+
 # ---- 5
 def brute_hits(text, items):
     find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
