@@ -293,6 +293,23 @@ def test_url_filter(spark):
     assert queries.op7_url_filter(spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
 
 
+def test_url_filter_deep_entries_and_slashes(spark):
+    import datetime as dt
+    at = lambda d: dt.datetime(2024, 1, d)
+    events = spark.createDataFrame(
+        [("block", "add", "deep.com/a/b/c/d/e", at(1)), ("allow", "add", "deep.com/a/b/c/d/e/f/g/", at(1)),
+         ("block", "add", "slash.com/x/", at(1)), ("block", "add", "Host.com/", at(1)), ("block", "remove", "host.com", at(9)),
+         ("block", "add", "two.com//y", at(1))], "list string, action string, pattern string, at timestamp_ntz")
+    rows = [(1, "http://deep.com/a/b/c/d/e"), (2, "http://deep.com/a/b/c/d/e/f"), (3, "http://deep.com/a/b/c/d"),
+            (4, "http://deep.com/a/b/c/d/e/f/g/h"), (5, "http://slash.com/x"), (6, "http://slash.com/x/y"),
+            (7, "http://slash.com/xy"), (8, "http://host.com/z"), (9, "http://two.com/y"), (10, "http://deep.com/a//b/c/d/e/")]
+    pages = spark.createDataFrame([(i, u, at(2)) for i, u in rows] + [(11, "http://host.com/z", at(10))],
+                                  "page_id long, url string, fetched_at timestamp_ntz")
+    out = {r.page_id: (r.blocked, r.matched) for r in url_filter.judge(pages, events).collect()}
+    assert {i for i, (blocked, _) in out.items() if blocked} == {1, 2, 5, 6, 8, 9, 10}
+    assert out[4] == (False, "deep.com/a/b/c/d/e/f/g") and out[6][1] == "slash.com/x" and out[11] == (False, None)
+
+
 # ---- 8
 def test_forward_backward():
     rng = np.random.default_rng(0)
