@@ -7,8 +7,8 @@ training texts are clustered (spherical k-means); the language of the centroid
 with the greatest cosine is the answer. A text farther from it than ``reject``
 times that centroid's own radius is rejected.
 
-The model is fitted on a bounded sample of labelled rows: ``sample`` texts per
-language, those of the least hash of doc_id. Predictions cover every row.
+The model is fitted on a bounded sample of labelled rows: ``sample`` distinct
+texts per language, those of the least hash of doc_id. Predictions cover every row.
 
 Defined results: null texts and texts without a letter are ``und``, score 0,
 rejected; with no training rows every text is ``und``; equal cosines go to the
@@ -90,12 +90,13 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model | None:
     """Fit on ``labelled(doc_id, text, lang)``; at most ``sample`` texts per language reach the driver."""
     ok = labelled.filter("text is not null and lang is not null").select("doc_id", "lang", "text")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "h")
-    # without the texts; row_number <= k keeps k rows per language and task before the shuffle
-    chosen = (ok.select("doc_id", "lang", F.xxhash64("text").alias("h")).withColumn("nth", F.row_number().over(order))
-              .filter(F.col("nth") <= sample).select("doc_id", "lang", "h", "nth"))
-    rows = (ok.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "lang", "h"])
-            .orderBy("lang", "nth").limit(sample * max(1, chosen.select("lang").distinct().count()))
+    # repeated texts of a language count once; row_number <= k keeps k rows per language and task before the shuffle
+    chosen = (ok.groupBy("lang", F.xxhash64("text").alias("h")).agg(
+                  F.min(F.xxhash64(F.col("doc_id").cast("string"))).alias("id"))
+              .withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("id", "h")))
+              .filter(F.col("nth") <= sample).select("lang", "h", "nth"))
+    rows = (ok.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
+            .groupBy("lang", "nth").agg(F.min("text").alias("text")).orderBy("lang", "nth")
             .select("lang", "text").collect())
     rows = [(r[0], r[1]) for r in rows if has_letter(r[1])]
     if not rows:

@@ -143,6 +143,21 @@ def test_language_edges(spark, docs):
     assert {r.lang_pred for r in none} == {"und"}
 
 
+def test_language_sample_of_repeated_rows(spark):
+    rows = [(100 * k + i, prose(1000 * k + i, 30) + f" {lang}{i}", lang)
+            for k, lang in enumerate(("de", "en", "es", "fr")) for i in range(30)]
+    ids = spark.createDataFrame(rows * 2 + [(None, "null id", "en")] * 50, "doc_id long, text string, lang string")
+    taken = []
+    fitted = language_id.vectors
+    try:
+        language_id.vectors = lambda texts, idf: taken.extend(texts) or fitted(texts, idf)
+        m = language_id.fit(ids, sample=20)
+    finally:
+        language_id.vectors = fitted
+    assert set(m.languages) == {"de", "en", "es", "fr"}
+    assert len(taken) == len(set(taken)) == 80
+
+
 # ---- 4
 def brute_base(text):
     out = []
