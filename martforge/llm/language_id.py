@@ -3,9 +3,11 @@
 A text is a vector of byte n-grams (2 to 4 bytes, lower case, other ASCII than
 letters as blanks) hashed into a fixed number of dimensions, weighted by log
 term frequency and IDF, and scaled to length 1. The vectors of a language's
-training texts are clustered (spherical k-means); the language of the centroid
-with the greatest cosine is the answer. A text farther from it than ``reject``
-times that centroid's own radius is rejected.
+training texts are clustered (spherical k-means; clusters of under ``LEAST_MEMBERS`` texts
+join the others); the language of the centroid with the greatest cosine is the
+answer. How near a text must be depends on its language and length (distinct
+n-grams, so that repetition makes no text longer): in each band of lengths, the cosine that 99% of the training texts reach, each held against
+the centroids without itself. A text under ``reject`` times that is rejected.
 
 The model is fitted on a bounded sample of labelled rows: ``sample`` distinct
 texts per language, those of the least hash of doc_id. Predictions cover every row.
@@ -31,8 +33,13 @@ DIMENSIONS = 1 << 13
 CLUSTERS = 3
 #: Training texts per language.
 SAMPLE = 300
-#: A text is rejected past this multiple of the greatest distance that a training text has from its centroid.
-REJECT = 1.5
+LEAST_MEMBERS = 5
+#: Lengths (distinct n-grams) that part the bands, and the texts that a language needs for a limit of its own in a band.
+BANDS, BAND_TEXTS = (128, 256, 512, 1024), 20
+#: A text is rejected under this share of the cosine that all but QUANTILE of the training texts of its band reach.
+REJECT, QUANTILE = 0.6, 0.01
+#: Least cosine where no training text has that length or less.
+FLOOR = 0.02
 UNDETERMINED = "und"
 
 _BLANK = np.arange(256, dtype=np.uint32)
@@ -45,7 +52,7 @@ class Model:
     idf: np.ndarray         # per dimension
     centroids: np.ndarray   # dimensions x centroids
     languages: np.ndarray   # of each centroid
-    radius: np.ndarray      # greatest distance (1 - cosine) of a training text, per centroid
+    least: np.ndarray       # least cosine of a text, centroids x bands
 
 
 def counts(text: str) -> np.ndarray:
@@ -74,17 +81,41 @@ def has_letter(text: str | None) -> bool:
     return text is not None and any(map(str.isalpha, text))
 
 
+def _scaled(c: np.ndarray) -> np.ndarray:
+    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
+
+
 def _cluster(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from farthest-first seeds."""
-    c = [x.mean(0)]
-    while len(c) < min(k, len(x)):
-        c.append(x[np.argmin(np.max(x @ np.array([v / max(np.linalg.norm(v), 1e-9) for v in c]).T, axis=1))])
-    c = np.array(c)
+    """Sums of the members of each cluster by spherical k-means; seeds are equal parts along the first principal axis."""
+    centered = x - x.mean(0)
+    axis = np.linalg.eigh((centered @ centered.T).astype(np.float64))[1][:, -1]
+    c = np.array([x[p].sum(0) for p in np.array_split(np.argsort(axis, kind="stable"), min(k, len(x)))])
     for _ in range(10):
-        c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-        near = np.argmax(x @ c.T, axis=1)
-        c = np.array([x[near == i].mean(0) if (near == i).any() else c[i] for i in range(len(c))])
-    return c / np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
+        near = np.argmax(x @ _scaled(c).T, axis=1)
+        c = np.array([x[near == i].sum(0) for i in range(len(c)) if (near == i).any()])
+    while len(c) > 1:
+        near = np.argmax(x @ _scaled(c).T, axis=1)
+        size = np.bincount(near, minlength=len(c))
+        if size.min() >= LEAST_MEMBERS:
+            break
+        rest = np.delete(c, size.argmin(), axis=0)
+        near = np.argmax(x @ _scaled(rest).T, axis=1)
+        c = np.array([x[near == i].sum(0) for i in range(len(rest)) if (near == i).any()])
+    return c
+
+
+def _bands(x: np.ndarray) -> np.ndarray:
+    return np.searchsorted(BANDS, (x > 0).sum(1), "right")
+
+
+def _least(cosine: np.ndarray, band: np.ndarray, lang: np.ndarray, name: str) -> list[float]:
+    """Least cosine of a text of ``name`` by band; bands with too few texts of it take those of all languages."""
+    out = []
+    for k in range(len(BANDS) + 1):
+        own, all_ = cosine[(band == k) & (lang == name)], cosine[band == k]
+        own = own if len(own) >= BAND_TEXTS else all_
+        out.append(max(FLOOR, REJECT * float(np.quantile(own, QUANTILE))) if len(own) else out[-1] if out else FLOOR)
+    return out
 
 
 def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) -> Model | None:
@@ -106,17 +137,21 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, clusters: int = CLUSTERS) ->
     x = raw * idf
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     langs = np.array([lang for lang, _ in rows])
-    centroids, names, radius = [], [], []
+    centroids, names, without = [], [], np.zeros(len(x))
     for lang in sorted(set(langs)):
         own = x[langs == lang]
-        c = _cluster(own, clusters)
-        cosine = own @ c.T
+        sums = _cluster(own, clusters)
+        near = np.argmax(own @ _scaled(sums).T, axis=1)
+        sums = np.array([own[near == i].sum(0) for i in range(len(sums)) if (near == i).any()])
+        cosine = own @ _scaled(sums).T
         near = np.argmax(cosine, axis=1)
-        for i in range(len(c)):
-            centroids.append(c[i])
-            names.append(lang)
-            radius.append(1 - cosine[near == i, i].min() if (near == i).any() else 0.0)
-    return Model(idf, np.array(centroids, np.float32).T, np.array(names), np.array(radius))
+        cosine[np.arange(len(own)), near] = np.sum(own * _scaled(sums[near] - own), axis=1)
+        without[langs == lang] = cosine.max(1)
+        centroids += list(_scaled(sums))
+        names += [lang] * len(sums)
+    band = _bands(x)
+    least = {lang: _least(without, band, langs, lang) for lang in set(names)}
+    return Model(idf, np.array(centroids, np.float32).T, np.array(names), np.array([least[n] for n in names]))
 
 
 def predict(texts: list[str | None], m: Model | None) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -126,12 +161,12 @@ def predict(texts: list[str | None], m: Model | None) -> tuple[list[str], np.nda
     at = [i for i, t in enumerate(texts) if has_letter(t)] if m is not None else []
     for j in range(0, len(at), 64):
         part = at[j:j + 64]
-        cosine = vectors([texts[i] for i in part], m.idf) @ m.centroids
+        x = vectors([texts[i] for i in part], m.idf)
+        cosine = x @ m.centroids
         best = cosine.argmax(1)
-        for i, k, c in zip(part, best, cosine[np.arange(len(part)), best]):
+        for i, k, b, c in zip(part, best, _bands(x), cosine[np.arange(len(part)), best]):
             lang[i], score[i] = str(m.languages[k]), min(1.0, max(0.0, float(c)))
-            # distances stay within 1 (orthogonal): texts that share nothing are always rejected
-            rejected[i] = 1 - c > min(REJECT * max(m.radius), 0.98)
+            rejected[i] = c < m.least[k, b]
     return lang, score, rejected
 
 

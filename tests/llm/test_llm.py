@@ -158,6 +158,23 @@ def test_language_sample_of_repeated_rows(spark):
     assert len(taken) == len(set(taken)) == 80
 
 
+def test_language_rejects_what_it_has_not_seen(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    m = language_id.fit(docs.filter("doc_id % 4 <> 2"))
+    rng = np.random.default_rng(0)
+    unseen = ["Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem. ",
+              "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki. ",
+              "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом. ",
+              "人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。",
+              "".join(rng.choice(list("asdfghjklqwertyuiopzxcvbnm   "), 1500))]
+    texts = [(t * 40)[:n] for t in unseen for n in (70, 150, 400, 1500)]
+    assert language_id.predict(texts, m)[2].all()
+    held = [r.text for r in docs.filter("doc_id % 4 = 2 and text is not null").collect()]
+    assert not language_id.predict(held, m)[2].any()
+    # no cluster of one text, and no limit set by the farthest text of all
+    assert len(set(m.least[:, 0]) | set(m.least[:, -1])) > 1 and m.least[:, -1].min() > m.least[:, 0].max()
+
+
 # ---- 4
 def brute_base(text):
     out = []
