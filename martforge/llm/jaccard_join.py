@@ -125,7 +125,7 @@ def join_keys(s: np.ndarray, frequency: np.ndarray) -> np.ndarray:
 
 def _profile(batches):
     """Per document its digest, set size and parity sketch; per partition the shingle frequencies (pieces)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()),
                         ("sketch", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.binary())])
     counts, seen = np.zeros(SLOTS, np.uint32), set()
     for step in tx.steps(batches, "text"):
@@ -140,13 +140,13 @@ def _profile(batches):
                 np.add.at(counts, (s & np.uint64(SLOTS - 1)).astype(np.int64), np.uint32(1))
         n = len(sets)
         yield pa.RecordBatch.from_arrays([
-            step.column("doc_id").cast(pa.int64()), pa.array(digests, pa.int64()),
+            step.column("doc_id").cast(pa.int64()), step.column("text_hash"), pa.array(digests, pa.int64()),
             pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
             pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
     if seen:
         pieces = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, CHUNKS)]
         yield pa.RecordBatch.from_arrays([
-            pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()),
+            *(pa.nulls(CHUNKS, pa.int64()) for _ in range(4)),
             pa.nulls(CHUNKS, pa.list_(pa.int64())), pa.array(range(CHUNKS), pa.int32()),
             pa.array(pieces, pa.binary())], schema=schema)
 
@@ -246,19 +246,19 @@ def _sketch_distance(short: str, long: str) -> str:
 def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs(doc_id, text, ...)`` to its members and its links.
 
-    * members: one row per document: doc_id, n_shingles, digest (the class:
-      documents with equal sets) and component_id, the least doc_id reachable
-      by links;
+    * members: one row per document: doc_id, text_hash, n_shingles, digest (the
+      class: documents with equal sets), label (the component's least digest)
+      and component_id, the least doc_id reachable by links;
     * links: verified links between classes (left_digest, right_digest,
       n_common, n_union). They connect every component; pairs inside a
       component that its links already connect need not be among them.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = materialize(spark, texts.mapInArrow(
-        _profile, "doc_id long, digest long, n_shingles long, sketch array<long>, piece int, counts binary"),
+    profile = materialize(spark, texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _profile, "doc_id long, text_hash long, digest long, n_shingles long, sketch array<long>, piece int, counts binary"),
         "jaccard-profile")
-    members = profile.filter("piece is null").select("doc_id", "digest", "n_shingles")
+    members = profile.filter("piece is null").select("doc_id", "text_hash", "digest", "n_shingles")
     classes = profile.filter("sketch is not null").groupBy("digest").agg(
         F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
 
@@ -309,10 +309,11 @@ def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         links = _verify(meeting.select(F.col("digest").alias("l"), F.col("digest").alias("r")).limit(0), classes, sets)
         labels = links.select(F.col("left_digest").alias("node"), F.col("left_digest").alias("label"))
     labelled = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
-        "doc_id", "digest", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "digest")).alias("label"))
+        "doc_id", "text_hash", "digest", "n_shingles",
+        F.when(F.col("n_shingles") > 0, F.coalesce("label", "digest")).alias("label"))
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     members = labelled.join(least, "label", "left").select(
-        "doc_id", "n_shingles", "digest",
+        "doc_id", "text_hash", "n_shingles", "digest", "label",
         F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
     return members, links
 
@@ -335,11 +336,20 @@ def _verify(tried: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """Keep one document of each component (the least doc_id; of rows that share it, one); the columns stay.
+    """Keep one row of each component (the least doc_id, null last; of its texts the least hash); the columns stay.
 
-    Documents without shingles are copies of nothing and all stay, as do null doc_ids.
+    It is decided per row: rows that share a doc_id but are linked with nothing
+    both stay, and of equal rows, null doc_ids included, one stays. Documents
+    without shingles are copies of nothing and all stay.
     """
     members, _ = ngram_jaccard(docs)
-    drop = members.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
-    return kept
+    key = lambda c, h: [c.isNull().alias("no_id"), F.coalesce(c, F.lit(0)).alias("id"), h.alias("text_hash")]
+    best = members.filter("n_shingles > 0").groupBy("label").agg(
+        F.min(F.struct(*key(F.col("doc_id"), F.col("text_hash")))).alias("best")).select("best.*")
+    text = F.col("text").cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # equal rows become one within their task before anything is dealt out
+    once = (docs.filter(worded).groupBy(*key(F.col("doc_id").cast("long"), F.xxhash64(text)))
+            .agg(F.min(F.struct(*docs.columns)).alias("row")))
+    kept = once.join(best, ["no_id", "id", "text_hash"], "left_semi").select("row.*")
+    return docs.filter(~worded).select(*docs.columns).union(kept)

@@ -306,6 +306,17 @@ def test_jaccard_query(spark):
     assert got == brute_components(docs)
 
 
+def test_one_per_component_decides_per_row(spark):
+    a, b, c, d = (prose(k, 60) for k in (20, 21, 22, 23))
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (6, c, "x"), (6, c, "x"), (6, c.upper(), "y"), (None, d, "x"), (None, d, "x"),
+            (None, a, "x"), (7, None, "x"), (7, None, "x"), (8, " \n", "x"), (None, "", "x"), (0, prose(24, 60), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    out = collect(jaccard_join.one_per_component(docs), "doc_id", "text", "id")
+    texts = Counter((i, (t or "").lower()) for i, t, _ in out)
+    assert texts == Counter([(1, a), (5, b), (6, c), (None, d), (7, ""), (7, ""), (8, " \n"), (None, ""), (0, prose(24, 60))])
+    assert jaccard_join.one_per_component(docs).columns == docs.columns
+
+
 # ---- 7
 def test_url_filter(spark):
     import datetime as dt
