@@ -463,6 +463,17 @@ def test_quality_query(spark, docs):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_of_a_language_of_copies(spark):
+    clean = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter("lang = 'es'").select("doc_id", "lang", "text")
+    hot = next(r for r in clean.orderBy("doc_id").collect() if 200 <= len((r.text or "").split()) <= 400)
+    copies = spark.range(3 * clean.count()).selectExpr("-1 - id as doc_id").crossJoin(
+        clean.filter(clean.doc_id == hot.doc_id).select("lang", "text").limit(1))
+    rows = {r.doc_id: (r.lower, r.upper, r.kept) for r in quality.judge(clean.union(copies)).collect()}
+    alone = {r.doc_id: (r.lower, r.upper, r.kept) for r in quality.judge(clean).collect()}
+    assert len(rows) == 4 * len(alone)
+    assert {i: rows[i] for i in alone} == alone and {rows[i] for i in rows if i < 0} == {alone[hot.doc_id]}
+
+
 # ---- pipeline
 def test_pipeline(spark):
     import corpus_pipeline
