@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
-from . import (decontaminate, jaccard_join, language_id, quality, secret_scan, sentencepiece, sharding, token_rollup,
-               toxicity, url_filter)
+from . import (bpe_trie, decontaminate, importance, jaccard_join, language_id, quality, secret_scan, sentencepiece, sharding,
+               token_alignment, token_rollup, toxicity, url_filter)
 from .graph import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +182,61 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "log_perplexity", "lower", "upper")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests, _ = token_alignment.align_corpus(_read(spark, sf_dir, "documents"))
+    return digests.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+#: Words of a table's texts, and the unsigned crc32 of a word's UTF-8 bytes, bit by bit.
+_IMPORTANCE_WORDS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"""
+_CRC32_SQL = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(generate_series(1, strlen(word)),
+                 lambda i: ('0x' || substr(hex(word), 2 * i - 1, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+IMPORTANCE_SQL = f"""
+WITH d AS (SELECT doc_id, rowid AS r, {_IMPORTANCE_WORDS} AS word FROM {{docs}}),
+per AS (SELECT doc_id, r, word, count(*) AS n FROM d GROUP BY ALL),
+aim AS (SELECT word, count(*) AS n FROM (SELECT {_IMPORTANCE_WORDS} AS word FROM {{target}}) GROUP BY word),
+hashed AS (SELECT word, {_CRC32_SQL} % 10000 AS bucket FROM (SELECT word FROM per UNION SELECT word FROM aim)),
+s AS (SELECT bucket, sum(n) AS s FROM per JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM aim JOIN hashed USING (word) GROUP BY bucket),
+total AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS t),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t.t, 0) + 1)::DOUBLE * (total.s + 10000)
+                                      / ((s.s + 1)::DOUBLE * (total.t + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket) CROSS JOIN total),
+weight AS (
+  SELECT r, sum(n) AS n_features, sum(n * gain) AS weight
+  FROM per JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT x.doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(x.doc_id::VARCHAR, '')),
+              1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM (SELECT doc_id, rowid AS r FROM {{docs}}) x LEFT JOIN weight USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight, n_features) AS nth,
+         count(*) FILTER (WHERE n_features >= 20) OVER () AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND nth <= 10 * n // 100 THEN nth END AS rank
+FROM ranked"""
+
+
+@query("op12_importance", IMPORTANCE_SQL.format(
+    docs="(SELECT *, row_number() OVER () AS rowid FROM documents)", target="benchmark"))
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_bpe_trie")
+def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe_trie.encode(_read(spark, sf_dir, "documents"), ["doc_id"])
+    return bpe_trie.decode(coded, ["doc_id", "n_tokens", "ids"]).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
