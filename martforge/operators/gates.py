@@ -102,9 +102,9 @@ def validate_warehouse(summary: DataFrame, score_min: float = WAREHOUSE_SCORE_MI
 
 
 def validate_layers(layer_counts: DataFrame, layers=LAYERS) -> DataFrame:
-    """(layer, rows, passed) for every expected layer; a missing layer fails."""
+    """(layer, rows, passed) for every expected layer; a missing or empty layer fails."""
     spark = layer_counts.sparkSession
     expected = spark.createDataFrame([(i, name) for i, name in enumerate(layers)], "layer_order int, layer string")
     j = expected.join(layer_counts.select("layer", "rows"), "layer", "left")
     return j.select("layer_order", "layer", "rows",
-                    (F.coalesce(F.col("rows"), F.lit(-1)) >= 0).alias("passed"))
+                    (F.coalesce(F.col("rows"), F.lit(0)) > 0).alias("passed"))

@@ -80,10 +80,13 @@ def sales_summary_view(fact: DataFrame, dim_channel: DataFrame, dim_product: Dat
 
 
 def daily_channel_product(fact: DataFrame, qty: str = "quantity", amount: str = "total_amount",
-                          ts: str = "order_date") -> DataFrame:
-    """Channel x product x day totals straight from a curated fact (no dims)."""
+                          ts: str = "order_date", keep=()) -> DataFrame:
+    """Channel x product x day totals straight from a curated fact (no dims).
+
+    ``keep`` names further columns, each fixed by the day.
+    """
     return (
-        fact.groupBy("channel", "product_id", F.to_date(ts).alias("sales_date"))
+        fact.groupBy("channel", "product_id", F.to_date(ts).alias("sales_date"), *keep)
         .agg(
             F.sum(qty).cast("bigint").alias("total_quantity"),
             F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("total_revenue"),

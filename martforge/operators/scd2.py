@@ -4,14 +4,11 @@
   incoming batch on the business key, followed by an ``explode`` that emits
   0..2 rows per key (kept, closed + new, new). History rows pass through
   without a shuffle. Re-running the same batch is a no-op (hashes equal).
-* ``scd2_history`` pre-aggregates the change log to one row per key and
-  period (a partial aggregate), so the lag/lead window per key sees at most
-  one row per calendar period: its size is bounded by the calendar, not by
-  how many raw changes a hot key has.
-* ``asof_join`` is an equi join on (key, month bucket) plus the half-open
-  range condition; each version is expanded to the months it overlaps
-  (capped at the facts' last time), so no key's versions are compared with
-  all of that key's facts.
+* ``scd2_history`` pre-aggregates the change log to one row per key and time
+  (a partial aggregate) and takes each row's neighbours from segments: range
+  partitions of (key, time) with a boundary pass, so a hot key is spread.
+* ``asof_join`` puts facts and versions in one order of (key, time), in the
+  same segments, and carries the last version to each fact.
 """
 
 from __future__ import annotations
@@ -20,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import OPEN_END, batch_id, record_hash, surrogate_key, ts_literal
+from .segments import SEGMENT, carry, in_segments
 
 PRODUCT_KEY = "product_id"
 PRODUCT_ATTRS = ("product_name", "category", "brand", "unit_cost")
@@ -118,41 +116,54 @@ def scd2_history(changes: DataFrame, key: str, ts: str, attrs, grain: str | None
 
     Every change time counts. With a ``grain`` (such as ``day``) the state of
     a period is the latest change in it and starts with the period. Ties on
-    time go to the larger attribute values.
+    time go to the larger attribute values. The neighbours come from windows
+    over segments, so a key's changes spread over several tasks.
     """
     attrs = list(attrs)
     period = (F.date_trunc(grain, F.col(ts)) if grain else F.col(ts)).cast("timestamp_ntz")
     per = changes.groupBy(key, period.alias("effective_date")).agg(
         F.max(F.struct(F.col(ts).alias("_t"), *[F.col(a) for a in attrs])).alias("_s"))
     per = per.select(key, "effective_date", *[F.col(f"_s.{a}").alias(a) for a in attrs])
-    w = Window.partitionBy(key).orderBy("effective_date")
+    seg = in_segments(per, [key], ["effective_date"])
     cur = F.struct(*[F.col(a) for a in attrs])
-    prev = F.lag(cur).over(w)
-    changed = per.withColumn("_chg", prev.isNull() | ~prev.eqNullSafe(cur)).filter("_chg").drop("_chg")
-    nxt = F.lead("effective_date").over(w)
-    out = changed.withColumn("end_date", F.coalesce(nxt, ts_literal(OPEN_END)))
-    return out.withColumn("is_current", F.col("end_date") == ts_literal(OPEN_END))
+    changed = (carry(seg, [key], ["effective_date"], cur, "_prev")
+               .filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(cur)).drop("_prev"))
+    out = carry(changed, [key], ["effective_date"], F.col("effective_date"), "end_date", backwards=True).drop(SEGMENT)
+    out = out.withColumn("end_date", F.coalesce("end_date", ts_literal(OPEN_END)))
+    return out.select(key, "effective_date", *attrs, "end_date", (F.col("end_date") == ts_literal(OPEN_END)).alias("is_current"))
 
 
 def asof_join(facts: DataFrame, versions: DataFrame, key: str, fact_ts: str,
-              eff: str = "effective_date", end: str = "end_date", how: str = "inner",
-              bucket: str = "month") -> DataFrame:
+              eff: str = "effective_date", end: str = "end_date", how: str = "inner") -> DataFrame:
     """Point-in-time join: the version with eff <= fact_ts < end (half-open).
 
-    Versions must not overlap per key, so every fact matches at most once.
+    Versions must not overlap per key, so a fact's only candidate is the last
+    version that began at or before it. Both sides are put in one order of
+    (key, time), versions before facts, and each fact takes the last version
+    carried to it; no version is expanded and a hot key spreads over segments.
+    Facts without a key or time match nothing (``left``: with null versions).
     """
-    # the facts' last time, as a scalar subquery in the same plan (no job of
-    # its own; the facts' exchanges can be shared with the join below): open
-    # versions are expanded only up to it. No facts -> NULL -> no versions.
-    cap = facts.agg(F.max(fact_ts)).scalar()
-    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
-    last = F.least(F.col(end) - F.expr("INTERVAL 1 MICROSECOND"), cap)
-    v = versions.filter((F.col(eff) <= cap) & (F.col(end) > F.col(eff)))
-    vexp = v.withColumn("_b", F.explode(F.sequence(
-        F.date_trunc(bucket, F.col(eff)).cast("timestamp_ntz"),
-        F.date_trunc(bucket, last).cast("timestamp_ntz"), step)))
-    f = facts.withColumn("_b", F.date_trunc(bucket, F.col(fact_ts)).cast("timestamp_ntz"))
-    vk = vexp.withColumnRenamed(key, "_vk")
-    cond = ((f[key] == vk["_vk"]) & (f["_b"] == vk["_b"]) &
-            (f[fact_ts] >= vk[eff]) & (f[fact_ts] < vk[end]))
-    return f.join(vk, cond, how).drop("_b", "_vk")
+    if how not in ("inner", "left"):
+        raise ValueError(f"as-of join: {how}")
+    known = F.col(key).isNotNull() & F.col(fact_ts).isNotNull()
+    v_cols = [c for c in versions.columns if c != key]
+    fact = F.struct(*facts.columns)
+    version = F.struct(*v_cols)
+    v_type, f_type = versions.select(version.alias("v")).schema["v"].dataType, facts.select(fact.alias("f")).schema["f"].dataType
+    v = versions.filter((F.col(end) > F.col(eff)) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(eff).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"),
+        F.lit(0).cast("long").alias("_tie"), version.alias("_version"), F.lit(None).cast(f_type).alias("_fact"))
+    f = facts.filter(known).select(
+        F.col(key).alias("_k"), F.col(fact_ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"),
+        F.monotonically_increasing_id().alias("_tie"), F.lit(None).cast(v_type).alias("_version"), fact.alias("_fact"))
+    order = ["_t", "_kind", "_tie"]
+    found = carry(in_segments(v.unionByName(f), ["_k"], order), ["_k"], order, F.col("_version"), "_at", inclusive=True)
+    holds = F.col("_t") < F.col(f"_at.{end}").cast("timestamp_ntz")
+    found = found.filter("_kind = 1").withColumn("_at", F.when(holds, F.col("_at")))
+    if how == "inner":
+        found = found.filter(F.col("_at").isNotNull())
+    out = found.select("_fact.*", *[F.col(f"_at.{c}").alias(c) for c in v_cols])
+    if how == "left":
+        unknown = facts.filter(~F.coalesce(known, F.lit(False)))
+        out = out.unionByName(unknown.select("*", *[F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in v_cols]))
+    return out

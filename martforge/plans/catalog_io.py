@@ -160,7 +160,7 @@ def load_layers_counts(spark, sf_dir):
     return _layers(spark, sf_dir)
 
 
-@register("validate_layers", LAYER_SQL + "SELECT layer_order, layer, rows, rows >= 0 AS passed FROM counts")
+@register("validate_layers", LAYER_SQL + "SELECT layer_order, layer, rows, rows > 0 AS passed FROM counts")
 def validate_layers(spark, sf_dir):
     return gates.validate_layers(_layers(spark, sf_dir))
 

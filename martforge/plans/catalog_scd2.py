@@ -157,3 +157,46 @@ def asof_product_version(spark, sf_dir):
     j = scd2.asof_join(facts, versions, model.PRODUCT_JOIN_KEY, "order_date")
     return j.select(format_id(*model.ORDER_FMT, "l_orderkey").alias("order_id"), "line_no", _product_id(),
                     "order_date", "supplier_id", "effective_date")
+
+
+# Second-grain changes with a hot key: a third of the orders are lines of one product.
+FINE_CHANGES = f"""changes AS (
+  SELECT CASE WHEN l_orderkey % {fixtures.HOT_MOD} = 0 THEN {fixtures.HOT_PRODUCT} ELSE l_partkey END AS product,
+         l_shipdate + to_seconds((l_orderkey * 7919 + l_linenumber * 613) % 86400) AS change_time,
+         printf('LOC_%05d', l_suppkey) AS supplier_id
+  FROM lineitem),
+states AS (
+  SELECT product, change_time AS effective_date, max(supplier_id) AS supplier_id FROM changes GROUP BY ALL),
+versions AS (
+  SELECT product, effective_date, supplier_id,
+         coalesce(lead(effective_date) OVER (PARTITION BY product ORDER BY effective_date), TIMESTAMP '{OPEN}') AS end_date
+  FROM (SELECT *, lag(supplier_id) OVER (PARTITION BY product ORDER BY effective_date) AS before FROM states)
+  WHERE before IS DISTINCT FROM supplier_id)"""
+
+
+def _fine_history(t):
+    return scd2.scd2_history(fixtures.fine_supplier_changes(t), model.PRODUCT_JOIN_KEY, "change_time", ["supplier_id"])
+
+
+@register("scd2_history_hot_key", with_ctes(FINE_CHANGES) + f"""
+SELECT printf('PROD_%05d', product) AS product_id, effective_date, supplier_id, end_date,
+       end_date = TIMESTAMP '{OPEN}' AS is_current FROM versions""")
+def scd2_history_hot_key(spark, sf_dir):
+    h = _fine_history(Tables(spark, sf_dir))
+    return h.select(_product_id(), "effective_date", "supplier_id", "end_date", "is_current")
+
+
+@register("asof_hot_key", with_ctes(FINE_CHANGES) + f""", sold AS (
+  SELECT l_orderkey, l_linenumber AS line_no, o_orderdate + INTERVAL 90 DAY + to_seconds(l_orderkey * 31 % 86400) AS sold_at,
+         CASE WHEN l_orderkey % {fixtures.HOT_MOD} = 0 THEN {fixtures.HOT_PRODUCT} ELSE l_partkey END AS product
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT printf('ORD_%08d', s.l_orderkey) AS order_id, s.line_no, printf('PROD_%05d', s.product) AS product_id, s.sold_at,
+       v.supplier_id, v.effective_date
+FROM sold s ASOF LEFT JOIN versions v ON s.product = v.product AND s.sold_at >= v.effective_date""")
+def asof_hot_key(spark, sf_dir):
+    """Facts and versions to the second; facts before a product's first version keep null versions."""
+    t = Tables(spark, sf_dir)
+    versions = _fine_history(t).select(model.PRODUCT_JOIN_KEY, "effective_date", "end_date", "supplier_id")
+    j = scd2.asof_join(fixtures.fine_sales(t), versions, model.PRODUCT_JOIN_KEY, "sold_at", how="left")
+    return j.select(format_id(*model.ORDER_FMT, "l_orderkey").alias("order_id"), "line_no", _product_id(), "sold_at",
+                    "supplier_id", "effective_date")

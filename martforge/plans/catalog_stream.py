@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..functions.columns import ts_literal
+from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, scd2
 from ..session import scratch_path
 from ..sources import ingest
 from ..sources.tables import Tables
-from ..streaming import batches, runner, windows
+from ..streaming import batches, landing, runner, windows
 from . import dim_store, fixtures, model
 from .catalog_scd2 import DIM_OUT, DIM_V1, INCOMING, MERGED, PRODUCT_SOURCE, V1
 from .registry import BATCH_TS, register, with_ctes
@@ -115,3 +116,87 @@ def stream_scd2_apply(spark, sf_dir):
         runner.run_foreach_batch(runner.read_landed(spark, land, schema), batches.scd2_applier(dim), ckpt)
     out = dim_store.read_dimension(spark, dim)
     return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)
+
+
+# Landed CSV lines of the orders: some with a quoted text, some too short, some with a number that is none.
+QUOTED_MOD, SHORT_MOD, TEXT_MOD = 41, 31, 37
+LANDED_SCHEMA = "order_key bigint, customer_key bigint, total double, note string"
+MALFORMED_SQL = f"o_orderkey % {SHORT_MOD} = 0 OR o_orderkey % {TEXT_MOD} = 0"
+
+
+def _land_order_lines(spark, sf_dir, base):
+    """Order lines as CSV text under one folder per order year; returns the landing folder."""
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    total = F.col("o_totalprice").cast("string")
+    line = (F.when(F.col("o_orderkey") % SHORT_MOD == 0, F.concat_ws(",", key, cust))
+            .when(F.col("o_orderkey") % TEXT_MOD == 0, F.concat_ws(",", F.concat(F.lit("no"), key), cust, total, F.lit("x")))
+            .when(F.col("o_orderkey") % QUOTED_MOD == 0,
+                  F.concat_ws(",", key, cust, total, F.concat(F.lit('"say ""'), "o_orderpriority", F.lit('"", then"'))))
+            .otherwise(F.concat_ws(",", key, cust, total, F.col("o_orderpriority"))))
+    (Tables(spark, sf_dir).orders.select(line.alias("order_key,customer_key,total,note"),
+                                         F.year("o_orderdate").alias("order_year"))
+     .repartitionByRange("order_year", F.rand(7)).write.partitionBy("order_year")
+     .options(header=True, quote="", sep="\u0001", escapeQuotes=False).csv(f"{base}/landing"))
+    return f"{base}/landing"
+
+
+@register("stream_csv_quarantine", f"""
+SELECT 'row' AS state, o_orderkey AS order_key, o_custkey AS customer_key, o_totalprice AS total,
+       CASE WHEN o_orderkey % {QUOTED_MOD} = 0 THEN 'say "' || o_orderpriority || '", then' ELSE o_orderpriority END AS note,
+       CAST(NULL AS VARCHAR) AS record
+FROM orders WHERE NOT ({MALFORMED_SQL})
+UNION ALL
+SELECT 'malformed', NULL, NULL, NULL, NULL,
+       CASE WHEN o_orderkey % {SHORT_MOD} = 0 THEN printf('%d,%d', o_orderkey, o_custkey) ELSE 'no' || o_orderkey END
+FROM orders WHERE {MALFORMED_SQL}""")
+def stream_csv_quarantine(spark, sf_dir):
+    """Landed CSV with quoted texts, short lines and wrong numbers: good rows typed, the others kept as text
+    (of a wrong number its first field is shown)."""
+    base = scratch_path(spark, "stream-csv")
+    schema = StructType.fromDDL(LANDED_SCHEMA)
+    landing.ingest_csv(spark, _land_order_lines(spark, sf_dir, base), schema, base, f"{base}/_checkpoint")
+    rows = spark.read.schema(schema).parquet(f"{base}/{landing.ROWS}").select(
+        F.lit("row").alias("state"), *schema.fieldNames(), F.lit(None).cast("string").alias("record"))
+    record = F.when(F.col("record").startswith("no"), F.substring_index("record", ",", 1)).otherwise(F.col("record"))
+    bad = spark.read.schema("record string").parquet(f"{base}/{landing.MALFORMED}").select(
+        F.lit("malformed").alias("state"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+        record.alias("record"))
+    return rows.unionByName(bad)
+
+
+@register("ingest_ledger", f"""
+SELECT order_year, records, malformed,
+       CAST(sum(records) OVER (ORDER BY order_year) AS BIGINT) AS processed_records,
+       CAST(sum(records) OVER () AS BIGINT) AS total_records,
+       CAST(sum(records) OVER (ORDER BY order_year) AS DOUBLE) / CAST(sum(records) OVER () AS DOUBLE) * 100.0
+         AS completion_percentage
+FROM (SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(count(*) AS BIGINT) AS records,
+             CAST(count(*) FILTER (WHERE {MALFORMED_SQL}) AS BIGINT) AS malformed
+      FROM orders GROUP BY ALL) y""")
+def ingest_ledger(spark, sf_dir):
+    """The recorded ledger of a stream that is run after each year's files have landed."""
+    base = scratch_path(spark, "ingest-ledger")
+    landed = _land_order_lines(spark, sf_dir, base)
+    total = Tables(spark, sf_dir).orders.count()
+    years = sorted(r[0] for r in Tables(spark, sf_dir).orders.select(F.year("o_orderdate")).distinct().collect())
+    schema = StructType.fromDDL(LANDED_SCHEMA)
+    for year in years:  # the years that have landed so far
+        so_far = "{" + ",".join(str(y) for y in years if y <= year) + "}"
+        landing.ingest_csv(spark, f"{landed}/order_year={so_far}", schema, base, f"{base}/_checkpoint")
+    files = landing.ledger(spark, base, total)
+    year = F.regexp_extract("source_file", "order_year=(\\d+)", 1).cast("int").alias("order_year")
+    return files.groupBy(year).agg(
+        F.sum("records").alias("records"), F.sum("malformed").alias("malformed"),
+        F.max("processed_records").alias("processed_records"), F.max("total_records").alias("total_records"),
+        F.max("completion_percentage").alias("completion_percentage"))
+
+
+@register("scd2_late_extract", with_ctes(PRODUCT_SOURCE, DIM_V1, INCOMING, MERGED) + f"SELECT {DIM_OUT} FROM merged")
+def scd2_late_extract(spark, sf_dir):
+    """The change batch arrives before the first extract: the same dimension as in the order of their times."""
+    t = Tables(spark, sf_dir)
+    base = f"{scratch_path(spark, 'late-scd2')}/dim_product"
+    for ts, extract in ((BATCH_TS, fixtures.incoming_products(t)), (V1, fixtures.product_source(t))):
+        dim_store.apply_batch(spark, base, extract, ts_literal(ts), batch_id_text(ts))
+    out = dim_store.read_dimension(spark, base)
+    return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)

@@ -35,10 +35,11 @@ def fct_checks() -> dict[str, Column]:
 
 
 def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = None,
-              key_cols=LINE_KEY) -> DataFrame:
+              key_cols=LINE_KEY, keep=()) -> DataFrame:
     """raw sales -> curated fact rows: key, load audit, defaults.
 
     ``key_cols`` must all be there; a missing ``region`` (nullable) is null.
+    ``keep`` names further columns to carry along.
     """
     missing = [c for c in key_cols if c not in raw.columns]
     if missing:
@@ -51,4 +52,4 @@ def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = N
         "validation_status": F.lit(VALIDATION_STATUS_DEFAULT),
         "quality_score": (quality_score if quality_score is not None else F.lit(None)).cast("decimal(5,2)"),
     })
-    return df.select(*FCT_SALES_COLUMNS)
+    return df.select(*FCT_SALES_COLUMNS, *keep)

@@ -5,9 +5,9 @@ product dimension (new version) + sales fact (idempotent batch append) ->
 load summary -> warehouse validation.
 
 ``run_layered``: landed sales files -> resumable ingest into raw -> empty
-check -> pre-transform gate 80 -> conform (names, types, audit) ->
-post-transform gate 90 (before anything is published) -> staging, core and
-mart tables -> layer validation.
+check -> conform (names, types, audit) -> rejects set aside -> gate 80 on the
+share of clean rows -> staging, core and mart of the batch's days, audited
+before they are published -> layer validation.
 
 Gates act on one-row summaries; data never passes through the driver. Time
 is a parameter (``batch_ts``), never read from the clock inside a key.
@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import batch_id_text, ts_literal
-from ..operators import conform, filters, gates, marts, quality
+from ..operators import conform, gates, quality
 from ..schemas import RAW_PRODUCTS_CSV, RAW_SALES_CSV
 from ..sources import csv as csv_src
 from ..sources import ingest, writers
-from . import curated, dim_store
+from . import curated, dim_store, incremental
 
 
 def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, warehouse: str,
@@ -57,24 +57,20 @@ def transform(df: DataFrame, batch_ts: str) -> DataFrame:
 
 def run_layered(spark: SparkSession, landing: str, warehouse: str, batch_ts: str,
                 schema=RAW_SALES_CSV, fmt: str = "csv", line_key=curated.ORDER_PRODUCT_KEY) -> list:
-    """Returns the validated (layer, rows) rows."""
-    raw_path = f"{warehouse}/raw/sales_data"
+    """Files landed since the last run become one batch and go through all layers (``plans.incremental``).
+
+    Only the batch is scored and only its days are rewritten, so a refused
+    batch does not hold up later ones. Returns the (layer, rows) rows of the
+    batch's days. A run that failed after its ingest is completed by the same call.
+    """
+    raw_path, bid = f"{warehouse}/{incremental.RAW}", batch_id_text(batch_ts)
+
+    def land(batch: DataFrame, epoch_id: int) -> None:
+        # the checkpoint's epoch parts the batch: a replayed epoch replaces its own rows
+        writers.replace_partitions(batch.withColumns({"batch_id": F.lit(bid), "epoch_id": F.lit(epoch_id).cast("long")}),
+                                   raw_path, "batch_id", "epoch_id")
+
     ingest.ingest_resumable(spark, landing, schema, raw_path, f"{warehouse}/_checkpoints/raw", fmt=fmt,
-                            max_files_per_trigger=4)
-    raw = gates.require_rows(spark.read.schema(schema).parquet(raw_path), "raw layer")
-    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(raw)), "pre_transform", gates.PRE_TRANSFORM_GATE))
-    transformed = transform(raw, batch_ts)
-    gates.enforce(gates.gate(quality.ratio_summary(quality.dq_sales(transformed)), "post_transform",
-                             gates.POST_TRANSFORM_GATE))
-    staging = writers.replace_table(filters.clean_sales(transformed), f"{warehouse}/staging/sales_clean")
-    core = writers.write_partitioned(curated.fct_sales(spark.read.parquet(staging), ts_literal(batch_ts), key_cols=line_key),
-                                     f"{warehouse}/core/fct_sales", "order_date",
-                                     ["channel", "product_id", "customer_id"])
-    mart = writers.replace_table(marts.daily_channel_product(spark.read.parquet(core)),
-                                 f"{warehouse}/mart/sales_summary")
-    counts = None
-    for i, (layer, path) in enumerate((("raw", raw_path), ("staging", staging), ("core", core), ("mart", mart))):
-        c = spark.read.parquet(path).agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
-            F.lit(i).alias("layer_order"), F.lit(layer).alias("layer"), "rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return gates.enforce_checks(gates.validate_layers(counts), "layer validation")
+                            max_files_per_trigger=4, foreach_batch=land)
+    raw = spark.read.parquet(raw_path).filter(F.col("batch_id") == bid).drop("epoch_id")
+    return incremental.process_batch(spark, warehouse, raw, batch_ts, line_key=line_key).collect()

@@ -100,6 +100,35 @@ def product_supplier_changes(t: Tables) -> DataFrame:
     )
 
 
+# Fixed hot key: a third of the orders' lines go to one product.
+HOT_MOD = 3
+HOT_PRODUCT = 1
+
+
+def _hot_product(order: str, part: str):
+    return F.when(F.col(order) % HOT_MOD == 0, F.lit(HOT_PRODUCT)).otherwise(F.col(part)).cast("bigint").alias(
+        model.PRODUCT_JOIN_KEY)
+
+
+def fine_supplier_changes(t: Tables) -> DataFrame:
+    """``product_supplier_changes`` to the second, with the hot product."""
+    return t.lineitem.select(
+        _hot_product("l_orderkey", "l_partkey"),
+        F.expr("l_shipdate + make_dt_interval(0, 0, 0, (l_orderkey * 7919 + l_linenumber * 613) % 86400)")
+        .alias("change_time"),
+        format_id(*model.LOCATION_FMT, "l_suppkey").alias("supplier_id"),
+    )
+
+
+def fine_sales(t: Tables) -> DataFrame:
+    """Order lines sold 90 days after their order date, to the second, with the hot product."""
+    li = t.lineitem.select("l_orderkey", F.col("l_linenumber").alias("line_no"), "l_partkey")
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "l_orderkey", "line_no", _hot_product("l_orderkey", "l_partkey"),
+        F.expr("o_orderdate + make_dt_interval(90, 0, 0, l_orderkey * 31 % 86400)").alias("sold_at"))
+
+
 def inventory_transactions(t: Tables) -> DataFrame:
     """Stock movements: returned lines are receipts, the rest are sales.
     Keyed by the numeric source keys of product and location."""

@@ -149,6 +149,24 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove scratch output (paths of ``scratch_path`` only)."""
+    if not path.startswith(f"{shared_dir(spark)}/martforge/"):
+        raise ValueError(f"not a scratch path: {path}")
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared folder for one job's output."""
     return f"{shared_dir(spark)}/martforge/{name}-{uuid.uuid4().hex[:12]}"

@@ -6,6 +6,8 @@ staging files, the job commits), so a lost executor only re-runs its tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,7 +46,32 @@ def write_partitioned(df: DataFrame, path: str, date_source: str, cluster_cols,
     return path
 
 
+def replace_partitions(df: DataFrame, path: str, *by: str) -> str:
+    """Replace the partitions that ``df`` has rows of; other partitions keep their files.
+
+    ``df`` must not read from ``path``.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+    return path
+
+
 def replace_table(df: DataFrame, path: str) -> str:
-    """Create-or-replace a table at a NEW path (never overwrite a path being read)."""
+    """Write a table at ``path``, over what is there: for folders of a run's own.
+
+    A failed write leaves no table; what readers use is replaced by ``replace_view``.
+    """
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def replace_view(df: DataFrame, base: str, view: str) -> str:
+    """Replace what ``view`` shows by ``df``: a new folder under ``base``, then the view is switched to it.
+
+    Readers see the old rows until the write has ended; a failed write changes
+    nothing for them. Returns the new folder.
+    """
+    path = f"{base.rstrip('/')}/v={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    spark = df.sparkSession
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    return path
