@@ -118,10 +118,11 @@ def test_rollup_query(spark):
                                   special_tokens={})
         for d in docs:
             if least[d.text] == d.doc_id:
-                text = d.text.strip(" ") if k == 0 else d.text
+                text = re.sub("[ \t\n\x0b\f\r]+", " ", d.text) if k == 0 else d.text
                 w = want[(d.source, d.lang, name)]
                 w[0], w[1], w[2] = w[0] + 1, w[1] + len(codec.encode_ordinary(text)), w[2] + len(text.encode())
     assert out == {k: tuple(v) for k, v in want.items()}
+    assert any(re.search(r"\s\s|[\t\n\r]", d.text) for d in docs if least[d.text] == d.doc_id)  # the revised ones
 
 
 # ---- 3
