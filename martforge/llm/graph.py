@@ -4,14 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path
+from ..session import drop_path, scratch_path
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: cuts the lineage; survives lost executors."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+#: Rows of a side that is sent to every task after its rows were counted; a larger one is joined by a shuffle.
+FEW_ROWS = 1 << 20
+
+
+def few(df: DataFrame) -> DataFrame:
+    """``df`` (a few numbers a row) to be sent to every task if it has at most FEW_ROWS rows."""
+    return F.broadcast(df) if df.limit(FEW_ROWS + 1).count() <= FEW_ROWS else df
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the files of materialized frames that nothing reads any more."""
+    for df in frames:
+        drop_path(df.sparkSession, df.scratch)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -40,8 +57,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                  .union(near.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
         new = materialize(spark, small, "cc")
         changed = new.exceptAll(edges).limit(1).count() + edges.exceptAll(new).limit(1).count()
+        discard(edges)
         edges = new
         if not changed:
             break
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
+    labels = materialize(spark, edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
+        edges.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct(), "cc-labels")
+    discard(edges)
+    return labels

@@ -127,7 +127,7 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_decontaminate")
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    out = decontaminate.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
