@@ -3,17 +3,21 @@
 Equal texts form a group. Groups are hashed into a fixed number of slots, each
 a point of the ring; a slot belongs to the first virtual node clockwise whose
 shard has room for it, and goes on past full shards. A shard is full at
-(1 + slack) times the mean of bytes, so balance is guaranteed; adding a shard
-moves what falls to its virtual nodes and what overflows. The heaviest slots
-are placed first, so that groups stay whole where they can. A slot of more than
-half a shard (a hot group) is divided by a hash of the rows.
+(1 + slack) times the mean of bytes; adding a shard moves what falls to its
+virtual nodes and what overflows. The heaviest slots are placed first, so that
+groups stay whole where they can. A slot of more than half a shard (a hot group)
+is divided by a hash of the rows, and a part of more than half a shard (one row
+that is repeated very often) by the rows' places in the input. So nothing but a
+single row can be larger than half a shard, and the loads stay within the limit
+unless rows of that size leave room in none; those go to the emptiest shard.
 
-Only the slots' byte sums are seen by the driver (at most SLOTS rows and PARTS
-per divided slot, of which there are at most twice as many as shards).
+Only byte sums are seen by the driver: of at most SLOTS slots and of PARTS parts
+of each divided slot or part, of which there are at most twice as many as shards.
 
 Defined results: a null text has size 1 and the checksum of an empty text; equal
-rows share their slot or its part; positions inside a shard are gapless from 0;
-an empty table gives no rows; other columns are ignored.
+rows share their slot or its part unless they alone are a hot part; positions
+inside a shard are gapless from 0; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -64,26 +68,38 @@ def shard(docs: DataFrame, shards: int = 8, slack: float = SLACK, nodes: int = V
     rows = materialize(spark, docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         F.pmod(F.xxhash64(text), F.lit(SLOTS)).cast("int").alias("g"),
-        F.xxhash64(F.col("doc_id").cast("string"), F.lit("row"), text).alias("h")), "shard-rows")
+        F.xxhash64(F.col("doc_id").cast("string"), F.lit("row"), text).alias("h"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("place")), "shard-rows")
     sums = {r.g: (r.bytes, r.n) for r in rows.groupBy("g").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
     total = sum(b for b, _ in sums.values())
-    hot = sorted(g for g, (b, _) in sums.items() if 2 * b * shards > total)
-    part = F.when(F.col("g").isin(hot), F.pmod("h", F.lit(PARTS))).otherwise(0).cast("int") if hot else F.lit(0)
-    rows = rows.withColumn("p", part)
-    slots = [(b, g, 0) for g, (b, _) in sums.items() if g not in hot]
-    if hot:
-        slots += [(r.bytes, r.g, r.p) for r in rows.filter(F.col("g").isin(hot)).groupBy("g", "p").agg(
-            F.sum("size").alias("bytes")).collect()]
+    loads = {(g, 0): b for g, (b, _) in sums.items()}
+    rows = rows.withColumn("p", F.lit(0))
+    # hot slots are divided by row, then hot parts of them by place
+    for base, by in ((1, "h"), (1 + PARTS, "place")):
+        hot = sorted(s for s, b in loads.items() if 2 * b * shards > total)
+        if not hot:
+            break
+        divided = F.struct("g", "p").isin([F.struct(F.lit(g), F.lit(p)) for g, p in hot])
+        # parts of a part keep its number in front
+        number = F.col("p") * (PARTS + 1) + base + F.pmod(by, F.lit(PARTS))
+        rows = rows.withColumn("was", F.when(divided, F.col("p")).otherwise(-1)).withColumn(
+            "p", F.when(divided, number).otherwise(F.col("p")).cast("int"))
+        loads = {s: b for s, b in loads.items() if s not in hot} | {(r.g, r.p): r.bytes for r in rows.filter("was >= 0").groupBy(
+            "g", "p").agg(F.sum("size").alias("bytes")).collect()}
+        rows = rows.drop("was")
+    slots = [(b, g, p) for (g, p), b in loads.items()]
     ring = sorted((r.point, r.shard) for r in spark.range(shards * nodes).select(
         (F.col("id") % shards).cast("int").alias("shard"), F.xxhash64("id", F.lit("node")).alias("point")).collect())
     table = spark.createDataFrame([(g, p) for _, g, p in slots], "g int, p int")
     points = {(r.g, r.p): r.point for r in table.select("g", "p", F.xxhash64("g", "p", F.lit("slot")).alias("point")).collect()}
-    chosen = place([(b, points[g, p], g * PARTS + p) for b, g, p in slots], ring, shards, slack)
+    chosen = place([(b, points[g, p], g << 32 | p) for b, g, p in slots], ring, shards, slack)
     owners = spark.createDataFrame([(g, p, s) for (_, g, p), s in zip(slots, chosen)], "g int, p int, shard int")
 
     bins = max(1, sum(n for _, n in sums.values()) // (shards * BIN_ROWS) + 1) * 32
     placed = materialize(spark, rows.join(F.broadcast(owners), ["g", "p"]).select(
-        "doc_id", "size", "text_crc32", "shard", F.pmod("h", F.lit(bins)).alias("bin")), "shard-placed")
+        "doc_id", "size", "text_crc32", "shard",
+        # rows divided by place are numbered by place, so equal ones do not share a bin
+        F.pmod(F.when(F.col("p") > PARTS, F.col("place")).otherwise(F.col("h")), F.lit(bins)).alias("bin")), "shard-placed")
     before = (placed.groupBy("shard", "bin").count()
               .withColumn("before", F.sum("count").over(Window.partitionBy("shard").orderBy("bin")) - F.col("count")))
     nth = F.row_number().over(Window.partitionBy("shard", "bin").orderBy("doc_id", "text_crc32", "size"))
