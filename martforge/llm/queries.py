@@ -28,6 +28,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def _crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned crc32 of a text's UTF-8 bytes, bit by bit."""
+    return f"""xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(generate_series(1, strlen({text})),
+                 lambda i: ('0x' || substr(hex({text}), 2 * i - 1, 2))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
 #: Members and components of the 5-word shingle join at 0.8; `{docs}` is the input relation.
 JACCARD_SQL = r"""
 WITH RECURSIVE w AS (
@@ -156,7 +165,35 @@ def list_events(pages: DataFrame) -> DataFrame:
         "list", "action", "pattern", "at")
 
 
-@query("op7_url_filter")
+_URL = "^[A-Za-z][A-Za-z0-9+.-]*://"
+URL_SQL = rf"""
+WITH cut AS (
+  SELECT page_id, url, lower(regexp_extract(url, '{_URL}(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+         regexp_extract(url, '{_URL}[^/?#]+(/[^/?#]+)', 1) AS folder,
+         array_to_string(list_filter(string_split(lower(regexp_extract(url, '{_URL}[^/?#]+(/[^?#]*)', 1)), '/'),
+                                     lambda x: x <> ''), '/') AS path,
+         TIMESTAMP '2024-01-01' + to_minutes({_crc32_sql('page_id::VARCHAR')} % 525600) AS fetched_at
+  FROM pages),
+listed AS (SELECT host, {_crc32_sql('host')} AS c, min(folder) AS folder FROM cut WHERE host <> '' GROUP BY host),
+entries AS (
+  SELECT 'block' AS list, host AS at_host, '' AS at_path, TIMESTAMP '2024-01-01' + to_days((c % 120)::INTEGER) AS since,
+         TIMESTAMP '2024-01-01' + to_days((180 + c % 180)::INTEGER) AS until
+  FROM listed WHERE c % 3 = 0
+  UNION ALL
+  SELECT 'allow', host, lower(substr(folder, 2)), TIMESTAMP '2024-01-01' + to_days((30 + c % 90)::INTEGER),
+         TIMESTAMP '2024-01-01' + to_days((150 + c % 90)::INTEGER)
+  FROM listed WHERE c % 9 = 0 AND folder <> ''),
+judged AS (
+  SELECT page_id, url, fetched_at, list, at_host || CASE WHEN at_path = '' THEN '' ELSE '/' || at_path END AS matched
+  FROM cut LEFT JOIN entries ON (host = at_host OR ends_with(host, '.' || at_host))
+    AND (at_path = '' OR path = at_path OR starts_with(path, at_path || '/'))
+    AND fetched_at >= since AND fetched_at < until)
+SELECT page_id, url, fetched_at, matched, list, coalesce(list = 'block', FALSE) AS blocked
+FROM judged
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(matched) DESC NULLS LAST, list = 'allow' DESC, matched DESC) = 1"""
+
+
+@query("op7_url_filter", URL_SQL)
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _read(spark, sf_dir, "pages")
     return url_filter.judge(captures(pages), list_events(pages))
@@ -203,7 +240,7 @@ IMPORTANCE_SQL = f"""
 WITH d AS (SELECT doc_id, rowid AS r, {_IMPORTANCE_WORDS} AS word FROM {{docs}}),
 per AS (SELECT doc_id, r, word, count(*) AS n FROM d GROUP BY ALL),
 aim AS (SELECT word, count(*) AS n FROM (SELECT {_IMPORTANCE_WORDS} AS word FROM {{target}}) GROUP BY word),
-hashed AS (SELECT word, {_CRC32_SQL} % 10000 AS bucket FROM (SELECT word FROM per UNION SELECT word FROM aim)),
+hashed AS (SELECT word, {_crc32_sql('word')} % 10000 AS bucket FROM (SELECT word FROM per UNION SELECT word FROM aim)),
 s AS (SELECT bucket, sum(n) AS s FROM per JOIN hashed USING (word) GROUP BY bucket),
 t AS (SELECT bucket, sum(n) AS t FROM aim JOIN hashed USING (word) GROUP BY bucket),
 total AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS t),
