@@ -37,7 +37,6 @@ def conform_types(df: DataFrame, type_map: dict[str, str] = TYPE_MAP, safe: bool
     ``safe=True`` uses ``try_cast`` for the quarantine path (bad -> null).
     """
     cols = []
-    checks = []
     for c in df.columns:
         if c in type_map:
             target = type_map[c]

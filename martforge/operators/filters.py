@@ -53,10 +53,6 @@ def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
             v.filter(F.col("validation_status") == "FAILED"))
 
 
-def current_rows(dim: DataFrame) -> DataFrame:
-    return dim.filter(F.col("is_current"))
-
-
 def loaded_on(df: DataFrame, ts_col: str, day: str) -> DataFrame:
     """Rows whose timestamp falls on ``day`` (as a range, so it reaches the scan)."""
     start = F.lit(day).cast("date").cast("timestamp_ntz")

@@ -8,11 +8,11 @@ anything is published.
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
+
 # Fixed thresholds of the source pipelines.
 DIMENSIONAL_GATE = 85.0
 PRE_TRANSFORM_GATE = 80.0
@@ -63,8 +63,9 @@ def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     return df
 
 
-def require_path(path: str) -> str:
-    if not os.path.exists(path.replace("file:", "")) and "://" not in path:
+def require_path(spark: SparkSession, path: str) -> str:
+    """A missing input is an error (asked of the path's own file system)."""
+    if not path_exists(spark, path):
         raise QualityGateError(f"file not found: {path}")
     return path
 

@@ -2,11 +2,11 @@
 
 Plan notes (checked with ``explain``):
 
-* channel and calendar dimensions (no static size bound) are broadcast only
-  after a bounded row count proves them small (``checked_broadcast``); the
-  product dimension is left to the planner: broadcast when its measured size
-  is under the threshold, otherwise a sort-merge join with AQE splitting
-  skewed partitions;
+* no join is hinted: dimensions are tables whose file sizes the planner knows,
+  so small ones are broadcast and larger ones joined by sort-merge, with AQE
+  splitting skewed partitions;
+* the product is joined once: where the fact already carries its names (the
+  cost lookup can bring them), no product dimension is passed;
 * ``count(DISTINCT order_id)`` is planned as a two-level aggregate: first
   shuffled on (group keys, order_id), so a hot group is spread by order id;
   the sums are partial (map-side) aggregates;
@@ -19,32 +19,29 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import date_key, surrogate_key
-from .joins import checked_broadcast
 
 
-def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+def star_join(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame | None = None,
               product_key: str = "product_id") -> DataFrame:
     """fact JOIN dim_product ON product key JOIN dim_channel ON channel_id (inner).
 
-    Product first: the fact arrives hash-partitioned on the product key (its
-    cost lookup joined on it), so this join adds no exchange on the fact
-    side; the channel dimension is then a size-checked broadcast.
+    Without ``dim_product`` the fact carries product_name and category.
     ``product_key`` may be a numeric source key both sides carry: it sorts
     on an 8-byte prefix, where text ids with a common prefix do not.
     """
-    ch = checked_broadcast(dim_channel.select("channel_id", "channel_name"))
-    pr = dim_product.select(product_key, "product_name", "category")
-    return fact.join(pr, product_key, "inner").join(ch, "channel_id", "inner")
+    if dim_product is not None:
+        fact = fact.join(dim_product.select(product_key, "product_name", "category"), product_key, "inner")
+    return fact.join(dim_channel.select("channel_id", "channel_name"), "channel_id", "inner")
 
 
-def star_join_date(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+def star_join_date(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame | None,
                    dim_date: DataFrame, product_key: str = "product_id") -> DataFrame:
     """Four-way star: + dim_date ON date_key."""
-    dd = checked_broadcast(dim_date.select("date_key", F.col("date").alias("calendar_date")))
-    return star_join(fact, dim_channel, dim_product, product_key).join(dd, "date_key", "inner")
+    days = dim_date.select("date_key", F.col("date").alias("calendar_date"))
+    return star_join(fact, dim_channel, dim_product, product_key).join(days, "date_key", "inner")
 
 
-def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame | None = None,
                   product_key: str = "product_id") -> DataFrame:
     """Flagship mart: channel x product name x category x day."""
     j = star_join(fact, dim_channel, dim_product, product_key)
@@ -60,7 +57,7 @@ def sales_summary(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFram
     )
 
 
-def sales_summary_view(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame,
+def sales_summary_view(fact: DataFrame, dim_channel: DataFrame, dim_product: DataFrame | None,
                        dim_date: DataFrame, product_key: str = "product_id") -> DataFrame:
     """The view form: through the date dimension, no order count.
 

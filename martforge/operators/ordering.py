@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.writers import as_table
+
 _POS_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -34,6 +36,7 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_index") -> DataFr
         F.shiftright("_mid", _POS_BITS).alias("_pid"),
         F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"),
     ).drop("_mid")
+    tagged = as_table(tagged, "row-index")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
@@ -55,11 +58,6 @@ def chunk_slice(df: DataFrame, order_cols, start: int, length: int) -> DataFrame
     return idx.filter((F.col("_ri") >= start) & (F.col("_ri") < start + length)).select(*cols)
 
 
-def with_chunk_no(df: DataFrame, order_cols, chunk: int, name: str = "chunk_no") -> DataFrame:
-    idx = with_row_index(df, order_cols, "_ri")
-    return idx.withColumn(name, F.floor(F.col("_ri") / F.lit(chunk)).cast("bigint")).drop("_ri")
-
-
 def concat_chunks(*dfs: DataFrame) -> DataFrame:
     """Bag union by column name (duplicates kept)."""
     return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -8,6 +8,7 @@ from ..functions.columns import date_key, ts_literal
 from ..operators import filters, marts
 from ..operators.conform import with_audit, with_total
 from ..sources.tables import Tables
+from ..sources.writers import as_table
 from . import fixtures, model
 from .registry import BATCH_TS, register, with_ctes
 from .sqlparts import (
@@ -15,75 +16,67 @@ from .sqlparts import (
     LINES, ORDER_HEADERS, RAW_SALES, date_key as sql_date_key, sha_of,
 )
 
+# The oracles of the marts start from the normalized tables: what each order bought of each
+# product on each day, in exact decimals, and then sums over the orders.
+BOUGHT = """bought AS (
+  SELECT c_mktsegment AS channel_name, p_name AS product_name, p_type AS category, CAST(l_shipdate AS DATE) AS sales_date,
+         l_orderkey, sum(CAST(l_quantity AS BIGINT)) AS pieces,
+         sum(CAST(l_extendedprice AS DECIMAL(12, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2)))) AS paid,
+         sum(CAST(l_quantity AS BIGINT) * CAST(p_retailprice AS DECIMAL(10, 2))) AS spent
+  FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+  JOIN part ON p_partkey = l_partkey
+  GROUP BY ALL)"""
+SUMMED = """channel_name, product_name, category, sales_date, CAST(sum(pieces) AS BIGINT) AS total_quantity,
+       CAST(sum(paid) AS DOUBLE) AS total_revenue, CAST(sum(paid) - sum(spent) AS DOUBLE) AS total_profit"""
+# One row per order line with its sales id and what it was sold as.
+SOLD = f"""sold AS (
+  SELECT {sha_of("printf('ORD_%08d', l_orderkey)", 'l_linenumber', "printf('PROD_%05d', l_partkey)")} AS sales_id,
+         c_mktsegment AS channel_name, p_name AS product_name, p_type AS category, l_shipdate AS sold_at,
+         CAST(l_extendedprice AS DECIMAL(12, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2))) AS paid
+  FROM part JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey
+  JOIN customer ON c_custkey = o_custkey)"""
+
+PRODUCT_NAMES = ("product_name", "category")
+
+
+def _named_fact(t):
+    """The sales fact with its products' names, from the one join that also gives their cost."""
+    return model.fact_sales(t, model.dim_product(t), carry=PRODUCT_NAMES)
+
+
 # ---------------------------------------------------------------- flagship A01
-MART_SQL = with_ctes(*FACT_CORE, DIM_CHANNEL) + """
-SELECT dc.channel_name, dp.product_name, dp.category,
-       CAST(fs.transaction_time AS DATE) AS sales_date,
-       CAST(SUM(fs.quantity_sold) AS BIGINT) AS total_quantity,
-       CAST(SUM(fs.net_amount) AS DOUBLE) AS total_revenue,
-       CAST(SUM(fs.profit_amount) AS DOUBLE) AS total_profit,
-       CAST(COUNT(DISTINCT fs.order_id) AS BIGINT) AS order_count
-FROM fact_sales fs
-JOIN dim_channel dc ON fs.channel_id = dc.channel_id
-JOIN dim_product dp ON fs.product_id = dp.product_id
-GROUP BY dc.channel_name, dp.product_name, dp.category, CAST(fs.transaction_time AS DATE)
-"""
-
-
-@register("mart_sales_summary", MART_SQL)
+@register("mart_sales_summary", with_ctes(BOUGHT) + f"""
+SELECT {SUMMED}, CAST(count(*) AS BIGINT) AS order_count
+FROM bought GROUP BY ALL""")
 def mart_sales_summary(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    products = model.dim_product(t)
-    return marts.sales_summary(model.fact_sales(t, products), model.dim_channel(t), products,
-                               model.PRODUCT_JOIN_KEY)
-
-
-@register("mart_sales_summary_view", with_ctes(*FACT_CORE, DIM_CHANNEL, DATE_SPAN, DIM_DATE) + """
-SELECT c.channel_name, p.product_name, p.category,
-       CAST(f.transaction_time AS DATE) AS sales_date,
-       CAST(SUM(f.quantity_sold) AS BIGINT) AS total_quantity,
-       CAST(SUM(f.net_amount) AS DOUBLE) AS total_revenue,
-       CAST(SUM(f.profit_amount) AS DOUBLE) AS total_profit
-FROM fact_sales f
-JOIN dim_channel c ON f.channel_id = c.channel_id
-JOIN dim_product p ON f.product_id = p.product_id
-JOIN dim_date t ON f.date_key = t.date_key
-GROUP BY c.channel_name, p.product_name, p.category, CAST(f.transaction_time AS DATE)
-""")
+    return marts.sales_summary(_named_fact(t), as_table(model.dim_channel(t), "dim-channel"))
+
+
+@register("mart_sales_summary_view", with_ctes(BOUGHT) + f"SELECT {SUMMED} FROM bought GROUP BY ALL")
 def mart_sales_summary_view(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    products = model.dim_product(t)
-    return marts.sales_summary_view(model.fact_sales(t, products), model.dim_channel(t), products,
-                                    model.dim_date(model.data_date_span(t)), model.PRODUCT_JOIN_KEY)
+    return marts.sales_summary_view(_named_fact(t), as_table(model.dim_channel(t), "dim-channel"), None,
+                                    as_table(model.dim_date(model.data_date_span(t)), "dim-date"))
 
 
-@register("star_join", with_ctes(*FACT_CORE, DIM_CHANNEL) + """
-SELECT fs.sales_id, dc.channel_name, dp.product_name, dp.category,
-       CAST(fs.net_amount AS DOUBLE) AS net_amount
-FROM fact_sales fs
-JOIN dim_channel dc ON fs.channel_id = dc.channel_id
-JOIN dim_product dp ON fs.product_id = dp.product_id
-""")
+@register("star_join", with_ctes(SOLD) + """
+SELECT sales_id, channel_name, product_name, category, CAST(paid AS DOUBLE) AS net_amount FROM sold""")
 def star_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    products = model.dim_product(t)
-    j = marts.star_join(model.fact_sales(t, products), model.dim_channel(t), products, model.PRODUCT_JOIN_KEY)
+    j = marts.star_join(_named_fact(t), as_table(model.dim_channel(t), "dim-channel"))
     return j.select("sales_id", "channel_name", "product_name", "category",
                     F.col("net_amount").cast("double").alias("net_amount"))
 
 
-@register("star_join_date", with_ctes(*FACT_CORE, DIM_CHANNEL, DATE_SPAN, DIM_DATE) + """
-SELECT fs.sales_id, dc.channel_name, dp.product_name, t.date AS calendar_date, fs.date_key
-FROM fact_sales fs
-JOIN dim_channel dc ON fs.channel_id = dc.channel_id
-JOIN dim_product dp ON fs.product_id = dp.product_id
-JOIN dim_date t ON fs.date_key = t.date_key
-""")
+@register("star_join_date", with_ctes(SOLD) + f"""
+SELECT sales_id, channel_name, product_name, CAST(sold_at AS DATE) AS calendar_date,
+       {sql_date_key('sold_at')} AS date_key
+FROM sold""")
 def star_join_date(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    products = model.dim_product(t)
-    j = marts.star_join_date(model.fact_sales(t, products), model.dim_channel(t), products,
-                             model.dim_date(model.data_date_span(t)), model.PRODUCT_JOIN_KEY)
+    j = marts.star_join_date(_named_fact(t), as_table(model.dim_channel(t), "dim-channel"), None,
+                             as_table(model.dim_date(model.data_date_span(t)), "dim-date"))
     return j.select("sales_id", "channel_name", "product_name", "calendar_date", "date_key")
 
 
@@ -157,16 +150,17 @@ def dim_date(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- filters F01-F04, J05
-STAGE_SQL_COLS = """order_id, product_id, customer_id, channel, quantity, unit_price,
-       CAST(total_amount AS DOUBLE) AS total_amount, order_date,
-       TIMESTAMP '{ts}' AS processed_at, 'batch_' || strftime(TIMESTAMP '{ts}', '%Y%m%d_%H%M%S') AS batch_id"""
-
-
-@register("staging_sales_clean", with_ctes(RAW_SALES, DIRTY_SALES) + f"""
-SELECT {STAGE_SQL_COLS.format(ts=BATCH_TS)}
-FROM dirty_sales
-WHERE order_id IS NOT NULL AND product_id IS NOT NULL AND quantity > 0 AND unit_price > 0
-""")
+@register("staging_sales_clean", f"""
+SELECT printf('ORD_%08d', l_orderkey) AS order_id, printf('PROD_%05d', l_partkey) AS product_id,
+       printf('CUST_%05d', o_custkey) AS customer_id, c_mktsegment AS channel, CAST(l_quantity AS BIGINT) AS quantity,
+       l_extendedprice / l_quantity AS unit_price, CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS DOUBLE) AS total_amount,
+       o_orderdate AS order_date, TIMESTAMP '{BATCH_TS}' AS processed_at,
+       strftime(TIMESTAMP '{BATCH_TS}', 'batch_%Y%m%d_%H%M%S') AS batch_id
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+-- the dirt: ids lost, quantities negated or lost
+WHERE NOT (l_orderkey % {fixtures.ORDER_NULL_MOD} = 0 OR l_partkey % {fixtures.PRODUCT_NULL_MOD} = 0
+           OR l_orderkey % {fixtures.QTY_NEGATE_MOD} = 0 OR l_orderkey % {fixtures.QTY_NULL_MOD} = 0)
+  AND least(CAST(l_quantity AS BIGINT), l_extendedprice / l_quantity) > 0""")
 def staging_sales_clean(spark, sf_dir):
     raw = with_audit(fixtures.dirty_sales(Tables(spark, sf_dir)), ts_literal(BATCH_TS))
     out = filters.clean_sales(raw)

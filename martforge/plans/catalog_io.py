@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ..functions.columns import file_stem, format_id, sanitize_id, ts_literal
@@ -216,5 +217,45 @@ def sanitize_id_q(spark, sf_dir):
 @register("file_stem", "SELECT 'lineitem' AS file_stem, CAST(count(*) AS BIGINT) AS row_count FROM lineitem")
 def file_stem_q(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "_metadata.file_path")
-    return li.groupBy(file_stem("file_path").alias("file_stem")).agg(
-        F.count(F.lit(1)).cast("bigint").alias("row_count"))
+    # one row per file before the stem is cut out
+    per_file = li.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy(file_stem("file_path").alias("file_stem")).agg(F.sum("n").cast("bigint").alias("row_count"))
+
+
+@register("bucketed_product_sales", """
+SELECT l_partkey AS product_source_key, p_name AS product_name, CAST(count(*) AS BIGINT) AS lines,
+       CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL""")
+def bucketed_product_sales(spark, sf_dir):
+    """Sales lines and products as tables in equal buckets of the product: joined and summed without an exchange."""
+    t = Tables(spark, sf_dir)
+    base = scratch_path(spark, "bucketed")
+    name = base.rsplit("/", 1)[1].replace("-", "_")
+    key, n = model.PRODUCT_JOIN_KEY, ingest.session_files(spark)
+    lines = writers.write_bucketed(
+        t.lineitem.select(F.col("l_partkey").alias(key), F.col("l_quantity").cast("bigint").alias("quantity"), "l_shipdate"),
+        f"{base}/lines", f"{name}_lines", key, n, ["l_shipdate"])
+    products = writers.write_bucketed(model.dim_product(t).select(key, "product_name"), f"{base}/products",
+                                      f"{name}_products", key, n)
+    return lines.join(products, key).groupBy(key, "product_name").agg(
+        F.count(F.lit(1)).cast("bigint").alias("lines"), F.sum("quantity").cast("bigint").alias("quantity"))
+
+
+@register("replace_view", f"SELECT {ORDERS_COLS} FROM orders")
+def replace_view(spark, sf_dir):
+    """A view over orders up to 1997 is replaced by one over all; a write that fails in between changes nothing."""
+    o = Tables(spark, sf_dir).orders
+    base = scratch_path(spark, "view")
+    name = base.rsplit("/", 1)[1].replace("-", "_")
+    early = F.col("o_orderdate") < ts_literal("1998-01-01 00:00:00")
+    writers.replace_view(o.filter(early), base, name)
+    shown = spark.table(name).count()
+    try:
+        writers.replace_view(o.withColumn("o_orderkey", F.when(early, F.col("o_orderkey")).otherwise(
+            F.raise_error(F.lit("refused")).cast("bigint"))), base, name)
+    except PySparkException:
+        pass
+    if spark.table(name).count() != shown:
+        raise AssertionError("a failed write changed the view")
+    writers.replace_view(o, base, name)
+    return spark.table(name)

@@ -8,8 +8,9 @@ from pyspark.sql.types import StructType
 from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, scd2
 from ..session import scratch_path
-from ..sources import ingest
+from ..sources import feeds, ingest
 from ..sources.tables import Tables
+from ..sources.writers import as_table
 from ..streaming import batches, landing, runner, windows
 from . import dim_store, fixtures, model
 from .catalog_scd2 import DIM_OUT, DIM_V1, INCOMING, MERGED, PRODUCT_SOURCE, V1
@@ -53,8 +54,12 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 def stream_dedup(spark, sf_dir):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     schema, base = _land_events(spark, sf_dir, "stream-dedup")
-    s = runner.read_landed(spark, f"{base}/landing", schema)
-    out = runner.run_to_parquet(windows.stream_dedup(s, ["event_id"], "ts"), f"{base}/out", f"{base}/_checkpoint")
+    for _ in range(2):
+        s = runner.read_landed(spark, f"{base}/landing", schema)
+        out = runner.run_to_parquet(windows.stream_dedup(s, ["event_id"], "ts"), f"{base}/out", f"{base}/_checkpoint")
+        # a third of the events is delivered again before the second run
+        again = spark.read.schema(schema).parquet(f"{base}/landing").filter("event_id % 3 = 0")
+        ingest.land_files(as_table(again, "events-again"), f"{base}/landing", None, ["ts"], mode="append")
     return spark.read.schema(schema).parquet(out)
 
 
@@ -200,3 +205,38 @@ def scd2_late_extract(spark, sf_dir):
         dim_store.apply_batch(spark, base, extract, ts_literal(ts), batch_id_text(ts))
     out = dim_store.read_dimension(spark, base)
     return out.withColumn("unit_cost", F.col("unit_cost").cast("double")).select(*scd2.DIM_COLUMNS)
+
+
+@register("stream_dq_sealed", _per_delivery_sql())
+def stream_dq_sealed(spark, sf_dir):
+    """Each delivery (an order year) lands over three triggers and is scored once, when its last rows are there."""
+    raw = model.raw_sales(Tables(spark, sf_dir)).withColumn("delivery", F.year("order_date").cast("bigint"))
+    base = scratch_path(spark, "stream-sealed")
+    sizes = as_table(raw.groupBy("delivery").agg(F.count(F.lit(1)).alias("rows")), "delivery-manifest")
+    for third in range(3):
+        ingest.land_files(raw.filter(F.pmod("line_no", F.lit(3)) == third), f"{base}/landing", None,
+                          ["delivery", "order_id", "line_no"], mode="append")
+        runner.run_foreach_batch(runner.read_landed(spark, f"{base}/landing", raw.schema),
+                                 batches.sealed_publisher(base, f"{base}/_checkpoint", lambda: sizes), f"{base}/_checkpoint")
+    cards = spark.read.parquet(f"{base}/scorecards")
+    return cards.select(F.col("delivery").cast("bigint").alias("delivery"), "check_order", "check_name", "passed", "score",
+                        "observed", "gate_passed")
+
+
+@register("ingest_feed_redelivery", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def ingest_feed_redelivery(spark, sf_dir):
+    """Orders land in three deliveries that overlap; what is delivered again (here with another priority) adds nothing."""
+    o = Tables(spark, sf_dir).orders
+    base = scratch_path(spark, "feed-once")
+    year = F.coalesce(F.year("o_orderdate"), F.lit(0))
+    seen = None
+    for low, high in ((0, 1995), (1994, 1997), (1996, 9999)):
+        part = o.filter((year >= low) & (year <= high))
+        if seen is not None:
+            again = F.when(year <= seen, F.lit("AGAIN")).otherwise(F.col("o_orderpriority"))
+            part = part.withColumn("o_orderpriority", again)
+        ingest.land_files(part, f"{base}/landing", None, ["o_orderkey"], mode="append")
+        feeds.ingest_feed_once(spark, o.schema, ["o_orderkey"], f"{base}/landing", f"{base}/table", f"{base}/_checkpoint")
+        seen = high
+    return spark.read.schema(o.schema).parquet(f"{base}/table")

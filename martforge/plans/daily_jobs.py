@@ -30,8 +30,8 @@ def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, ware
                   batch_ts: str, sales_schema=RAW_SALES_CSV, line_key=curated.ORDER_PRODUCT_KEY) -> dict:
     bts = ts_literal(batch_ts)
     bid = batch_id_text(batch_ts)
-    products = gates.require_rows(csv_src.scan_csv(spark, products_path, RAW_PRODUCTS_CSV), "products")
-    sales = gates.require_rows(csv_src.scan_csv(spark, sales_path, sales_schema), "sales")
+    products = gates.require_rows(csv_src.scan_csv(spark, gates.require_path(spark, products_path), RAW_PRODUCTS_CSV), "products")
+    sales = gates.require_rows(csv_src.scan_csv(spark, gates.require_path(spark, sales_path), sales_schema), "sales")
     products, sales = products.persist(), sales.persist()  # read by scorecard and by the load
     try:
         card = quality.dq_dimensional(products, sales)

@@ -212,18 +212,19 @@ def with_margin(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
+def fact_sales(t: Tables, products: DataFrame | None = None, carry=()) -> DataFrame:
     """Core sales fact: lines + product cost -> money chain, keys, date key.
 
     The lines cross the product shuffle with numeric keys only, partitioned
-    and sorted on the numeric product source key (which the mart's
-    product-name join reuses); text ids are formatted after the join.
+    and sorted on the numeric product source key; text ids are formatted after
+    the join. ``carry`` names columns of the products to keep, so that a mart
+    needs no second product join.
     """
     lines = line_headers(t).select(
         "l_orderkey", "l_linenumber", "l_suppkey", "o_custkey", "c_mktsegment", "l_quantity",
         "l_extendedprice", "l_discount", "l_shipdate", F.col("l_partkey").alias(PRODUCT_JOIN_KEY),
     )
-    prods = (products if products is not None else dim_product(t)).select(PRODUCT_JOIN_KEY, "cost_price")
+    prods = (products if products is not None else dim_product(t)).select(PRODUCT_JOIN_KEY, "cost_price", *carry)
     j = lines.join(prods, PRODUCT_JOIN_KEY, "inner").select(
         format_id(*ORDER_FMT, "l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -237,7 +238,7 @@ def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
         money("l_extendedprice", 12, 2).alias("total_amount"),
         money("l_discount", 4, 2).alias("discount_rate"),
         F.col("l_shipdate").alias("transaction_time"),
-        "cost_price",
+        "cost_price", *carry,
     )
     j = with_margin(j)
     return j.select(
@@ -256,5 +257,5 @@ def fact_sales(t: Tables, products: DataFrame | None = None) -> DataFrame:
         "cost_amount",
         "profit_amount",
         "transaction_time",
-        PRODUCT_JOIN_KEY,
+        PRODUCT_JOIN_KEY, *carry,
     )

@@ -31,10 +31,6 @@ ENGINE_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
-    # The distributed row index reads one range exchange twice (per-partition
-    # counts and tagged rows); reuse makes both one shuffle with one set of
-    # range bounds, so positions agree.
-    "spark.sql.exchange.reuse": "true",
 }
 
 
@@ -123,6 +119,17 @@ def size_for_input(spark: SparkSession, n_bytes: int) -> int:
     return n
 
 
+TEXT_SHUFFLE_BYTES = 32 * 1024 * 1024
+
+
+def size_text_shuffles(spark: SparkSession, n_bytes: int) -> int:
+    """Initial shuffle partitions of a query over texts: one per 32 MB of input (compressed; texts swell when they are
+    read), at least those that the session is set to; AQE coalesces them. Scans stay as the session has them."""
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / TEXT_SHUFFLE_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 

@@ -46,3 +46,21 @@ def ingest_feed(spark: SparkSession, name: str, landed_dir: str, table: str, che
     ingest_resumable(spark, landed_dir, schema, table, checkpoint, fmt=fmt,
                      max_files_per_trigger=max_files_per_trigger, foreach_batch=merge)
     return table
+
+
+def ingest_feed_once(spark: SparkSession, schema, keys, landed_dir: str, table: str, checkpoint: str,
+                     fmt: str = "parquet", bytes_per_trigger: int = 10 << 30) -> str:
+    """Append each key's first delivered row to ``table``; redelivered keys add nothing, in whatever trigger.
+
+    The keys seen are the stream's state, partitioned by key and kept in the
+    checkpoint, so a trigger reads the new files only and never the table. The
+    checkpoint belongs to the table: both are kept or dropped together. Of rows
+    of one key inside a trigger any one is taken.
+    """
+    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger)
+    if fmt == "csv":
+        reader = reader.options(header=True, escape='"')
+    first = reader.format(fmt).load(landed_dir).dropDuplicates(list(keys))
+    (first.writeStream.format("parquet").option("path", table).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+    return table

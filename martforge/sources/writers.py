@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def append_batch(df: DataFrame, path: str, batch_col: str = "batch_id") -> str:
     """Append one batch, idempotent by batch id.
@@ -46,6 +48,13 @@ def write_partitioned(df: DataFrame, path: str, date_source: str, cluster_cols,
     return path
 
 
+def as_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table under the shared folder: its size is that of its files, which the planner knows."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, *by: str) -> str:
     """Replace the partitions that ``df`` has rows of; other partitions keep their files.
 
@@ -64,6 +73,17 @@ def replace_table(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, key: str, buckets: int, sort=()) -> DataFrame:
+    """``df`` as the table ``table`` at ``path``, in ``buckets`` buckets of ``key``, each file sorted by (key, sort).
+
+    Tables of equal buckets and key are joined and aggregated on it without an
+    exchange; a filter on the key reads its bucket only.
+    """
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key, *sort)
+     .option("path", path).mode("overwrite").saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
 def replace_view(df: DataFrame, base: str, view: str) -> str:
     """Replace what ``view`` shows by ``df``: a new folder under ``base``, then the view is switched to it.
 

@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import batch_id_text, ts_literal
 from ..operators import gates, quality
+from ..session import path_exists
+from ..sources import writers
+from .landing import stream_id
 
 
 def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
@@ -68,6 +71,55 @@ def scored_publisher(base: str, threshold: float = gates.PRE_TRANSFORM_GATE, del
     return apply
 
 
+def sealed_publisher(base: str, checkpoint: str, manifest, delivery_col: str = "delivery",
+                     threshold: float = gates.PRE_TRANSFORM_GATE):
+    """Score and gate a delivery once, when all its rows have arrived, over however many triggers.
+
+    ``manifest`` gives a DataFrame (delivery, rows) of what each delivery holds;
+    it is asked at every trigger, so it may grow. Rows wait in ``<base>/pending``,
+    by delivery, stream and trigger. A delivery whose pending rows are as many
+    as announced is scored as one unit; its scorecard and its rows go to
+    ``scorecards`` and to ``published`` or ``quarantine``, each partitioned by
+    delivery, so a replayed trigger writes the same again. Only deliveries that
+    are announced and not scored yet are read.
+    """
+    def apply(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        writers.replace_partitions(batch.withColumns({
+            "stream_id": F.lit(stream_id(spark, checkpoint)), "epoch_id": F.lit(epoch_id).cast("bigint")}),
+            f"{base}/pending", delivery_col, "stream_id", "epoch_id")
+        pending = spark.read.parquet(f"{base}/pending")
+        announced = manifest()
+        if path_exists(spark, f"{base}/scorecards"):
+            scored = spark.read.parquet(f"{base}/scorecards").select(delivery_col).distinct()
+            announced = announced.join(scored, delivery_col, "left_anti")
+        waiting = {r[0]: r[1] for r in announced.select(delivery_col, "rows").collect()}  # one row per open delivery
+        open_rows = pending.filter(F.col(delivery_col).isin(list(waiting)))
+        arrived = {r[0]: r["count"] for r in open_rows.groupBy(delivery_col).count().collect()}
+        over = [d for d, n in arrived.items() if n > waiting[d]]
+        if over:
+            raise gates.QualityGateError(f"deliveries with more rows than announced: {over[:5]}")
+        ready = [d for d, n in arrived.items() if n == waiting[d]]
+        if not ready:
+            return
+        rows = pending.filter(F.col(delivery_col).isin(ready)).drop("stream_id", "epoch_id").persist()
+        try:
+            card = quality.dq_sales(rows, "stream_delivery", [delivery_col])
+            decision = card.groupBy(delivery_col).agg(
+                ((F.count_if("passed") / F.count(F.lit(1))) * F.lit(100.0) >= F.lit(float(threshold))).alias("gate_passed"))
+            decided = card.join(decision, delivery_col).persist()  # six rows per delivery
+            gate = decided.select(delivery_col, "gate_passed").distinct()
+            for passed, folder in ((True, "published"), (False, "quarantine")):
+                part = rows.join(gate.filter(F.col("gate_passed") == F.lit(passed)), delivery_col).drop("gate_passed")
+                writers.replace_partitions(part, f"{base}/{folder}", delivery_col)
+            # last: it marks the deliveries as scored
+            writers.replace_partitions(decided, f"{base}/scorecards", delivery_col)
+            decided.unpersist()
+        finally:
+            rows.unpersist()
+    return apply
+
+
 def scd2_applier(dim_base: str, snapshot_col: str = "extracted_at"):
     def apply(batch: DataFrame, epoch_id: int) -> None:
         from ..plans import dim_store

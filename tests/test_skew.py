@@ -159,16 +159,45 @@ def test_history_hot_key(spark):
     assert got_t == sorted(want)
 
 
-def test_checked_broadcast_bound(spark):
-    from martforge.operators.joins import checked_broadcast
-    fact = spark.range(5000).select((F.col("id") % 50).alias("k"), "id")
-    dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v")).distinct()
+def test_flagship_hot_part(spark, scratch):
+    """The registered mart where a third of the lines are of one part: one product join, split by AQE."""
+    import os
+    import sys
+    import duckdb
+    import __spark_entry__ as E
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from oracle_check import rows_key
+    src, base = "/root/testdata/sf0.001", scratch("hot-part")
+    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+    for n in names:
+        t = spark.read.parquet(f"{src}/{n}.parquet")
+        if n == "lineitem":
+            t = t.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_partkey"))
+                             .cast(t.schema["l_partkey"].dataType))
+        t.repartition(4).write.parquet(f"{base}/{n}.parquet")
+    con = duckdb.connect()
+    for n in names:
+        con.execute(f"CREATE VIEW {n} AS SELECT * FROM read_parquet('{base.removeprefix('file:')}/{n}.parquet/*.parquet')")
+    rel = con.sql(E.oracle_sql()["mart_sales_summary"])
+    query = E.queries()["mart_sales_summary"]
     with large_plan(spark):
-        small = fact.join(checked_broadcast(dim, max_rows=100), "k")
-        assert small.count() == 5000
-        plan = small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan
-        big = fact.join(checked_broadcast(dim, max_rows=10), "k")  # past the bound: no broadcast
-        assert big.count() == 5000
-        plan = big._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        df = query(spark, base)
+        for k, v in LARGE_PLAN.items():  # the query sizes the session; force the large plan again
+            spark.conf.set(k, v)
+        rows = [tuple(r) for r in df.collect()]
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin(skew=true)" in plan
+    assert rows_key(rows, df.columns) == rows_key(rel.fetchall(), rel.columns)
+
+
+def test_small_dimension_tables_are_broadcast(spark):
+    from martforge.sources.writers import as_table
+    fact = spark.range(5000).select((F.col("id") % 50).cast("string").alias("channel_id"), "id")
+    dim = as_table(spark.range(50).select(F.col("id").cast("string").alias("channel_id"),
+                                          F.col("id").alias("channel_name")).distinct(), "dim")
+    joined = marts.star_join(fact, dim)
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 5000
+    with large_plan(spark):
+        joined = marts.star_join(fact, dim)
+        assert joined.count() == 5000
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()

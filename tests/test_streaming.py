@@ -100,3 +100,59 @@ def test_scored_publisher_gates_each_delivery(spark, scratch):
     assert sum(1 for r in cards if r["delivery"] == 2 and r["passed"]) == 2  # row count, price range
     assert sorted(r["delivery"] for r in spark.read.parquet(f"{base}/published").collect()) == [1] * 5
     assert spark.read.parquet(f"{base}/quarantine").count() == 3
+
+
+def test_delivery_over_three_triggers_scores_once(spark, scratch):
+    from martforge.operators import gates
+    from martforge.streaming import batches, runner
+    import pytest
+    base = scratch("sealed")
+    schema = "order_id string, product_id string, quantity bigint, unit_price double, delivery bigint"
+    # every part of delivery 1 passes on its own, all of it does not: two parts share an order; delivery 2 is clean
+    parts = [[("A", "P", 1, 1.0, 1), ("B", "P", 1, 1.0, 2)], [("C", None, 1, 1.0, 1), ("A", "P", -5, 1.0, 1)],
+             [("D", "P", 1, 1.0, 1), ("E", "P", 1, 1.0, 2)]]
+    announced = {1: 4, 2: 2, 3: 9}
+    manifest = lambda: spark.createDataFrame(list(announced.items()), "delivery bigint, rows bigint")
+    publish = batches.sealed_publisher(base, f"{base}/_ck", manifest)
+    scored = []
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        runner.run_foreach_batch(runner.read_landed(spark, f"{base}/landing", spark.createDataFrame([], schema).schema),
+                                 publish, f"{base}/_ck")
+        try:
+            scored.append(sorted({r.delivery for r in spark.read.parquet(f"{base}/scorecards").collect()}))
+        except Exception:
+            scored.append([])
+    assert scored == [[], [], [1, 2]]
+    assert spark.read.parquet(f"{base}/published").select("delivery").distinct().collect()[0][0] == 2
+    assert spark.read.parquet(f"{base}/quarantine").filter("delivery = 1").count() == 4
+    announced[2], announced[4] = 2, 0
+    spark.createDataFrame([("X", "P", 1, 1.0, 3)] * 10, schema).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    with pytest.raises(Exception, match="more rows than announced"):
+        runner.run_foreach_batch(runner.read_landed(spark, f"{base}/landing", spark.createDataFrame([], schema).schema),
+                                 publish, f"{base}/_ck")
+    assert gates.QualityGateError
+
+
+def test_feed_reads_new_files_only(spark, scratch):
+    from martforge.sources import feeds
+    base = scratch("feed-once")
+    schema = spark.createDataFrame([], "k long, v string").schema
+    for n, rows in enumerate([[(1, "a"), (2, "a")], [(2, "b"), (3, "b"), (3, "b")], [(1, "c"), (4, "c")]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/landing")
+        feeds.ingest_feed_once(spark, schema, ["k"], f"{base}/landing", f"{base}/table", f"{base}/_ck")
+    feeds.ingest_feed_once(spark, schema, ["k"], f"{base}/landing", f"{base}/table", f"{base}/_ck")
+    assert sorted(map(tuple, spark.read.schema(schema).parquet(f"{base}/table").collect())) == [
+        (1, "a"), (2, "a"), (3, "b"), (4, "c")]
+
+
+def test_bucketed_join_needs_no_exchange(spark):
+    import __spark_entry__ as E
+    df = E.queries()["bucketed_product_sales"](spark, "/root/testdata/sf0.001")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in plan and "Join" in plan
