@@ -92,10 +92,12 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     1 inserts every document with the counts of both tokenizer versions; 2
     deletes the exact copies (all but the least doc_id of each text); 3 revises
     the counts of the first version (out with the old ones, in with those of
-    the texts without outer blanks); 1 is delivered again and changes nothing.
+    the texts with every run of white space made one space); 1 is delivered
+    again and changes nothing. Copies without a doc_id are not deleted.
     """
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    outer = F.coalesce(F.col("text") != F.trim("text"), F.lit(False))
+    single = F.regexp_replace("text", r"\s+", " ")
+    outer = F.coalesce(F.col("text") != single, F.lit(False))
     counted = materialize(spark, token_rollup.count(
         docs.withColumns({"h": F.sha2(F.coalesce("text", F.lit("")), 256), "outer": outer}),
         ["doc_id", "source", "lang", "h", "outer"]), "rollup-counted")
@@ -109,7 +111,7 @@ def op2_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = counted.filter(F.col("outer") & (F.col("tokenizer") == version)).join(
         copies.select("doc_id").distinct(), "doc_id", "left_anti")
     new = token_rollup.count(docs.filter(outer).join(copies.select("doc_id").distinct(), "doc_id", "left_anti")
-                             .withColumn("text", F.trim("text")), ["source", "lang"], {version: token_rollup.TOKENIZERS[version]})
+                             .withColumn("text", single), ["source", "lang"], {version: token_rollup.TOKENIZERS[version]})
     store.commit("3-revise", token_rollup.signed(old, -1), token_rollup.signed(new, 1))
     store.commit("1-insert", insert)
     return store.totals()

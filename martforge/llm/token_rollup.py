@@ -1,10 +1,11 @@
 """Token counts kept by deltas: signed rows add up to totals by source, language and tokenizer version.
 
 Every batch of inserts, deletes and revised counts becomes a few signed rows
-per group, committed under its id: its folder holds the rows, and a marker
-beside it, created last, makes it count. Committing an id again changes nothing
-(a batch that failed before its marker is written anew). Totals are sums over
-the committed batches.
+per group, committed under its id: a folder of the writer's own holds the rows,
+and a marker that names that folder, put in place last by a rename that fails if
+the id has one, makes it count. Committing an id again changes nothing, also for
+a writer that was at it at the same time. Totals are sums over the committed
+batches.
 
 Defined results: null texts have no tokens; null sources and languages are
 groups of their own; groups whose documents are all gone are not listed; an
@@ -14,8 +15,10 @@ empty batch commits; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import text as tx
@@ -79,19 +82,42 @@ class Rollup:
         rows = self.spark.createDataFrame([], SCHEMA)
         for d in deltas:
             rows = rows.unionByName(d)
-        rows.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in ("n_docs", "n_tokens", "n_bytes"))).write.mode(
-            "overwrite").parquet(f"{self.path}/batches/{batch_id}")
-        # the one step that makes the batch visible; fails for the second of two writers
+        folder = f"{batch_id}-{uuid.uuid4().hex}"
+        rows.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in ("n_docs", "n_tokens", "n_bytes"))).write.parquet(
+            f"{self.path}/batches/{folder}")
+        return self._publish(batch_id, folder)
+
+    def _publish(self, batch_id: str, folder: str) -> bool:
+        """Put the marker in place: the one step that makes a batch visible; False for the second of two writers."""
+        jvm = self.spark.sparkContext._jvm
         self._fs.mkdirs(self._hadoop(f"{self.path}/commits"))
-        self._fs.create(self._marker(batch_id), False).close()
+        draft = self._hadoop(f"{self.path}/drafts/{folder}")
+        out = self._fs.create(draft, False)
+        out.write(bytearray(folder, "utf-8"))
+        out.close()
+        options = jvm.org.apache.hadoop.fs.Options
+        none = self.spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 0)
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        try:
+            files.rename(draft, self._marker(batch_id), none)  # does not replace
+        except Py4JJavaError as e:
+            if "FileAlreadyExistsException" not in str(e.java_exception):
+                raise
+            return False
         return True
 
-    def committed(self) -> list[str]:
+    def committed(self) -> dict[str, str]:
+        """The folder of each committed batch."""
         folder = self._hadoop(f"{self.path}/commits")
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(folder)) if self._fs.exists(folder) else []
+        if not self._fs.exists(folder):
+            return {}
+        rows = self.spark.read.text(f"{self.path}/commits", wholetext=True).select(
+            "value", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("id")).collect()
+        return {r.id: r.value for r in sorted(rows, key=lambda r: r.id)}
 
     def totals(self) -> DataFrame:
-        paths = [f"{self.path}/batches/{b}" for b in self.committed()]
+        paths = [f"{self.path}/batches/{b}" for b in self.committed().values()]
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
         return rows.groupBy(*GROUP).agg(*(F.sum(c).alias(c) for c in ("n_docs", "n_tokens", "n_bytes"))).filter(
             "n_docs <> 0 or n_tokens <> 0 or n_bytes <> 0")
