@@ -1,10 +1,11 @@
 """Toxicity by a linear-chain conditional random field over the words of a text.
 
 Training (a bounded sample, below): labelled documents give labelled tokens: a
-word of a toxic document is toxic if it is found in at least ``MIN_SHARE`` of
-the toxic documents and ``LIFT`` times as often, by share of documents, as in
-the others. Near copies among the toxic documents count once. The field has two
-states, a weight per known word (others share one) and transition weights,
+word of a toxic document is toxic if it, or its beginning of ``begin`` letters,
+is found in at least ``share`` of the toxic documents and ``lift`` times as
+often, by share of documents, as in the others. Near copies among the toxic
+documents count once. The field has two states, a weight per known word, per
+known beginning for other words (the rest share one) and transition weights,
 fitted by gradient on the forward-backward marginals with an L2 penalty.
 
 Scoring runs forward-backward over whole texts, many texts side by side. The
@@ -30,21 +31,39 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import text as tx
 
-#: Training documents per label at most (those of the least hash of doc_id).
-SAMPLE = 800
-MIN_SHARE, LIFT, MIN_DOCUMENTS = 0.02, 20.0, 3
+#: Training documents per label at most (those of the least hash of doc_id), and others whose words are counted.
+SAMPLE, COUNTED = 800, 3200
+MIN_DOCUMENTS = 3
 SPAN = 0.5
-STEPS, RATE, PENALTY, CHUNK = 120, 0.3, 2e-5, 64
+STEPS, RATE, CHUNK = 120, 0.3, 64
 _WORD = re.compile(r"[^\W\d_]+")
 _LIMIT = 30.0
 
 
+@dataclass(frozen=True)
+class Setting:
+    """Chosen among several by a split inside the labelled rows that may be learned from (README)."""
+    share: float = 0.015
+    lift: float = 30.0
+    penalty: float = 2e-5
+    begin: int = 6
+
+
+def _begin(word: str, n: int) -> str:
+    """The beginning of a longer word, as a key that no word has."""
+    return word[:n] + "*" if n and len(word) > n else ""
+
+
 @dataclass
 class Model:
-    words: dict[str, int]    # known words to their index, others 0
+    words: dict[str, int]    # known words and beginnings to their index, others 0
     weight: np.ndarray       # emission of state 1 by word
     start: float
     move: np.ndarray         # transitions, state 0 is (0, 0)
+    begin: int = 0
+
+    def index(self, word: str) -> int:
+        return self.words.get(word) or self.words.get(_begin(word, self.begin), 0)
 
 
 def _chain(e: np.ndarray, active: np.ndarray, start: float, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +103,7 @@ def _pad(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, np.searchsorted(-size[order], -np.arange(1, len(out) + 1), "right"), order
 
 
-def _train(rows: list[np.ndarray], gold: list[np.ndarray], n_words: int):
+def _train(rows: list[np.ndarray], gold: list[np.ndarray], n_words: int, penalty: float):
     """Weights by Adam on the log likelihood of chunks of the token rows."""
     parts = [(r[i:i + CHUNK], g[i:i + CHUNK]) for r, g in zip(rows, gold) for i in range(0, len(r), CHUNK)]
     x, active, order = _pad([p[0] for p in parts])
@@ -112,7 +131,7 @@ def _train(rows: list[np.ndarray], gold: list[np.ndarray], n_words: int):
                 if (s, u) != (0, 0):
                     seen = (y[:-1] == s) & (y[1:] == u) & both
                     grad[n_words + 1 + 2 * s + u] = (seen - joint[s][u] / norm * both).sum()
-        grad = grad / total * 100 - PENALTY * theta
+        grad = grad / total * 100 - penalty * theta
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad ** 2
         theta = theta + RATE * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.99 ** step)) + 1e-8)
     return theta[:n_words], float(theta[n_words]), theta[n_words + 1:].reshape(2, 2)
@@ -130,26 +149,32 @@ def _distinct(texts: list[str]) -> list[list[str]]:
     return out
 
 
-def train(toxic: list[str], clean: list[str]) -> Model | None:
+def train(toxic: list[str], clean: list[str], setting: Setting = Setting()) -> Model | None:
     bad, good = _distinct(toxic), [t for t in (_WORD.findall(x.lower()) for x in clean) if t]
     if not bad or not good:
         return None
-    df_bad = Counter(w for t in bad for w in set(t))
-    df_good = Counter(w for t in good for w in set(t))
-    marked = {w for w, n in df_bad.items() if n >= max(MIN_DOCUMENTS, MIN_SHARE * len(bad))
-              and n / len(bad) >= LIFT * (df_good[w] + 0.5) / len(good)}
+    with_begins = lambda t: {x for w in set(t) for x in (w, _begin(w, setting.begin)) if x}
+    df_bad = Counter(w for t in bad for w in with_begins(t))
+    df_good = Counter(w for t in good for w in with_begins(t))
+    marked = {w for w, n in df_bad.items() if n >= max(MIN_DOCUMENTS, setting.share * len(bad))
+              and n / len(bad) >= setting.lift * (df_good[w] + 0.5) / len(good)}
     words = {w: i for i, w in enumerate(sorted(
         w for w, n in (df_bad + df_good).items() if w in marked or n >= 0.01 * (len(bad) + len(good))), 1)}
-    rows = [np.array([words.get(w, 0) for w in t]) for t in bad + good]
-    gold = [np.array([int(w in marked) for w in t]) for t in bad] + [np.zeros(len(t), int) for t in good]
-    return Model(words, *_train(rows, gold, len(words) + 1))
+    known = Model(words, np.empty(0), 0.0, np.empty(0), setting.begin)
+    good = good[:SAMPLE]
+    rows = [np.array([known.index(w) for w in t]) for t in bad + good]
+    gold = [np.array([int(w in marked or _begin(w, setting.begin) in marked) for w in t]) for t in bad] + [
+        np.zeros(len(t), int) for t in good]
+    return Model(words, *_train(rows, gold, len(words) + 1, setting.penalty), setting.begin)
 
 
-def fit(labelled: DataFrame, documents: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Fit on ``labelled(doc_id, toxic)`` and the texts of ``documents``; at most ``sample`` ids per label."""
+def fit(labelled: DataFrame, documents: DataFrame, sample: int = SAMPLE, counted: int = COUNTED) -> Model | None:
+    """Fit on ``labelled(doc_id, toxic)`` and the texts of ``documents``: at most ``sample`` toxic ids, and ``counted``
+    others, the first SAMPLE of which are trained on."""
     rows = labelled.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
-    ids = rows.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= sample).select("doc_id", "toxic", "nth")
+    ids = rows.withColumn("nth", F.row_number().over(order)).filter(
+        F.col("nth") <= F.when(F.col("toxic") == 1, sample).otherwise(counted)).select("doc_id", "toxic", "nth")
     # repeated rows of an id give one text
     texts = (documents.filter("text is not null").select("doc_id", "text").join(F.broadcast(ids), "doc_id")
              .groupBy("toxic", "nth").agg(F.min("text").alias("text")).orderBy("toxic", "nth").collect())
@@ -227,8 +252,7 @@ def posterior(rows: list[np.ndarray], m: Model) -> list[np.ndarray]:
 
 def marginals(texts: list[str | None], m: Model) -> list[np.ndarray]:
     """Marginal of the toxic state for each word of each text."""
-    get = m.words.get
-    return posterior([np.array([get(w, 0) for w in _WORD.findall(t.lower())], np.int64) if t else np.empty(0, np.int64)
+    return posterior([np.array([m.index(w) for w in _WORD.findall(t.lower())], np.int64) if t else np.empty(0, np.int64)
                       for t in texts], m)
 
 
