@@ -55,6 +55,13 @@ def enforce_checks(checks: DataFrame, what: str = "validation") -> list:
     return rows
 
 
+def enforce_contract(violations: DataFrame, table: str) -> None:
+    """Raise QualityGateError when a rule of a table's contract is broken (``quality.contract_violations``)."""
+    broken = violations.filter("violations > 0").collect()  # one row per rule at most
+    if broken:
+        raise QualityGateError(f"{table} contract: " + ", ".join(f"{r.rule}={r.violations}" for r in broken))
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Empty input is an error (checked before scoring: an empty batch would
     otherwise pass the pre-transform gate with 5 of 6 checks)."""

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import format_id, record_hash, surrogate_key, ts_literal
-from ..operators import scd2
+from ..operators import quality, scd2
 from ..sources.tables import Tables
-from . import fixtures, model
+from . import curated, fixtures, model
 from .registry import BATCH_TS, register, with_ctes
 from .sqlparts import LINES, ORDER_HEADERS, sha_of
 
@@ -200,3 +200,19 @@ def asof_hot_key(spark, sf_dir):
     j = scd2.asof_join(fixtures.fine_sales(t), versions, model.PRODUCT_JOIN_KEY, "sold_at", how="left")
     return j.select(format_id(*model.ORDER_FMT, "l_orderkey").alias("order_id"), "line_no", _product_id(), "sold_at",
                     "supplier_id", "effective_date")
+
+
+
+@register("dim_contract", with_ctes(PRODUCT_SOURCE, DIM_V1, INCOMING, MERGED) + f"""
+, broken AS (
+  SELECT {', '.join(f"count(*) FILTER (WHERE {c} IS NULL) AS \"not_null:{c}\"" for c in curated.DIM_NOT_NULL)},
+         count(product_key) - count(DISTINCT product_key) AS "primary_key:product_key",
+         count(*) FILTER (WHERE unit_cost < 0) AS "check:unit_cost_non_negative",
+         count(*) FILTER (WHERE effective_date >= end_date) AS "check:starts_before_it_ends",
+         count(*) FILTER (WHERE is_current <> (end_date = TIMESTAMP '{OPEN}')) AS "check:current_is_open"
+  FROM merged)
+SELECT rule, CAST(violations AS BIGINT) AS violations FROM (UNPIVOT broken ON COLUMNS(*) INTO NAME rule VALUE violations)""")
+def dim_contract(spark, sf_dir):
+    """Violations of each rule of the dimension's contract after the change batch."""
+    return quality.contract_violations(_merged(Tables(spark, sf_dir)), list(curated.DIM_NOT_NULL), "product_key",
+                                       curated.dim_checks())

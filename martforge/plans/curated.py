@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import surrogate_key
+from ..functions.columns import OPEN_END, surrogate_key, ts_literal
 from ..operators.conform import with_defaults, with_load_audit
 
 # Fixed column defaults of the curated fact table.
@@ -34,6 +34,19 @@ def fct_checks() -> dict[str, Column]:
     }
 
 
+DIM_NOT_NULL = ("product_key", "product_id", "product_name", "unit_cost", "effective_date", "end_date", "is_current",
+                "record_hash", "batch_id")
+
+
+def dim_checks() -> dict[str, Column]:
+    """Contract of the type-2 product dimension, row by row."""
+    return {
+        "unit_cost_non_negative": F.col("unit_cost") >= 0,
+        "starts_before_it_ends": F.col("effective_date") < F.col("end_date"),
+        "current_is_open": F.col("is_current") == (F.col("end_date") == ts_literal(OPEN_END)),
+    }
+
+
 def fct_sales(raw: DataFrame, batch_ts: Column, quality_score: Column | None = None,
               key_cols=LINE_KEY, keep=()) -> DataFrame:
     """raw sales -> curated fact rows: key, load audit, defaults.

@@ -38,7 +38,12 @@ def run_csv_to_dw(spark: SparkSession, products_path: str, sales_path: str, ware
         decision = gates.enforce(gates.gate(quality.summary(card), "dimensional_gate",
                                             gates.DIMENSIONAL_GATE))[0]
         dim_path = dim_store.apply_batch(spark, f"{warehouse}/dim_product", products, bts, bid)
+        # audited before the fact is published; suite 1 has scored the sales themselves
+        gates.enforce_contract(quality.contract_violations(
+            spark.read.parquet(dim_path), list(curated.DIM_NOT_NULL), "product_key", curated.dim_checks()), "dim_product")
         fct = curated.fct_sales(sales, bts, F.lit(decision["score"]), line_key)
+        gates.enforce_contract(quality.contract_violations(fct, list(curated.FCT_NOT_NULL), None, curated.fct_checks()),
+                               "fct_sales")
         fct_path = writers.append_batch(fct, f"{warehouse}/fct_sales")
         loaded = spark.read.parquet(fct_path).filter(F.col("batch_id") == bid)
         dim_now = dim_store.read_current(spark, f"{warehouse}/dim_product")

@@ -76,12 +76,6 @@ def _periods_of(spark: SparkSession, path: str, periods: list) -> DataFrame | No
     return spark.read.parquet(path).filter(F.col(PERIOD).isin(periods))
 
 
-def _refuse_violations(rows: DataFrame, not_null, key: str | None, checks: dict, layer: str) -> None:
-    broken = quality.contract_violations(rows, list(not_null), key, checks).filter("violations > 0").collect()
-    if broken:
-        raise gates.QualityGateError(f"{layer} contract: " + ", ".join(f"{r.rule}={r.violations}" for r in broken))
-
-
 def load_batch(spark: SparkSession, base: str, rows: DataFrame, batch_ts: str, grain: str = "day",
                line_key=curated.LINE_KEY, least_clean: float = gates.PRE_TRANSFORM_GATE) -> DataFrame:
     """Load one landed batch through all layers; returns (layer_order, layer, rows) of the batch's periods."""
@@ -113,8 +107,10 @@ def process_batch(spark: SparkSession, base: str, raw: DataFrame, batch_ts: str,
     core = _write(spark, facts, f"{audit}/core", ["channel", "product_id", "customer_id"])
     mart = _write(spark, marts.daily_channel_product(core, keep=[PERIOD]), f"{audit}/mart", ["channel", "product_id"])
 
-    _refuse_violations(core, curated.FCT_NOT_NULL, "sales_key", curated.fct_checks(), "core")
-    _refuse_violations(mart, MART_NOT_NULL, None, {"order_count_positive": F.col("order_count") > 0}, "mart")
+    gates.enforce_contract(quality.contract_violations(core, list(curated.FCT_NOT_NULL), "sales_key", curated.fct_checks()),
+                           "core")
+    gates.enforce_contract(quality.contract_violations(mart, list(MART_NOT_NULL), None,
+                                                       {"order_count_positive": F.col("order_count") > 0}), "mart")
     counts = None
     for i, (layer, table) in enumerate((("raw", raw), ("staging", staged), ("core", core), ("mart", mart))):
         c = table.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
