@@ -241,9 +241,7 @@ def brute_hits(text, items):
     return len(w), len(hit), ",".join(sorted(names))
 
 
-@pytest.mark.parametrize("broadcast", [50_000, 0])
-def test_decontamination(spark, docs, monkeypatch, broadcast):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", broadcast)
+def test_decontamination(spark, docs):
     items = [(1, prose(4, 14)), (2, "SOLO"), (10, "h i j a B"), (3, None), (4, "..."), (5, "nowhere to be found here")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = decontaminate.contamination(docs, bench).collect()
@@ -491,3 +489,27 @@ def test_pipeline(spark):
         assert sentencepiece.decode_ids(m, r.ids) == clean[i]
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs.limit(0), SF).count()
+
+
+def test_pipeline_of_odd_rows(spark, scratch):
+    """Null and empty texts, repeated rows, null ids and a large group of copies through all stages together."""
+    import corpus_pipeline
+    base = scratch("odd-rows")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    some = docs.orderBy("doc_id").limit(40)
+    hot = docs.filter("doc_id = 3").drop("doc_id").crossJoin(spark.range(1000, 1120).withColumnRenamed("id", "doc_id"))
+    odd = spark.createDataFrame([(None, "id is null " + prose(9, 60)), (2000, None), (2001, ""), (2002, "x" * 30_000)],
+                                "doc_id long, text string")
+    rows = some.unionByName(some).unionByName(hot.select(*docs.columns)).unionByName(odd, allowMissingColumns=True)
+    rows.repartition(4).write.parquet(f"{base}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{base}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, base).collect()
+    ids = [r.doc_id for r in out]
+    assert len(set(ids)) == len(ids) and not any(i is not None and 1000 <= i < 2000 for i in ids)
+    whole = {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()}
+    first = {r.doc_id for r in some.collect()}
+    assert len(first & whole - set(ids)) == 0
+    empty = scratch("no-rows")
+    docs.limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").limit(0).write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
