@@ -92,10 +92,13 @@ def process_batch(spark: SparkSession, base: str, raw: DataFrame, batch_ts: str,
     marked = conform.with_audit(gates.require_rows(raw, "raw batch"), ts_literal(batch_ts)).withColumns({
         "rule_mask": rule_mask(), PERIOD: F.to_date(F.date_trunc(grain, F.col("order_date")))})
     writers.append_batch(marked.filter("rule_mask <> 0").drop(PERIOD), f"{base}/{REJECTS}")
-    share = marked.agg((F.lit(100.0) * F.count_if(F.col("rule_mask") == 0) / F.count(F.lit(1))).alias("quality_score"))
+    # one pass: rows and clean rows by period
+    tally = marked.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("rule_mask") == 0).alias("clean")).collect()
+    n_raw = sum(r.rows for r in tally)
+    share = spark.createDataFrame([(100.0 * sum(r.clean for r in tally) / n_raw,)], "quality_score double")
     gates.enforce(gates.gate(share, "clean_rows", least_clean))
     clean = marked.filter("rule_mask = 0").drop("rule_mask")
-    periods = sorted(r[0] for r in clean.select(PERIOD).distinct().collect())
+    periods = sorted(r[PERIOD] for r in tally if r.clean)
 
     audit = scratch_path(spark, "audit")
     old = _periods_of(spark, f"{base}/{STAGING}", periods)
@@ -111,11 +114,8 @@ def process_batch(spark: SparkSession, base: str, raw: DataFrame, batch_ts: str,
                            "core")
     gates.enforce_contract(quality.contract_violations(mart, list(MART_NOT_NULL), None,
                                                        {"order_count_positive": F.col("order_count") > 0}), "mart")
-    counts = None
-    for i, (layer, table) in enumerate((("raw", raw), ("staging", staged), ("core", core), ("mart", mart))):
-        c = table.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
-            F.lit(i).alias("layer_order"), F.lit(layer).alias("layer"), "rows")
-        counts = c if counts is None else counts.unionByName(c)
+    counts = spark.createDataFrame([(layer, n) for layer, n in zip(gates.LAYERS, (
+        n_raw, staged.count(), core.count(), mart.count()))], "layer string, rows bigint")
     counted = gates.enforce_checks(gates.validate_layers(counts), "layer validation")
 
     for table, path in ((staged, STAGING), (core, CORE), (mart, MART)):
