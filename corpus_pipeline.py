@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martforge.llm import decontaminate, jaccard_join, language_id, secret_scan, sentencepiece
-from martforge.session import scratch_path
+from martforge.session import drop_path, scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +44,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written under the shared folder and reread."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:  # its rows are all in the next stage's files
+            drop_path(spark, before)
+        before = path
     return docs

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import drop_path, scratch_path
@@ -16,6 +18,13 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, by: str | None =
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of frames that nothing holds any more (it does so after a collection of the
+    driver's heap, which a large heap puts off)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows of a side that is sent to every task after its rows were counted; a larger one is joined by a shuffle.
 FEW_ROWS = 1 << 20
 

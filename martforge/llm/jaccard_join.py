@@ -9,51 +9,60 @@ difference of D <= (a + b) / 9.
    most D blocks differ: the number of differing blocks (and the Hamming
    distance of the one-bit-per-shingle parity sketch) is a lower bound of the
    symmetric difference.
-2. *Pigeonhole join, per size band.* Bands are [2^k, 2^(k+1)); a document whose
-   partner may be in the next band is entered there too. Blocks have a global
-   order, rarest first: any linked pair has a common block among the first
-   D + 1 non-empty blocks of both. Only those are joined, so a passage that
-   many documents share is joined by its rarer surroundings. Rarity is the
-   document frequency of a block's rarest shingle, counted over all documents
-   into a fixed number of slots; it is only an order, so slot collisions cost
-   work and never a link. Sets with no more than D non-empty blocks (their
-   shingles fell into few blocks) meet under one more key of their band.
-3. *Verify.* Within each key a leader is compared with every other member; the
-   sizes and the parity sketches must allow the link, then the sets are
-   intersected. Components are formed, and keys that still hold several
-   components are compared again with twice as many leaders, until none is
-   left. So a group of n copies costs n comparisons, and each pair that shares a
-   key is either compared or already connected.
-
-Sets are compared as 64-bit hashes of shingles, and documents with equal sets
-are one class, known by a 64-bit digest.
+2. *Pigeonhole join, per size band.* Bands are [2^k, 2^(k+1)); a set whose
+   partner may be in the next band is entered there too. In any order of block
+   values that is the same for all sets, a linked pair has r common blocks among
+   the first D + r of both; the order is that of the values themselves, and only
+   those blocks are joined. Sets with no more than D blocks meet under one more
+   key of their band.
+3. *Heavy keys.* A key with more than LIGHT members says little (a passage that
+   many documents share). A linked pair without a common light key has r common
+   heavy ones, so only sets with as many are *affected* (r is a share EXTRA of
+   D; a partner's r may be less by the ratio of their sizes). They enter more
+   of their blocks, as many as should hold D + 1 light ones by the share of heavy
+   ones seen; a block that more than LIGHT of the affected enter is heavy from
+   now on, and the order becomes light blocks first. A set that still lacks
+   D + 1 light blocks enters all it has. Affected sets are joined by the first
+   D + 1 blocks of the new order; those whose prefix keeps heavy blocks (sets
+   made almost wholly of shared passages) form families by these.
+4. *Verify.* In each group of at most LIGHT sets, one is compared with the
+   others; components are formed, and in groups that still hold several, the
+   sets of different components are compared. In a family the set with fewest
+   light blocks is compared with the others, then one outside its component,
+   then all pairs of different components whose sizes and parity sketches allow
+   a link (the join's own condition). Sizes, sketches and at last the sets
+   themselves decide. So every pair that shares a key is compared or already
+   connected.
+
+Sets are compared as 64-bit hashes of shingles. Documents with equal sets are one
+class, known by a 64-bit digest; a second digest of another hash shows whether two
+sets share the first, and then all is done again with other digests.
 
 Defined results: null or empty texts and texts without words have no shingles
 and link with nothing (their component is their own doc_id); 1 to 4 words form
 one shingle; repeated rows and repeated doc_ids each give their own row; a null
-doc_id stays null unless it is linked with others; an empty table gives no
-rows; other columns are ignored.
+doc_id stays null unless it is linked with others; doc_ids of any ordered type
+keep it; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
-from .graph import components, materialize
+from ..session import drop_path, path_exists
+from .graph import components, discard, few, materialize, release
 
-#: Words of a shingle, and the least similarity as numerator and denominator.
+#: Words of a shingle.
 SHINGLE_WORDS = 5
-#: Counters of the shingle frequencies (a fixed 4 MB table on every worker).
-SLOTS = 1 << 20
-#: Frequency counters travel in this many pieces.
-CHUNKS = 64
-#: Fixed size of the bitmap that preselects sets to verify, in bits.
-BITMAP = 1 << 23
+#: Members of a key whose sets are compared with each other; more members make the key heavy.
+LIGHT = 32
+#: Blocks that are joined past the first D + 1, as a share of these.
+EXTRA = 0.15
+#: Sets of a family that one task of its last round pairs with the others.
+FAMILY_PART = 512
 _BLOCK_SEED = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -79,18 +88,19 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def digest(s: np.ndarray) -> int:
+def digest(s: np.ndarray, seed: int = 0) -> int:
     """64-bit digest of a set, as a signed integer (0 for the empty set only)."""
     if not len(s):
         return 0
     with np.errstate(over="ignore"):
-        d = int(tx.mix(np.asarray([np.sum(tx.mix(s), dtype=np.uint64) + np.uint64(len(s))]))[0].astype(np.int64))
+        parts = tx.mix(s + np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        d = int(tx.mix(np.asarray([np.sum(parts, dtype=np.uint64) + np.uint64(len(s))]))[0].astype(np.int64))
     return d or 1
 
 
-def parity(s: np.ndarray, band: int) -> np.ndarray:
-    """Parity sketch of 2^(band + 1) bits (64 at least) as signed 64-bit words."""
-    bits = max(64, 2 << band)
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parity sketch of 4 times the band's bits (64 at least) as signed 64-bit words."""
+    bits = max(64, 4 << len(s).bit_length() - 1)
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -100,139 +110,197 @@ def allowed(a: int, largest: int) -> int:
     return (a + min(5 * a // 4, largest)) // 9
 
 
-def join_keys(s: np.ndarray, frequency: np.ndarray) -> np.ndarray:
-    """The keys under which a set meets every set that it may link with."""
+def block_keys(s: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+    """Per band that the set is entered in: the band, D, and the keys of its blocks in their order."""
     a = len(s)
     band = a.bit_length() - 1
-    seen = frequency[(s & np.uint64(len(frequency) - 1)).astype(np.int64)]
-    keys = []
+    out = []
     for k in (band, band + 1) if 5 * a // 4 >= 2 << band else (band,):
         blocks = max(16, 1 << k)
         where = (((s >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)).astype(np.int64)
         # the upper half of s is sorted as s is, so equal blocks are neighbours
         first = np.flatnonzero(np.diff(where, prepend=-1))
         label = (np.uint64(k) << np.uint64(48)) + where[first].astype(np.uint64)
-        key = tx.mix(np.bitwise_xor.reduceat(tx.mix(s ^ _BLOCK_SEED), first) ^ tx.mix(label))
+        key = np.sort(tx.mix(np.bitwise_xor.reduceat(tx.mix(s ^ _BLOCK_SEED), first) ^ tx.mix(label)).view(np.int64))
         most = allowed(a, (2 << k) - 1 if k == band else 5 * a // 4)
-        if len(first) > most:
-            rarity = np.minimum.reduceat(seen, first)
-            key = key[np.lexsort((key, rarity))[:most + 1]]
-        else:
-            key = np.append(key, tx.mix(np.asarray([label[0] >> np.uint64(48)]) + np.uint64(1 << 60)))
-        keys.append(key)
-    return np.concatenate(keys)
-
-
-def _profile(batches):
-    """Per document its digest, set size and parity sketch; per partition the shingle frequencies (pieces)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()),
-                        ("sketch", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.binary())])
-    counts, seen = np.zeros(SLOTS, np.uint32), set()
-    for step in tx.steps(batches, "text"):
-        sets = shingle_sets(step.column("text"))
-        digests = [digest(s) for s in sets]
-        sketches = []
-        for s, d in zip(sets, digests):
-            new = d and d not in seen
-            sketches.append(parity(s, len(s).bit_length() - 1).tolist() if new else None)
-            if new:
-                seen.add(d)
-                np.add.at(counts, (s & np.uint64(SLOTS - 1)).astype(np.int64), np.uint32(1))
-        n = len(sets)
-        yield pa.RecordBatch.from_arrays([
-            step.column("doc_id").cast(pa.int64()), step.column("text_hash"), pa.array(digests, pa.int64()),
-            pa.array([len(s) for s in sets], pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
-            pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
-    if seen:
-        pieces = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, CHUNKS)]
-        yield pa.RecordBatch.from_arrays([
-            *(pa.nulls(CHUNKS, pa.int64()) for _ in range(4)),
-            pa.nulls(CHUNKS, pa.list_(pa.int64())), pa.array(range(CHUNKS), pa.int32()),
-            pa.array(pieces, pa.binary())], schema=schema)
-
-
-def _sum_pieces(batches):
-    """Sum equal pieces of the counters of one partition of pieces."""
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, data in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist()):
-            add = np.frombuffer(zlib.decompress(data), np.uint32).astype(np.uint64)
-            total[piece] = total[piece] + add if piece in total else add
-    if total:
-        yield pa.RecordBatch.from_arrays([
-            pa.array(list(total), pa.int32()),
-            pa.array([np.minimum(v, np.uint64(2**32 - 1)).astype(np.uint32).tobytes() for v in total.values()],
-                     pa.binary())], names=["piece", "counts"])
+        if len(first) <= most:
+            key = np.append(key, tx.mix(np.asarray([np.uint64(k) + np.uint64(1 << 60)])).view(np.int64))
+        out.append((k, most, key))
+    return out
+
+
+def entered(most: int) -> int:
+    """How many blocks of a set with D = ``most`` are joined: D + r."""
+    return most + 1 + int(EXTRA * (most + 1))
+
+
+def heavy_needed(a: int, bands: list[tuple[int, int, np.ndarray]]) -> int:
+    """The least number of common keys of a set of ``a`` with a linked set: if they are all heavy, it has so many.
+
+    The pair has r common keys, r being that of the one whose last joined key comes first; its size is at least 4a/5 and
+    its D at least 2/9 of its size. A set that enters all its blocks has no last key; two such have all but D in common.
+    """
+    r = 1 + int(EXTRA * (2 * (4 * a // 5) // 9))
+    for _, most, key in bands:
+        if len(key) < entered(most):
+            r = min(r, max(1, len(key) - most))
+    return r
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()),
+                                    pa.array(np.concatenate([np.empty(0, np.int64), *parts])))
+
+
+def _profile(seed: int):
+    """Rows of documents, and of the task's classes: size, sketch, and the keys to join under.
 
+    A key that more than LIGHT classes of the task have is heavy for sure and goes to ``hot``.
+    """
+    def schema(id_type):
+        return pa.schema([("doc_id", id_type), ("text_hash", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()),
+                          ("other", pa.int64()), ("sketch", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
+                          ("hot", pa.list_(pa.int64())), ("need", pa.int64()), ("kind", pa.string())])
 
-def _emit_keys(frequency):
     def run(batches):
-        seen = set()
+        classes: dict[int, tuple] = {}
         for step in tx.steps(batches, "text"):
-            keys, digests = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-            for s in shingle_sets(step.column("text")):
-                d = digest(s)
-                if d and d not in seen:
-                    seen.add(d)
-                    keys.append(join_keys(s, frequency.value))
-                    digests.append(np.full(len(keys[-1]), d, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)),
-                                              pa.array(np.concatenate(digests))], names=["key", "digest"])
+            fields = schema(step.schema.field("doc_id").type)
+            sets = shingle_sets(step.column("text"))
+            digests = [digest(s, seed) for s in sets]
+            for s, d in zip(sets, digests):
+                if d and d not in classes:
+                    bands = block_keys(s)
+                    classes[d] = (len(s), parity(s), np.concatenate([k[:entered(most)] for _, most, k in bands]),
+                                  heavy_needed(len(s), bands))
+            n = len(sets)
+            yield pa.RecordBatch.from_arrays([
+                step.column("doc_id"), step.column("text_hash"), pa.array(digests, pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s, seed + 1000) for s in sets], pa.int64()),
+                *(pa.nulls(n, t) for t in fields.types[5:9]), pa.array(["document"] * n)], schema=fields)
+        if not classes:
+            return
+        every = np.concatenate([c[2] for c in classes.values()])
+        values, times = np.unique(every, return_counts=True)
+        hot = values[times > LIGHT]
+        rows = list(classes.items())
+        for i in range(0, len(rows), 512):
+            part = rows[i:i + 512]
+            heavy = [np.isin(c[2], hot) if len(hot) else np.zeros(len(c[2]), bool) for _, c in part]
+            n = len(part)
+            yield pa.RecordBatch.from_arrays([
+                pa.nulls(n, fields.types[0]), pa.nulls(n, pa.int64()), pa.array([d for d, _ in part], pa.int64()),
+                pa.array([c[0] for _, c in part], pa.int64()), pa.nulls(n, pa.int64()), _lists([c[1] for _, c in part]),
+                _lists([c[2][~h] for (_, c), h in zip(part, heavy)]), _lists([c[2][h] for (_, c), h in zip(part, heavy)]),
+                pa.array([c[3] for _, c in part], pa.int64()), pa.array(["class"] * n)], schema=fields)
     return run
 
 
-def _meeting(batches):
-    """Of rows sorted by (key, digest): the distinct ones whose key holds two digests or more.
+def _groups(batches):
+    """Rows sorted by (key, digest), null digests (the key is heavy) first: the members of each light key with two
+    sets or more, and the sets of heavy keys. Holds at most LIGHT rows of the last key."""
+    held_key, held, held_heavy = None, np.empty(0, np.int64), False
+
+    def as_heavy(found):
+        return pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.list_(pa.int64())), pa.array(found)],
+                                          names=["members", "heavy"])
+
+    def out(key, dig):
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
+        size = np.diff(np.append(first, len(key)))
+        heavy = size > LIGHT
+        if held_heavy and len(key) and key[0] == held_key:
+            heavy[0] = True
+        light = (size > 1) & ~heavy
+        members = dig[np.repeat(light, size)]
+        found = dig[np.repeat(heavy, size)]
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[light])), pa.int32()), pa.array(members))
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([lists, pa.nulls(len(found), lists.type)]),
+            pa.concat_arrays([pa.nulls(len(lists), pa.int64()), pa.array(found)])], names=["members", "heavy"])
 
-    Holds one row and whether its key has been seen to meet; never a group.
-    """
-    last: tuple[int, int] | None = None
-    met = False  # the last row has an earlier digest of its key
     for batch in batches:
-        key, dig = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "digest"))
+        key = batch.column("key").to_numpy(zero_copy_only=False)
         if not len(key):
             continue
-        if last is not None:
-            key, dig = np.append(last[0], key), np.append(last[1], dig)
-        new = np.append(True, (key[1:] != key[:-1]) | (dig[1:] != dig[:-1]))
-        key, dig = key[new], dig[new]
-        same = key[1:] == key[:-1]
-        before, after = np.append(met, same), np.append(same, False)
-        take = (before | after)[:-1]
-        last, met = (int(key[-1]), int(dig[-1])), bool(before[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(key[:-1][take]), pa.array(dig[:-1][take])], names=["key", "digest"])
-    if last is not None and met:
-        yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64())],
-                                         names=["key", "digest"])
-
-
-def _emit_sets(wanted):
+        column = batch.column("digest")
+        mark = column.is_null().to_numpy(zero_copy_only=False)
+        dig = column.fill_null(0).to_numpy(zero_copy_only=False)
+        if len(held):
+            key, dig, mark = (np.concatenate(x) for x in (
+                [np.full(len(held), held_key), key], [held, dig], [np.zeros(len(held), bool), mark]))
+        marked = np.unique(key[mark])
+        key, dig = key[~mark], dig[~mark]
+        if len(key):
+            new = np.append(True, (key[1:] != key[:-1]) | (dig[1:] != dig[:-1]))
+            key, dig = key[new], dig[new]
+        heavy_last = bool(len(marked)) and (not len(key) or marked[-1] >= key[-1])
+        end = marked[-1] if heavy_last else key[-1]
+        was_heavy = held_heavy and held_key == end
+        sure = np.isin(key, marked)
+        if sure.any():
+            yield as_heavy(dig[sure])
+        key, dig = key[~sure], dig[~sure]
+        tail = key == end
+        done = out(key[~tail], dig[~tail])
+        if done.num_rows:
+            yield done
+        rest = dig[tail]
+        heavy_now = was_heavy or heavy_last and marked[-1] == end or len(rest) > LIGHT
+        if heavy_now and len(rest):
+            yield as_heavy(rest)
+            rest = rest[:0]
+        held_key, held, held_heavy = end, rest, heavy_now
+    if len(held) > 1:
+        yield out(np.full(len(held), held_key), held)
+
+
+def _more_keys(seed: int):
+    """The first blocks of every set in each of its bands: as many as should hold D + 1 light ones, where ``heavy`` of
+    its joined blocks (all bands) were heavy; all blocks where ``heavy`` is null. ``whole`` tells whether these are all."""
+    def run(batches):
+        seen = set()
+        for step in tx.steps(batches, "text"):
+            rows = []
+            for s, heavy in zip(shingle_sets(step.column("text")), step.column("heavy").to_pylist()):
+                d = digest(s, seed)
+                if d and d not in seen:
+                    seen.add(d)
+                    bands = block_keys(s)
+                    joined = sum(min(len(k), entered(most)) for _, most, k in bands)
+                    for band, most, k in bands:
+                        n = len(k)
+                        if heavy is not None and heavy < joined:
+                            n = min(n, int((most + 1) * 1.1 * joined / (joined - heavy)) + 4)
+                        rows.append((d, band, most, n == len(k), k[:n]))
+            if rows:
+                yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
+                                                  pa.array([r[3] for r in rows]), _lists([r[4] for r in rows])],
+                                                 names=["digest", "band", "most", "whole", "keys"])
+    return run
+
+
+def _emit_sets(seed: int):
     def run(batches):
         seen = set()
         for step in tx.steps(batches, "text"):
             out = []
             for s in shingle_sets(step.column("text")):
-                d = digest(s)
-                slot = d & (BITMAP - 1)
-                if d and d not in seen and wanted.value[slot >> 6] >> np.uint64(slot & 63) & np.uint64(1):
+                d = digest(s, seed)
+                if d and d not in seen:
                     seen.add(d)
                     out.append((d, s.view(np.int64)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()),
-                                                  pa.array([s for _, s in out], pa.list_(pa.int64()))],
+                yield pa.RecordBatch.from_arrays([pa.array([d for d, _ in out], pa.int64()), _lists([s for _, s in out])],
                                                  names=["digest", "shingles"])
     return run
 
 
-def _bitmap(spark: SparkSession, digests: DataFrame):
-    """Bitmap of the digests, folded to BITMAP bits (1 MB, whatever their number), on all workers."""
-    slot = F.col("digest").bitwiseAND(BITMAP - 1)
-    words = (digests.select(F.shiftright(slot, 6).alias("w"), F.expr(f"shiftleft(1L, int(digest & 63))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
-    bits = np.zeros(BITMAP >> 6, np.uint64)
-    for w, b in words:
-        bits[w] = np.uint64(b & ((1 << 64) - 1))
-    return spark.sparkContext.broadcast(bits)
+def _texts_of(texts: DataFrame, members: DataFrame, digests: DataFrame, *columns: str) -> DataFrame:
+    """The texts of some classes (one text hash for each class; copies of that text come too), with columns of theirs."""
+    wanted = materialize(texts.sparkSession, members.join(digests, "digest").groupBy("digest", *columns).agg(
+        F.min("text_hash").alias("text_hash")).select("text_hash", *columns).dropDuplicates(["text_hash"]), "jaccard-wanted")
+    return texts.withColumn("text_hash", F.xxhash64("text")).join(few(wanted), "text_hash").select("text", *columns)
 
 
 def _sketch_distance(short: str, long: str) -> str:
@@ -243,6 +311,93 @@ def _sketch_distance(short: str, long: str) -> str:
     return f"aggregate(zip_with({short}, {same}, (x, y) -> bit_count(x ^ y)), 0, (t, x) -> t + x)"
 
 
+def _profiles(texts: DataFrame, id_type: str) -> tuple[DataFrame, DataFrame, int]:
+    """The written profile, one row per class, and the seed under which digests tell all sets apart."""
+    spark = texts.sparkSession
+    rows = texts.withColumn("text_hash", F.xxhash64("text"))
+    for seed in range(100):
+        profile = materialize(spark, rows.mapInArrow(
+            _profile(seed), f"doc_id {id_type}, text_hash long, digest long, n_shingles long, other long, "
+            "sketch array<long>, keys array<long>, hot array<long>, need long, kind string"), "jaccard-profile", "kind")
+        same = profile.filter("kind = 'document'").groupBy("digest").agg(
+            F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
+        if same.isEmpty():
+            classes = materialize(spark, profile.filter("kind = 'class'").groupBy("digest").agg(
+                F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"), F.first("need").alias("need")),
+                "jaccard-classes")
+            return profile, classes, seed
+        discard(profile)
+    raise RuntimeError("no digest tells the sets apart")
+
+
+def _of_kind(profile: DataFrame, kind: str, *columns: str) -> DataFrame:
+    """One kind of the profile's rows, from its own folder (the other kind's may be dropped; none is there without rows)."""
+    path, wanted = f"{profile.scratch}/kind={kind}", profile.select(*columns)
+    if not path_exists(profile.sparkSession, path):
+        return wanted.limit(0)
+    return profile.sparkSession.read.schema(wanted.schema).parquet(path)
+
+
+def _affected(texts: DataFrame, members: DataFrame, heavy: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Of the sets with a heavy key, ``heavy(digest, heavy)``: their groups under light keys, and the families of sets
+    that share others.
+
+    Families: family, digest and light, the number of light blocks.
+    """
+    spark = texts.sparkSession
+
+    def entered(which: DataFrame) -> DataFrame:
+        # copies of a text give the same rows in several tasks
+        return materialize(spark, _texts_of(texts, members, which, "heavy").mapInArrow(
+            _more_keys(seed), "digest long, band long, most long, whole boolean, keys array<long>").dropDuplicates(
+            ["digest", "band"]), "jaccard-blocks")
+
+    def parted(blocks: DataFrame) -> DataFrame:
+        # a set's own blocks, light ones first; both in the order of their keys
+        rows = blocks.select("digest", "band", "most", "whole", F.explode("keys").alias("key")).join(few(frequent), "key", "left")
+        return rows.groupBy("digest", "band", "most", "whole").agg(
+            F.sort_array(F.collect_list(F.when(F.col("is_heavy").isNull(), F.col("key")))).alias("light"),
+            F.sort_array(F.collect_list(F.when(F.col("is_heavy"), F.col("key")))).alias("heavy"))
+
+    blocks = entered(heavy)
+    frequent = materialize(spark, blocks.select(F.explode("keys").alias("key")).groupBy("key").count().filter(
+        F.col("count") > LIGHT).select("key", F.lit(True).alias("is_heavy")), "jaccard-frequent")
+    first = materialize(spark, parted(blocks), "jaccard-parted")
+    lacking = first.filter("not whole and size(light) <= most").select("digest", F.lit(None).cast("long").alias("heavy")).distinct()
+    all_of = entered(lacking)
+    done = first.join(all_of.select("digest").distinct(), "digest", "left_anti").unionByName(parted(all_of))
+    done = materialize(spark, done.select(
+        "digest", F.size("light").alias("n_light"), F.slice("light", 1, F.col("most").cast("int") + 1).alias("light"),
+        F.when(F.size("light") <= F.col("most"), F.slice("heavy", 1, F.greatest(
+            F.lit(1), F.col("most").cast("int") + 1 - F.size("light")))).alias("heavy")), "jaccard-prefixes")
+    discard(blocks, first, all_of)
+    light = done.select(F.explode("light").alias("key"), "digest", "n_light")
+    groups = light.select("key", "digest").repartition("key").sortWithinPartitions("key", "digest").mapInArrow(
+        _groups, "members array<long>, heavy long").filter("members is not null").select("members")
+    # light keys that the sets entered last have made large are shared as the heavy ones are
+    large = light.groupBy("key").count().filter(F.col("count") > LIGHT).select("key")
+    shared = done.filter("heavy is not null").select(F.explode("heavy").alias("key"), "digest", "n_light").unionByName(
+        light.join(large, "key", "left_semi").select("key", "digest", "n_light"))
+    least = shared.groupBy("key").agg(F.min("digest").alias("least"))
+    edges = shared.join(least, "key").select(F.col("digest").alias("u"), F.col("least").alias("v")).distinct()
+    fewest = shared.groupBy(F.col("digest").alias("node")).agg(F.min("n_light").alias("light"))
+    families = components(spark, edges).join(fewest, "node").select(
+        F.col("label").alias("family"), F.col("node").alias("digest"), "light")
+    return materialize(spark, groups.distinct(), "jaccard-light"), materialize(spark, families, "jaccard-families")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn(
+        "label", F.coalesce("label", "digest"))
+
+
+def _hubs(families: DataFrame) -> DataFrame:
+    """Pairs of each family's hub, its set with fewest light blocks, with the family's sets of other components."""
+    hub = families.groupBy("family").agg(F.min(F.struct("light", "digest", "label")).alias("hub")).select(
+        "family", F.col("hub.digest").alias("l"), F.col("hub.label").alias("hub_label"))
+    return families.join(hub, "family").filter("label <> hub_label").select("l", F.col("digest").alias("r"))
+
+
 def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``docs(doc_id, text, ...)`` to its members and its links.
 
@@ -254,85 +409,119 @@ def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
       component that its links already connect need not be among them.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    profile = materialize(spark, texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _profile, "doc_id long, text_hash long, digest long, n_shingles long, sketch array<long>, piece int, counts binary"),
-        "jaccard-profile")
-    members = profile.filter("piece is null").select("doc_id", "text_hash", "digest", "n_shingles")
-    classes = profile.filter("sketch is not null").groupBy("digest").agg(
-        F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-
-    frequency = np.zeros(SLOTS, np.uint32)
-    # one row per piece: a fixed 4 MB
-    for piece, counts in (profile.filter("piece is not null").select("piece", "counts").repartition(CHUNKS, "piece")
-                          .mapInArrow(_sum_pieces, "piece int, counts binary").collect()):
-        size = SLOTS // CHUNKS
-        frequency[piece * size:(piece + 1) * size] = np.frombuffer(bytes(counts), np.uint32)
-    frequency = spark.sparkContext.broadcast(frequency)
-
-    pairs = "key long, digest long"
-    meeting = materialize(spark, texts.select("text").mapInArrow(_emit_keys(frequency), pairs)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    profile, classes, seed = _profiles(texts, id_type)
+    texts = texts.select("text")
+    members = _of_kind(profile, "document", "doc_id", "text_hash", "digest", "n_shingles")
+
+    keys = _of_kind(profile, "class", "digest", "keys", "hot")
+    hot = keys.select(F.explode("hot").alias("key")).distinct().select("key", F.lit(None).cast("long").alias("digest"))
+    meeting = materialize(spark, keys.select(F.explode("keys").alias("key"), "digest").union(hot)
                           .repartition("key").sortWithinPartitions("key", "digest")
-                          .mapInArrow(_meeting, pairs), "jaccard-meeting")
-
-    sets = materialize(spark, texts.select("text")
-                       .mapInArrow(_emit_sets(_bitmap(spark, meeting.select("digest").distinct())),
-                                   "digest long, shingles array<long>")
-                       .groupBy("digest").agg(F.first("shingles").alias("shingles")), "jaccard-sets")
-
-    labels, links, leaders, rest = None, None, 1, meeting
-    while True:
-        if labels is not None:
-            named = rest.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
-                "key", "digest", F.coalesce("label", "digest").alias("label"))
-        else:
-            named = rest.select("key", "digest", F.col("digest").alias("label"))
-        # keys whose members are all connected are done
-        open_keys = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        named = materialize(spark, named.join(open_keys.select("key"), "key", "left_semi")
-                            .withColumn("nth", F.expr("row_number() over (partition by key order by digest)")),
-                            "jaccard-round")
-        if named.isEmpty():
-            break
-        lead = named.filter(F.col("nth") <= leaders).select(
-            "key", F.col("digest").alias("lead"), F.col("label").alias("lead_label"), F.col("nth").alias("lead_nth"))
-        tried = (named.join(lead, "key").filter("nth > lead_nth and label <> lead_label")
-                 .select(F.col("lead").alias("l"), F.col("digest").alias("r")).distinct())
-        found = materialize(spark, _verify(tried, classes, sets), "jaccard-links")
-        links = found if links is None else links.union(found)
-        rest = named.filter(F.col("nth") > leaders).select("key", "digest")
-        leaders *= 2
-        if labels is None or not found.isEmpty():
-            labels = components(spark, links.select(F.col("left_digest").alias("u"), F.col("right_digest").alias("v")))
-
-    if labels is None:
-        links = _verify(meeting.select(F.col("digest").alias("l"), F.col("digest").alias("r")).limit(0), classes, sets)
-        labels = links.select(F.col("left_digest").alias("node"), F.col("left_digest").alias("label"))
+                          .mapInArrow(_groups, "members array<long>, heavy long"), "jaccard-meeting")
+    groups = materialize(spark, meeting.select("members").filter("members is not null").distinct(), "jaccard-groups")
+    heavy = meeting.select(F.col("heavy").alias("digest"), F.lit(1).alias("n")).filter("digest is not null").union(
+        keys.filter("size(hot) > 0").groupBy("digest").agg(F.max(F.size("hot"))))
+    heavy = heavy.groupBy("digest").agg(F.sum("n").cast("long").alias("heavy")).join(
+        classes.select("digest", "need"), "digest").filter("heavy >= need").select("digest", "heavy")
+    heavy = materialize(spark, heavy, "jaccard-heavy")
+    discard(meeting)
+    families = heavy.select(F.col("digest").alias("family"), "digest", F.lit(0).alias("light")).limit(0)
+    if not heavy.isEmpty():
+        more, families = _affected(texts, members, heavy, seed)
+        groups = groups.union(more)
+
+    # the keys are not read again
+    drop_path(spark, f"{profile.scratch}/kind=class")
+    release(spark)
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return _verify(pairs, classes, texts, members, seed)
+
+    # one set of each group and family with the others
+    own = families.withColumn("label", F.col("digest"))
+    tried = groups.select(F.col("members")[0].alias("l"), F.explode(F.expr("slice(members, 2, size(members))")).alias("r"))
+    links = verify(tried.union(_hubs(own)).distinct())
+    labels = _components(spark, links)
+
+    # members of different components of the groups; in families, a second hub
+    places = groups.select(F.monotonically_increasing_id().alias("g"), "members")
+    named = _labelled(places.select("g", F.explode("members").alias("digest")), labels)
+    open_groups = named.groupBy("g").agg(F.collect_list(F.struct("digest", "label")).alias("m"),
+                                         F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    cross = open_groups.select(F.explode(F.expr(
+        "flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> y.label <> x.label), "
+        "y -> struct(least(x.digest, y.digest) as l, greatest(x.digest, y.digest) as r))))")).alias("p")).select("p.l", "p.r")
+    labelled = _labelled(families, labels)
+    first = _hubs(own).select("l").distinct().withColumnRenamed("l", "digest")
+    outside = labelled.join(_labelled(first, labels).select("label").distinct(), "label", "left_anti")
+    second = outside.groupBy("family").agg(F.min(F.struct("light", "digest", "label")).alias("hub")).select(
+        "family", F.col("hub.digest").alias("l"), F.col("hub.label").alias("hub_label"))
+    second = labelled.join(second, "family").filter("label <> hub_label").select("l", F.col("digest").alias("r"))
+    more = verify(cross.union(second).distinct())
+    if not more.isEmpty():
+        links = links.union(more)
+        labels = _components(spark, links)
+
+    # all pairs of different components of a family that sizes and sketches allow
+    left = _labelled(families, labels)
+    several = left.groupBy("family").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter(
+        "lo <> hi").select("family", F.ceil(F.col("n") / FAMILY_PART).cast("int").alias("parts"))
+    if not several.isEmpty():
+        open_sets = materialize(spark, left.join(several, "family").join(classes, "digest"), "jaccard-open")
+        x = open_sets.select("family", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.col("digest").alias("l"),
+                             F.col("label").alias("l_label"), F.col("n").alias("l_n"), F.col("sketch").alias("l_s"))
+        y = open_sets.select("family", F.pmod("digest", "parts").cast("int").alias("part"), F.col("digest").alias("r"),
+                             F.col("label").alias("r_label"), F.col("n").alias("r_n"), F.col("sketch").alias("r_s"))
+        pairs = x.join(y, (x.family == y.family) & (x.part == y.part) & (F.col("l") < F.col("r"))
+                       & (F.col("l_label") != F.col("r_label")) & F.expr(_SIZES) & F.expr(_NEAR)).select("l", "r")
+        last = verify(pairs)
+        if not last.isEmpty():
+            links = links.union(last)
+            labels = _components(spark, links)
+
     labelled = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select(
         "doc_id", "text_hash", "digest", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.coalesce("label", "digest")).alias("label"))
     least = labelled.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
-    members = labelled.join(least, "label", "left").select(
+    members = materialize(spark, labelled.join(least, "label", "left").select(
         "doc_id", "text_hash", "n_shingles", "digest", "label",
-        F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id")), "jaccard-members")
+    discard(profile, classes)
     return members, links
 
 
-def _verify(tried: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of classes ``tried(l, r)`` that link: sizes, then sketches, then the sets themselves."""
+def _components(spark, links: DataFrame) -> DataFrame:
+    return components(spark, links.select(F.col("left_digest").alias("u"), F.col("right_digest").alias("v")))
+
+
+#: Whether sizes and sketches of l and r allow a link.
+_SIZES = "5 * least(l_n, r_n) >= 4 * greatest(l_n, r_n)"
+_NEAR = f"9 * ({_sketch_distance('if(l_n <= r_n, l_s, r_s)', 'if(l_n <= r_n, r_s, l_s)')}) <= l_n + r_n"
+
+
+def _verify(tried: DataFrame, classes: DataFrame, texts: DataFrame, members: DataFrame, seed: int) -> DataFrame:
+    """The pairs of classes ``tried(l, r)`` that link, written: sizes, then sketches, then the sets themselves, which are
+    made again from the texts of those classes that are left."""
+    spark = tried.sparkSession
     c = lambda side: classes.select(F.col("digest").alias(side), F.col("n").alias(f"{side}_n"),
                                     F.col("sketch").alias(f"{side}_s"))
+    possible = materialize(spark, tried.join(c("l"), "l").join(c("r"), "r").filter(_SIZES).filter(_NEAR).select(
+        "l", "r", "l_n", "r_n"), "jaccard-possible")
+    left = possible.select(F.col("l").alias("digest")).union(possible.select("r")).distinct()
+    sets = materialize(spark, _texts_of(texts, members, left).mapInArrow(
+        _emit_sets(seed), "digest long, shingles array<long>").dropDuplicates(["digest"]), "jaccard-sets")
     s = lambda side: sets.select(F.col("digest").alias(side), F.col("shingles").alias(f"{side}_set"))
-    near = _sketch_distance("if(l_n <= r_n, l_s, r_s)", "if(l_n <= r_n, r_s, l_s)")
-    possible = (tried.join(c("l"), "l").join(c("r"), "r")
-                .filter("5 * least(l_n, r_n) >= 4 * greatest(l_n, r_n)")
-                .filter(f"9 * ({near}) <= l_n + r_n").select("l", "r", "l_n", "r_n"))
     common = F.size(F.array_intersect("l_set", "r_set")).cast("long")
-    return (possible.join(s("r"), "r").join(s("l"), "l")
-            .select(F.col("l").alias("left_digest"), F.col("r").alias("right_digest"), common.alias("n_common"),
-                    (F.col("l_n") + F.col("r_n")).alias("total"))
-            .select("left_digest", "right_digest", "n_common", (F.col("total") - F.col("n_common")).alias("n_union"))
-            .filter("100 * n_common >= 80 * n_union"))
+    links = materialize(spark, possible.join(s("r"), "r").join(s("l"), "l")
+                        .select(F.col("l").alias("left_digest"), F.col("r").alias("right_digest"), common.alias("n_common"),
+                                (F.col("l_n") + F.col("r_n")).alias("total"))
+                        .select("left_digest", "right_digest", "n_common", (F.col("total") - F.col("n_common")).alias("n_union"))
+                        .filter("100 * n_common >= 80 * n_union"), "jaccard-links")
+    discard(possible, sets)
+    release(spark)
+    return links
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
@@ -340,16 +529,27 @@ def one_per_component(docs: DataFrame) -> DataFrame:
 
     It is decided per row: rows that share a doc_id but are linked with nothing
     both stay, and of equal rows, null doc_ids included, one stays. Documents
-    without shingles are copies of nothing and all stay.
+    without shingles are copies of nothing and all stay. Rows that differ only in
+    other columns are told apart by those columns as JSON. Texts do not travel:
+    the keys of the rows that go, and of rows that repeat, come to them.
     """
     members, _ = ngram_jaccard(docs)
-    key = lambda c, h: [c.isNull().alias("no_id"), F.coalesce(c, F.lit(0)).alias("id"), h.alias("text_hash")]
-    best = members.filter("n_shingles > 0").groupBy("label").agg(
-        F.min(F.struct(*key(F.col("doc_id"), F.col("text_hash")))).alias("best")).select("best.*")
-    text = F.col("text").cast("string")
-    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    # equal rows become one within their task before anything is dealt out
-    once = (docs.filter(worded).groupBy(*key(F.col("doc_id").cast("long"), F.xxhash64(text)))
-            .agg(F.min(F.struct(*docs.columns)).alias("row")))
-    kept = once.join(best, ["no_id", "id", "text_hash"], "left_semi").select("row.*")
-    return docs.filter(~worded).select(*docs.columns).union(kept)
+    spark, key = docs.sparkSession, ["_no_id", "_id", "_text_hash"]
+    row_key = lambda text_hash: {"_no_id": F.col("doc_id").isNull(),
+                                 "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_text_hash": text_hash}
+    best = members.filter("n_shingles > 0").groupBy("label").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("b")).select(
+        F.col("b.no_id").alias("_no_id"), F.coalesce(F.col("b.doc_id").cast("string"), F.lit("")).alias("_id"),
+        F.col("b.text_hash").alias("_text_hash"), F.lit(True).alias("_best"))
+    counted = members.filter("n_shingles > 0").withColumns(row_key(F.col("text_hash"))).groupBy(*key).count().join(
+        best, key, "left")
+    counted = materialize(spark, counted.filter("_best is null or count > 1"), "jaccard-rows")
+    gone = counted.filter("_best is null").select(*key)
+    again = counted.filter("_best").select(*key, F.lit(True).alias("_again"))
+    kept = (docs.withColumns(row_key(F.xxhash64(F.col("text").cast("string")))).join(few(gone), key, "left_anti")
+            .join(few(again), key, "left"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others)) if others else F.lit(0)
+    # equal rows become one within their task before they are dealt out
+    once = kept.filter("_again").groupBy(*key).agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    return kept.filter("_again is null").select(*docs.columns).union(once)

@@ -229,15 +229,9 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-#: Words of a table's texts, and the unsigned crc32 of a word's UTF-8 bytes, bit by bit.
+#: Words of a table's texts.
 _IMPORTANCE_WORDS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))"""
-_CRC32_SQL = """xor(4294967295, list_reduce(
-    list_prepend(4294967295::BIGINT, list_transform(generate_series(1, strlen(word)),
-                 lambda i: ('0x' || substr(hex(word), 2 * i - 1, 2))::BIGINT)),
-    lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-                             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
-
 IMPORTANCE_SQL = f"""
 WITH d AS (SELECT doc_id, rowid AS r, {_IMPORTANCE_WORDS} AS word FROM {{docs}}),
 per AS (SELECT doc_id, r, word, count(*) AS n FROM d GROUP BY ALL),
