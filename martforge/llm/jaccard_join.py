@@ -51,8 +51,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from . import text as tx
-from ..session import drop_path, path_exists
+from . import graph, text as tx
+from ..session import path_exists
 from .graph import components, discard, few, materialize, release
 
 #: Words of a shingle.
@@ -61,6 +61,8 @@ SHINGLE_WORDS = 5
 LIGHT = 32
 #: Blocks that are joined past the first D + 1, as a share of these.
 EXTRA = 0.15
+#: Keys of one run of a task, in which keys are counted before they are dealt out.
+RUN_KEYS = 1 << 19
 #: Sets of a family that one task of its last round pairs with the others.
 FAMILY_PART = 512
 _BLOCK_SEED = np.uint64(0xD1B54A32D192ED03)
@@ -153,57 +155,93 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _profile(seed: int):
-    """Rows of documents, and of the task's classes: size, sketch, and the keys to join under.
-
-    A key that more than LIGHT classes of the task have is heavy for sure and goes to ``hot``.
-    """
+    """Rows of documents, and of the task's classes: size, sketch and ``need``, the heavy keys that make them affected."""
     def schema(id_type):
         return pa.schema([("doc_id", id_type), ("text_hash", pa.int64()), ("digest", pa.int64()), ("n_shingles", pa.int64()),
-                          ("other", pa.int64()), ("sketch", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
-                          ("hot", pa.list_(pa.int64())), ("need", pa.int64()), ("kind", pa.string())])
+                          ("other", pa.int64()), ("sketch", pa.list_(pa.int64())), ("need", pa.int64()), ("kind", pa.string())])
 
     def run(batches):
-        classes: dict[int, tuple] = {}
+        seen = set()
         for step in tx.steps(batches, "text"):
             fields = schema(step.schema.field("doc_id").type)
             sets = shingle_sets(step.column("text"))
             digests = [digest(s, seed) for s in sets]
+            classes = []
             for s, d in zip(sets, digests):
-                if d and d not in classes:
-                    bands = block_keys(s)
-                    classes[d] = (len(s), parity(s), np.concatenate([k[:entered(most)] for _, most, k in bands]),
-                                  heavy_needed(len(s), bands))
+                if d and d not in seen:
+                    seen.add(d)
+                    classes.append((d, len(s), parity(s), heavy_needed(len(s), block_keys(s))))
             n = len(sets)
             yield pa.RecordBatch.from_arrays([
                 step.column("doc_id"), step.column("text_hash"), pa.array(digests, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([digest(s, seed + 1000) for s in sets], pa.int64()),
-                *(pa.nulls(n, t) for t in fields.types[5:9]), pa.array(["document"] * n)], schema=fields)
-        if not classes:
-            return
-        every = np.concatenate([c[2] for c in classes.values()])
-        values, times = np.unique(every, return_counts=True)
-        hot = values[times > LIGHT]
-        rows = list(classes.items())
-        for i in range(0, len(rows), 512):
-            part = rows[i:i + 512]
-            heavy = [np.isin(c[2], hot) if len(hot) else np.zeros(len(c[2]), bool) for _, c in part]
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([
-                pa.nulls(n, fields.types[0]), pa.nulls(n, pa.int64()), pa.array([d for d, _ in part], pa.int64()),
-                pa.array([c[0] for _, c in part], pa.int64()), pa.nulls(n, pa.int64()), _lists([c[1] for _, c in part]),
-                _lists([c[2][~h] for (_, c), h in zip(part, heavy)]), _lists([c[2][h] for (_, c), h in zip(part, heavy)]),
-                pa.array([c[3] for _, c in part], pa.int64()), pa.array(["class"] * n)], schema=fields)
+                *(pa.nulls(n, t) for t in fields.types[5:7]), pa.array(["document"] * n)], schema=fields)
+            if classes:
+                n = len(classes)
+                yield pa.RecordBatch.from_arrays([
+                    pa.nulls(n, fields.types[0]), pa.nulls(n, pa.int64()), pa.array([c[0] for c in classes], pa.int64()),
+                    pa.array([c[1] for c in classes], pa.int64()), pa.nulls(n, pa.int64()), _lists([c[2] for c in classes]),
+                    pa.array([c[3] for c in classes], pa.int64()), pa.array(["class"] * n)], schema=fields)
+    return run
+
+
+def _joined_keys(seed: int):
+    """The keys that every class of the task is joined under, in runs of RUN_KEYS.
+
+    A key that more than LIGHT of a run have is heavy for sure: one row without a digest says so, and instead of its
+    members' rows each of them gives one row (under a key of its own) with the number of such keys in ``hot``.
+    """
+    def rows(key, dig, hot):
+        for i in range(0, len(key), 1 << 16):
+            yield pa.RecordBatch.from_arrays([x[i:i + (1 << 16)] for x in (key, dig, hot)], names=["key", "digest", "hot"])
+
+    def run(batches):
+        seen, digests, keys, n = set(), [], [], 0
+        for step in tx.steps(batches, "text"):
+            for s in shingle_sets(step.column("text")):
+                d = digest(s, seed)
+                if d and d not in seen:
+                    seen.add(d)
+                    digests.append(d)
+                    keys.append(np.concatenate([k[:entered(most)] for _, most, k in block_keys(s)]))
+                    n += len(keys[-1])
+            if n >= RUN_KEYS:
+                yield from one_run(digests, keys)
+                digests, keys, n = [], [], 0
+        if digests:
+            yield from one_run(digests, keys)
+
+    def one_run(digests, keys):
+        key = np.concatenate(keys)
+        size = np.array([len(k) for k in keys])
+        of = np.array(digests, np.int64)
+        order = np.argsort(key, kind="stable")
+        first = np.append(True, key[order][1:] != key[order][:-1])
+        times = np.diff(np.append(np.flatnonzero(first), len(key)))
+        heavy = np.empty(len(key), bool)
+        heavy[order] = np.repeat(times > LIGHT, times)
+        marks = key[order][first][times > LIGHT]
+        hot = np.bincount(np.repeat(np.arange(len(of)), size)[heavy], minlength=len(of))
+        dig = np.repeat(of, size)
+        yield from rows(pa.array(key[~heavy]), pa.array(dig[~heavy]), pa.array(np.zeros(int((~heavy).sum()), np.int32)))
+        yield from rows(pa.array(marks), pa.nulls(len(marks), pa.int64()), pa.array(np.zeros(len(marks), np.int32)))
+        some = of[hot > 0]
+        yield from rows(pa.array(tx.mix(some.view(np.uint64)).view(np.int64)), pa.array(some),
+                        pa.array(hot[hot > 0].astype(np.int32)))
     return run
 
 
 def _groups(batches):
     """Rows sorted by (key, digest), null digests (the key is heavy) first: the members of each light key with two
-    sets or more, and the sets of heavy keys. Holds at most LIGHT rows of the last key."""
+    sets or more, and the sets of heavy keys with n = 1; rows with ``hot`` give their sets with n = hot. Holds at most
+    LIGHT rows of the last key."""
     held_key, held, held_heavy = None, np.empty(0, np.int64), False
 
-    def as_heavy(found):
-        return pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.list_(pa.int64())), pa.array(found)],
-                                          names=["members", "heavy"])
+    names = ["members", "heavy", "n"]
+
+    def as_heavy(found, n=None):
+        n = np.ones(len(found), np.int64) if n is None else n
+        return pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.list_(pa.int64())), pa.array(found), pa.array(n)], names=names)
 
     def out(key, dig):
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, np.int64)
@@ -217,9 +255,15 @@ def _groups(batches):
         lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size[light])), pa.int32()), pa.array(members))
         return pa.RecordBatch.from_arrays([
             pa.concat_arrays([lists, pa.nulls(len(found), lists.type)]),
-            pa.concat_arrays([pa.nulls(len(lists), pa.int64()), pa.array(found)])], names=["members", "heavy"])
+            pa.concat_arrays([pa.nulls(len(lists), pa.int64()), pa.array(found)]),
+            pa.concat_arrays([pa.nulls(len(lists), pa.int64()), pa.array(np.ones(len(found), np.int64))])], names=names)
 
     for batch in batches:
+        hot = batch.column("hot").to_numpy(zero_copy_only=False)
+        if hot.any():
+            found = batch.filter(pa.array(hot > 0))
+            yield as_heavy(found.column("digest").to_numpy(zero_copy_only=False), hot[hot > 0].astype(np.int64))
+            batch = batch.filter(pa.array(hot == 0))
         key = batch.column("key").to_numpy(zero_copy_only=False)
         if not len(key):
             continue
@@ -280,6 +324,24 @@ def _more_keys(seed: int):
     return run
 
 
+def _part(known):
+    """The keys of each row as light ones and heavy ones (those of the sorted array ``known``)."""
+    def run(batches):
+        for batch in batches:
+            column = batch.column("keys")
+            keys = column.flatten().to_numpy(zero_copy_only=False)
+            size = np.diff(column.offsets.to_numpy())
+            heavy = np.zeros(len(keys), bool)
+            if len(known.value) and len(keys):
+                at = np.minimum(np.searchsorted(known.value, keys), len(known.value) - 1)
+                heavy = known.value[at] == keys
+            row = np.repeat(np.arange(len(size)), size)
+            lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row[x], minlength=len(size)))), pa.int32()),
+                                              pa.array(keys[x])) for x in (~heavy, heavy)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], names=[*batch.schema.names[:-1], "light", "heavy"])
+    return run
+
+
 def _emit_sets(seed: int):
     def run(batches):
         seen = set()
@@ -318,7 +380,7 @@ def _profiles(texts: DataFrame, id_type: str) -> tuple[DataFrame, DataFrame, int
     for seed in range(100):
         profile = materialize(spark, rows.mapInArrow(
             _profile(seed), f"doc_id {id_type}, text_hash long, digest long, n_shingles long, other long, "
-            "sketch array<long>, keys array<long>, hot array<long>, need long, kind string"), "jaccard-profile", "kind")
+            "sketch array<long>, need long, kind string"), "jaccard-profile", "kind")
         same = profile.filter("kind = 'document'").groupBy("digest").agg(
             F.min("other").alias("a"), F.max("other").alias("b")).filter("a <> b")
         if same.isEmpty():
@@ -331,7 +393,7 @@ def _profiles(texts: DataFrame, id_type: str) -> tuple[DataFrame, DataFrame, int
 
 
 def _of_kind(profile: DataFrame, kind: str, *columns: str) -> DataFrame:
-    """One kind of the profile's rows, from its own folder (the other kind's may be dropped; none is there without rows)."""
+    """One kind of the profile's rows, from its own folder (there is none without rows)."""
     path, wanted = f"{profile.scratch}/kind={kind}", profile.select(*columns)
     if not path_exists(profile.sparkSession, path):
         return wanted.limit(0)
@@ -353,7 +415,10 @@ def _affected(texts: DataFrame, members: DataFrame, heavy: DataFrame, seed: int)
             ["digest", "band"]), "jaccard-blocks")
 
     def parted(blocks: DataFrame) -> DataFrame:
-        # a set's own blocks, light ones first; both in the order of their keys
+        # a set's own blocks, light ones and heavy ones, both in the order of their keys
+        if known is not None:
+            return blocks.mapInArrow(_part(known), "digest long, band long, most long, whole boolean, light array<long>, "
+                                                   "heavy array<long>")
         rows = blocks.select("digest", "band", "most", "whole", F.explode("keys").alias("key")).join(few(frequent), "key", "left")
         return rows.groupBy("digest", "band", "most", "whole").agg(
             F.sort_array(F.collect_list(F.when(F.col("is_heavy").isNull(), F.col("key")))).alias("light"),
@@ -362,6 +427,10 @@ def _affected(texts: DataFrame, members: DataFrame, heavy: DataFrame, seed: int)
     blocks = entered(heavy)
     frequent = materialize(spark, blocks.select(F.explode("keys").alias("key")).groupBy("key").count().filter(
         F.col("count") > LIGHT).select("key", F.lit(True).alias("is_heavy")), "jaccard-frequent")
+    # heavy keys, if they are few, come to the sets; else both meet by a shuffle
+    known = None
+    if frequent.count() <= graph.FEW_ROWS:
+        known = spark.sparkContext.broadcast(np.sort(np.array([r.key for r in frequent.collect()], np.int64)))
     first = materialize(spark, parted(blocks), "jaccard-parted")
     lacking = first.filter("not whole and size(light) <= most").select("digest", F.lit(None).cast("long").alias("heavy")).distinct()
     all_of = entered(lacking)
@@ -372,8 +441,8 @@ def _affected(texts: DataFrame, members: DataFrame, heavy: DataFrame, seed: int)
             F.lit(1), F.col("most").cast("int") + 1 - F.size("light")))).alias("heavy")), "jaccard-prefixes")
     discard(blocks, first, all_of)
     light = done.select(F.explode("light").alias("key"), "digest", "n_light")
-    groups = light.select("key", "digest").repartition("key").sortWithinPartitions("key", "digest").mapInArrow(
-        _groups, "members array<long>, heavy long").filter("members is not null").select("members")
+    groups = light.select("key", "digest", F.lit(0).alias("hot")).repartition("key").sortWithinPartitions("key", "digest").mapInArrow(
+        _groups, "members array<long>, heavy long, n long").filter("members is not null").select("members")
     # light keys that the sets entered last have made large are shared as the heavy ones are
     large = light.groupBy("key").count().filter(F.col("count") > LIGHT).select("key")
     shared = done.filter("heavy is not null").select(F.explode("heavy").alias("key"), "digest", "n_light").unionByName(
@@ -415,15 +484,12 @@ def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = texts.select("text")
     members = _of_kind(profile, "document", "doc_id", "text_hash", "digest", "n_shingles")
 
-    keys = _of_kind(profile, "class", "digest", "keys", "hot")
-    hot = keys.select(F.explode("hot").alias("key")).distinct().select("key", F.lit(None).cast("long").alias("digest"))
-    meeting = materialize(spark, keys.select(F.explode("keys").alias("key"), "digest").union(hot)
+    meeting = materialize(spark, texts.mapInArrow(_joined_keys(seed), "key long, digest long, hot int")
                           .repartition("key").sortWithinPartitions("key", "digest")
-                          .mapInArrow(_groups, "members array<long>, heavy long"), "jaccard-meeting")
+                          .mapInArrow(_groups, "members array<long>, heavy long, n long"), "jaccard-meeting")
     groups = materialize(spark, meeting.select("members").filter("members is not null").distinct(), "jaccard-groups")
-    heavy = meeting.select(F.col("heavy").alias("digest"), F.lit(1).alias("n")).filter("digest is not null").union(
-        keys.filter("size(hot) > 0").groupBy("digest").agg(F.max(F.size("hot"))))
-    heavy = heavy.groupBy("digest").agg(F.sum("n").cast("long").alias("heavy")).join(
+    # a set that several tasks hold may count a key in each: more than its number does no harm
+    heavy = meeting.filter("heavy is not null").groupBy(F.col("heavy").alias("digest")).agg(F.sum("n").alias("heavy")).join(
         classes.select("digest", "need"), "digest").filter("heavy >= need").select("digest", "heavy")
     heavy = materialize(spark, heavy, "jaccard-heavy")
     discard(meeting)
@@ -432,8 +498,6 @@ def ngram_jaccard(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         more, families = _affected(texts, members, heavy, seed)
         groups = groups.union(more)
 
-    # the keys are not read again
-    drop_path(spark, f"{profile.scratch}/kind=class")
     release(spark)
 
     def verify(pairs: DataFrame) -> DataFrame:
