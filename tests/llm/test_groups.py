@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from martforge.llm import decontaminate, jaccard_join, sharding, token_rollup
+from martforge.llm import decontaminate, graph, jaccard_join, sharding, token_rollup
 
 rng = np.random.default_rng(11)
 LEXICON = ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(4000)]
@@ -69,7 +69,9 @@ def brute_components(texts):
     return [len(s) for s in sets], [find(i) for i in range(len(texts))]
 
 
-def test_components_of_crowded_keys(spark):
+@pytest.mark.parametrize("few", [1 << 20, 0])
+def test_components_of_crowded_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(graph, "FEW_ROWS", few)  # 0: nothing is sent to all tasks
     texts = crowd()
     df = spark.createDataFrame([(i, t, {"k": i}) for i, t in enumerate(texts)], "doc_id long, text string, label map<string,int>")
     members, links = jaccard_join.ngram_jaccard(df.repartition(7))
@@ -111,7 +113,8 @@ def test_groups_over_batches():
             (7, None), (8, 1), (8, 4)]
     for size in (1, 2, 3, 7, 100):
         batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[i:i + size]], pa.int64()),
-                                               pa.array([d for _, d in rows[i:i + size]], pa.int64())], names=["key", "digest"])
+                                               pa.array([d for _, d in rows[i:i + size]], pa.int64()),
+                                               pa.array([0] * len(rows[i:i + size]), pa.int32())], names=["key", "digest", "hot"])
                    for i in range(0, len(rows), size)]
         out = [r for b in jaccard_join._groups(iter(batches)) for r in b.to_pylist()]
         assert [r["members"] for r in out if r["members"]] == [[5, 6], [1, 2], [1, 4]]
