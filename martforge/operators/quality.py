@@ -222,9 +222,11 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def contract_violations(df: DataFrame, not_null: list[str], primary_key: str | None,
-                        checks: dict[str, Column]) -> DataFrame:
+                        checks: dict[str, Column], key_value: Column | None = None) -> DataFrame:
     """Violations per declared rule, in one aggregate.
 
+    ``key_value`` is a shorter form of the key, different for different keys, that is counted in its place.
+
     A CHECK fails only on FALSE (a null passes, as in SQL); the key rule
     counts repeated non-null keys.
     """
@@ -233,7 +235,7 @@ def contract_violations(df: DataFrame, not_null: list[str], primary_key: str | N
         rules.append((f"not_null:{c}", F.count_if(F.col(c).isNull())))
     if primary_key:
         rules.append((f"primary_key:{primary_key}",
-                      F.count(primary_key) - F.count_distinct(primary_key)))
+                      F.count(primary_key) - F.count_distinct(primary_key if key_value is None else key_value)))
     for name, pred in checks.items():
         rules.append((f"check:{name}", F.count_if(~pred)))
     m = df.agg(*[e.cast("bigint").alias(f"r{i}") for i, (_, e) in enumerate(rules)])

@@ -145,7 +145,8 @@ def _contract_sql():
 @register("contract_violations", _contract_sql())
 def contract_violations(spark, sf_dir):
     f = curated.fct_sales(fixtures.dirty_sales(Tables(spark, sf_dir)), ts_literal(BATCH_TS))
-    return quality.contract_violations(f, list(curated.FCT_NOT_NULL), "sales_key", curated.fct_checks())
+    return quality.contract_violations(f, list(curated.FCT_NOT_NULL), "sales_key", curated.fct_checks(),
+                                       curated.fct_key())
 
 
 # ------------------------------------------------------------ load summary, gates

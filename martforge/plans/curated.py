@@ -26,6 +26,11 @@ FCT_NOT_NULL = ("sales_key", "order_id", "product_id", "customer_id", "quantity"
                 "total_amount", "channel", "order_date", "batch_id")
 
 
+def fct_key() -> Column:
+    """The sales key (a digest in hex) as its bytes: half as long where keys are shuffled to be counted."""
+    return F.unhex("sales_key")
+
+
 def fct_checks() -> dict[str, Column]:
     return {
         "quantity_positive": F.col("quantity") > 0,
