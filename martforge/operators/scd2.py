@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import OPEN_END, batch_id, record_hash, surrogate_key, ts_literal
-from .segments import SEGMENT, carry, in_segments
+from .segments import SEGMENT, carry, changed_rows, in_segments
 
 PRODUCT_KEY = "product_id"
 PRODUCT_ATTRS = ("product_name", "category", "brand", "unit_cost")
@@ -126,9 +126,7 @@ def scd2_history(changes: DataFrame, key: str, ts: str, attrs, grain: str | None
     per = per.select(key, "effective_date", *[F.col(f"_s.{a}").alias(a) for a in attrs])
     seg = in_segments(per, [key], ["effective_date"])
     cur = F.struct(*[F.col(a) for a in attrs])
-    changed = (carry(seg, [key], ["effective_date"], cur, "_prev")
-               .filter(F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(cur)).drop("_prev"))
-    out = carry(changed, [key], ["effective_date"], F.col("effective_date"), "end_date", backwards=True).drop(SEGMENT)
+    out = changed_rows(seg, [key], "effective_date", cur, "end_date").drop(SEGMENT)
     out = out.withColumn("end_date", F.coalesce("end_date", ts_literal(OPEN_END)))
     return out.select(key, "effective_date", *attrs, "end_date", (F.col("end_date") == ts_literal(OPEN_END)).alias("is_current"))
 

@@ -61,3 +61,28 @@ def carry(seg: DataFrame, keys, order, value: Column, name: str, inclusive: bool
     local = valued.withColumn("_local", F.last("_v", True).over(w))
     return local.join(F.broadcast(edges), [SEGMENT, *keys], "left").withColumn(
         name, F.coalesce("_local", "_carried")).drop("_v", "_local", "_carried")
+
+
+def changed_rows(seg: DataFrame, keys, at: str, value: Column, end: str) -> DataFrame:
+    """The rows whose ``value`` (never null) differs from the one before in their key, with ``end``: the ``at`` of the next such row.
+
+    Rows are one per (key, ``at``). They are sorted once: what a segment gets from
+    the others is worked out on the keys that cross a border alone.
+    """
+    keys = list(keys)
+    valued = seg.withColumn("_v", value)
+    crossing = valued.join(F.broadcast(_crossing(seg, keys)), keys, "left_semi")
+    earlier = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*keys).orderBy(F.col(SEGMENT).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    # a few rows: the value with which each crossing key comes into each of its segments ...
+    left = crossing.groupBy(SEGMENT, *keys).agg(F.max_by("_v", F.struct(at)).alias("_e"))
+    left = left.select(SEGMENT, *keys, F.last("_e", True).over(earlier).alias("_carried"))
+    # ... and the first change after it: up to there all rows hold the value that came in
+    first = crossing.join(F.broadcast(left), [SEGMENT, *keys]).groupBy(SEGMENT, *keys).agg(
+        F.first("_carried").alias("_carried"),
+        F.min(F.when(~F.col("_v").eqNullSafe(F.col("_carried")), F.col(at))).alias("_f"))
+    edges = first.select(SEGMENT, *keys, "_carried", F.last("_f", True).over(later).alias("_next"))
+    w = Window.partitionBy(SEGMENT, *keys).orderBy(at)
+    changed = (valued.withColumn("_before", F.lag("_v").over(w)).join(F.broadcast(edges), [SEGMENT, *keys], "left")
+               .filter(~F.coalesce("_before", "_carried").eqNullSafe(F.col("_v"))))
+    return changed.withColumn(end, F.coalesce(F.lead(at).over(w), "_next")).drop("_v", "_before", "_carried", "_next")
