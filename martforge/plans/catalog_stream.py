@@ -212,6 +212,7 @@ def stream_dq_sealed(spark, sf_dir):
     """Each delivery (an order year) lands over three triggers and is scored once, when its last rows are there."""
     raw = model.raw_sales(Tables(spark, sf_dir)).withColumn("delivery", F.year("order_date").cast("bigint"))
     base = scratch_path(spark, "stream-sealed")
+    raw = as_table(raw, "sealed-source")  # the joins run once for the manifest and the three landings
     sizes = as_table(raw.groupBy("delivery").agg(F.count(F.lit(1)).alias("rows")), "delivery-manifest")
     for third in range(3):
         ingest.land_files(raw.filter(F.pmod("line_no", F.lit(3)) == third), f"{base}/landing", None,

@@ -102,21 +102,21 @@ def sealed_publisher(base: str, checkpoint: str, manifest, delivery_col: str = "
         ready = [d for d, n in arrived.items() if n == waiting[d]]
         if not ready:
             return
-        rows = pending.filter(F.col(delivery_col).isin(ready)).drop("stream_id", "epoch_id").persist()
+        rows = pending.filter(F.col(delivery_col).isin(ready)).drop("stream_id", "epoch_id")
+        card = quality.dq_sales(rows, "stream_delivery", [delivery_col])
+        decision = card.groupBy(delivery_col).agg(
+            ((F.count_if("passed") / F.count(F.lit(1))) * F.lit(100.0) >= F.lit(float(threshold))).alias("gate_passed"))
+        decided = card.join(decision, delivery_col).persist()  # six rows per delivery
         try:
-            card = quality.dq_sales(rows, "stream_delivery", [delivery_col])
-            decision = card.groupBy(delivery_col).agg(
-                ((F.count_if("passed") / F.count(F.lit(1))) * F.lit(100.0) >= F.lit(float(threshold))).alias("gate_passed"))
-            decided = card.join(decision, delivery_col).persist()  # six rows per delivery
-            gate = decided.select(delivery_col, "gate_passed").distinct()
+            gate = {r[0]: r[1] for r in decided.select(delivery_col, "gate_passed").distinct().collect()}
             for passed, folder in ((True, "published"), (False, "quarantine")):
-                part = rows.join(gate.filter(F.col("gate_passed") == F.lit(passed)), delivery_col).drop("gate_passed")
-                writers.replace_partitions(part, f"{base}/{folder}", delivery_col)
+                units = [d for d, ok in gate.items() if ok == passed]
+                if units:  # only these deliveries' folders are read
+                    writers.replace_partitions(rows.filter(F.col(delivery_col).isin(units)), f"{base}/{folder}", delivery_col)
             # last: it marks the deliveries as scored
             writers.replace_partitions(decided, f"{base}/scorecards", delivery_col)
-            decided.unpersist()
         finally:
-            rows.unpersist()
+            decided.unpersist()
     return apply
 
 
