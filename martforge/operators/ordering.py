@@ -63,16 +63,24 @@ def concat_chunks(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
-def dedup_latest(df: DataFrame, keys, order_cols, latest: bool = True) -> DataFrame:
+def dedup_latest(df: DataFrame, keys, order_cols, latest: bool = True, clustered: bool = False) -> DataFrame:
     """One row per key: the last (or first) by a total order.
 
     Expressed as ``max(struct(order..., rest...))`` per key - a partial
     aggregate, combined map-side, so a hot key never gathers its rows in one
     task (a ``row_number`` window would).
+
+    ``clustered``: the rows come out range-partitioned and sorted by ``keys``
+    from one shuffle and one sort, for a writer that wants them so (the copies
+    of one key then meet in one task).
     """
     keys = list(keys)
     order_cols = list(order_cols)
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
+    if clustered:
+        by = [F.col(c).desc() if latest else F.col(c).asc() for c in order_cols + rest]
+        first = F.row_number().over(Window.partitionBy(*keys).orderBy(*by))
+        return df.repartitionByRange(*keys).withColumn("_n", first).filter("_n = 1").select(*df.columns)
     s = F.struct(*[F.col(c) for c in order_cols + rest])
     agg = F.max(s) if latest else F.min(s)
     out = df.groupBy(*keys).agg(agg.alias("_r"))

@@ -8,6 +8,7 @@ from ..functions.columns import batch_id_text, ts_literal
 from ..schemas import RAW_PRODUCTS_CSV, SALES_LINES_CSV
 from ..session import scratch_path
 from ..sources import csv as csv_src
+from ..sources import writers
 from ..sources.tables import Tables
 from . import curated, daily_jobs, fixtures, incremental, model
 from .catalog_quality import LOAD_SUMMARY_SQL_CTE, PRODUCT_SOURCE
@@ -52,7 +53,8 @@ DELIVERED = f"""delivered AS ({' UNION ALL '.join(
 
 
 def _load_layers(spark, sf_dir):
-    dirty = fixtures.dirty_sales(Tables(spark, sf_dir))
+    # a written table: the batches are cut from it, so the source's joins run once
+    dirty = writers.as_table(fixtures.dirty_sales(Tables(spark, sf_dir)), "layered-source")
     base = scratch_path(spark, "layered")
     for ts, low, high, more in LAYERED_BATCHES:
         rows = dirty.filter((F.col("order_date") >= ts_literal(f"{low} 00:00:00"))

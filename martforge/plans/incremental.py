@@ -15,8 +15,8 @@ nor written. (The order date of a line is taken as fixed: a line that comes in
 two of a batch's periods breaks the key contract, and the batch is refused.)
 
 Write, audit, publish: the periods of all three layers are written beside the
-tables first and their contracts checked there; only then each layer replaces
-its partitions. A refused batch leaves the tables as they were and its rejects
+tables first and their contracts checked there; only then each layer's partition
+folders are moved into its table. A refused batch leaves the tables as they were and its rejects
 readable; the next batch is loaded as usual. A load that breaks off between two
 layers is completed by loading the batch again.
 
@@ -26,6 +26,7 @@ the violation counts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import batch_id_text, ts_literal
 from ..operators import conform, filters, gates, marts, quality
 from ..operators.ordering import dedup_latest
-from ..session import drop_path, path_exists, scratch_path
+from ..session import path_exists
 from ..sources import writers
 from . import curated
 
@@ -100,35 +101,41 @@ def process_batch(spark: SparkSession, base: str, raw: DataFrame, batch_ts: str,
     clean = marked.filter("rule_mask = 0").drop("rule_mask")
     periods = sorted(r[PERIOD] for r in tally if r.clean)
 
-    audit = scratch_path(spark, "audit")
+    audit = f"{base}/_audit-{uuid.uuid4().hex[:12]}"
     old = _periods_of(spark, f"{base}/{STAGING}", periods)
     merged = clean if old is None else old.select(*clean.columns).unionByName(clean)
-    merged = dedup_latest(merged, [*line_key, PERIOD], ["batch_id", "quantity", "total_amount"])
-    staged = _write(spark, merged, f"{audit}/staging", line_key)
-    # the load audit of a line is that of its own record
-    facts = curated.fct_sales(staged, F.col("processed_at"), key_cols=line_key, keep=[PERIOD])
-    core = _write(spark, facts, f"{audit}/core", ["channel", "product_id", "customer_id"])
-    mart = _write(spark, marts.daily_channel_product(core, keep=[PERIOD]), f"{audit}/mart", ["channel", "product_id"])
-
-    gates.enforce_contract(quality.contract_violations(core, list(curated.FCT_NOT_NULL), "sales_key", curated.fct_checks()),
-                           "core")
+    latest = dedup_latest(merged, [PERIOD, *line_key], ["batch_id", "quantity", "total_amount"], clustered=True)
+    staged = _write(latest, f"{audit}/staging")
+    # the load audit of a line is that of its own record; keys and audit are computed behind the shuffle
+    clustered = _cluster(staged, "channel", "product_id", "customer_id")
+    core = _write(curated.fct_sales(clustered, F.col("processed_at"), key_cols=line_key, keep=[PERIOD]), f"{audit}/core")
+    # one shuffle serves the distinct count and the layout: all rows of a group are in one range
+    days = _cluster(core.withColumn("sales_date", F.to_date("order_date")), "channel", "product_id", "sales_date")
+    mart = _write(marts.daily_channel_product(days, ts="sales_date", keep=[PERIOD])
+                  .sortWithinPartitions(PERIOD, "channel", "product_id"), f"{audit}/mart")
+
+    gates.enforce_contract(quality.contract_violations(core, list(curated.FCT_NOT_NULL), "sales_key", curated.fct_checks(),
+                                                       curated.fct_key()), "core")
     gates.enforce_contract(quality.contract_violations(mart, list(MART_NOT_NULL), None,
                                                        {"order_count_positive": F.col("order_count") > 0}), "mart")
     counts = spark.createDataFrame([(layer, n) for layer, n in zip(gates.LAYERS, (
         n_raw, staged.count(), core.count(), mart.count()))], "layer string, rows bigint")
     counted = gates.enforce_checks(gates.validate_layers(counts), "layer validation")
 
-    for table, path in ((staged, STAGING), (core, CORE), (mart, MART)):
-        writers.replace_partitions(table, f"{base}/{path}", PERIOD)
-    drop_path(spark, audit)
+    for layer, path in (("staging", STAGING), ("core", CORE), ("mart", MART)):
+        writers.publish_partitions(spark, f"{audit}/{layer}", f"{base}/{path}")
     return spark.createDataFrame([(r.layer_order, r.layer, r.rows) for r in counted],
                                  "layer_order int, layer string, rows bigint")
 
 
-def _write(spark: SparkSession, df: DataFrame, path: str, cluster) -> DataFrame:
-    keys = [PERIOD, *[c for c in cluster if c != PERIOD]]
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(PERIOD).parquet(path)
-    return spark.read.parquet(path)
+def _cluster(df: DataFrame, *by: str) -> DataFrame:
+    keys = [PERIOD, *by]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.partitionBy(PERIOD).parquet(path, compression=writers.LAYER_CODEC)
+    return df.sparkSession.read.parquet(path)
 
 
 def touched(run: Callable[[], object], spark: SparkSession, path: str) -> set[str]:
