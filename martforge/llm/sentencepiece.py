@@ -34,7 +34,7 @@ _LATIN = "A-Za-z0-9\u00C0-\u024F"
 _FINE = re.compile(rf"\n|{SPACE}*(?:[{_LATIN}]+(?=[{_MARK}\n{SPACE}]|\Z)|[^{SPACE}\n]+)|{SPACE}+")
 _P = np.uint64(0x9E3779B97F4A7C15)
 #: Words kept with their ids in one task, and cells of one search matrix.
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 17
 CELLS = 1 << 18
 
 
