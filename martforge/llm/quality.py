@@ -1,21 +1,27 @@
-"""Quality rules: base rules of repetition and length, and bands of n-gram perplexity.
-
-The language model is a modified Kneser-Ney model of order 3 over the UTF-8
-bytes of the lower-cased text (A-Z), one per language. Spark counts the trigrams
-of all distinct texts (each task sums its own, then they are added by trigram), and
-the counts become sorted arrays of trigram codes with their log probabilities,
-and dense arrays for the lower orders. There are at most 2^24 codes per language
-whatever the corpus, so the model may be sent to every executor.
+r"""Quality rules: base rules of repetition and length, and bands of n-gram perplexity.
+
+The language model is an interpolated modified Kneser-Ney model of order 3 over
+the words `[^\x20\x09-\x0D]+` (A-Z lowered; 64-bit hashes stand for them) of all
+distinct texts, one for each language and half of the texts: a text is scored by
+the model of the half that it is not in, so its own trigrams never speak for it.
+A text's least trigram hash deals it to a half, so near copies mostly share one.
+Spark counts the trigrams, and from them the distinct words before each pair and
+each word; the probabilities of all trigrams are joins of these tables, and a
+text's log perplexity is the sum over its trigrams joined to them. All tables are
+dealt by their keys and grow with the corpus; only one row per language is sent
+to every task. An unknown word has one of words + 1 equal shares at the bottom.
 
 Counts and bands are of distinct texts, one of each language and text hash, so
 that copies do not shift them; every row is scored.
 
-A language's band of log perplexity is its median over its texts, plus and
-minus ``width`` robust standard deviations, wider for short texts. Documents
-outside are rejected, on the upper side as noise, on the lower as repetition.
+A language's band of log perplexity is the median over its texts of at least
+``MIN_WORDS`` words, plus and minus ``width`` robust standard deviations, wider
+for short texts. Documents outside are rejected, on the upper side as noise, on
+the lower as repetition.
 
 Defined results: null and empty texts have no words and fail the base rule; a
-null language is the language ``und``; languages of one document accept it;
+null language is the language ``und``; a language whose other half has no
+text accepts its documents;
 repeated rows each give a row; an empty table gives no rows; other
 columns are ignored.
 """
@@ -29,13 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import text as tx
-from .graph import materialize
+from .graph import discard, materialize, release
 
 #: Base rules: least words, and the largest percentage of words in repeated windows.
 MIN_WORDS, MAX_REPEAT = 10, 20
 REPEAT_WORDS = 5
 #: Robust standard deviations of a band, the least deviation, and the bytes at which a band is half as wide again.
-WIDTH, LEAST_DEVIATION, SHORT_BYTES = 8.0, 0.02, 100
+WIDTH, LEAST_DEVIATION, SHORT_BYTES = 3.0, 0.02, 100
+#: Log probabilities are added as whole numbers of 1 / UNIT, so that the sum has no order.
+UNIT = 1 << 20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 _LOWER = np.arange(256, dtype=np.int32)
@@ -43,7 +51,8 @@ _LOWER[65:91] += 32
 
 
 def codes(data: np.ndarray) -> np.ndarray:
-    """Code of the trigram that ends at each byte of one text (two blanks before the first)."""
+    """Code of the trigram that ends at each byte of one text (two blanks before the first). With ``fit`` the same
+    estimator over bytes and in memory, which a test holds to; documents are judged by ``word_model``."""
     b = np.concatenate([np.full(2, 32, np.int32), _LOWER[data]])
     return (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
 
@@ -92,50 +101,113 @@ def fit(keys: np.ndarray, counts: np.ndarray) -> Language:
                     np.log(two).astype(np.float32))
 
 
-def log_perplexity(m: Language | None, data: np.ndarray) -> float | None:
-    if m is None or not len(data):
-        return None
-    c = codes(data)
-    at = np.minimum(np.searchsorted(m.keys, c), len(m.keys) - 1)
-    return float(-np.where(m.keys[at] == c, m.logs[at], m.back[c >> 8] + m.pair[c & 0xFFFF]).mean(dtype=np.float64))
-
-
 def _text_rows(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("string").alias("text"))
 
 
-def _count(batches):
-    """Trigram counts of one task, by language."""
-    total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for step in tx.steps(batches, "text", 4 << 20):
+def _grams(batches):
+    """Word trigrams of each text, as hashes of the lower-cased words (0 before the first)."""
+    for step in tx.steps(batches, "text"):
         data, offsets = tx.utf8(step.column("text"))
-        by: dict[str, list] = {}
-        for i, lang in enumerate(step.column("lang").to_pylist()):
-            if offsets[i] < offsets[i + 1]:
-                by.setdefault(lang, []).append(codes(data[offsets[i]:offsets[i + 1]]))
-        for lang, parts in by.items():
-            k, n = np.unique(np.concatenate(parts), return_counts=True)
-            if lang in total:
-                k = np.concatenate([total[lang][0], k])
-                k, at = np.unique(k, return_inverse=True)
-                n = np.bincount(at, np.concatenate([total[lang][1], n])).astype(np.int64)
-            total[lang] = k, n
-    for lang, (k, n) in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array(k, pa.int32()), pa.array(n, pa.int64())],
-                                         names=["lang", "gram", "n"])
-
-
-def fit_models(docs: DataFrame) -> dict[str, Language]:
-    """Models of all languages, counted over all distinct texts."""
+        starts, ends, rows = tx.spans(data, offsets, tx.NOT_SPACE)
+        # two rows at the end of the step's words stand for "none before the first"
+        w3 = np.append(tx.hash_spans(data, starts, ends, tx.VALUES_LOWER).view(np.int64), [0, 0])
+        row = np.append(rows, [-1, -2])
+        at = np.arange(len(rows))
+        w2 = np.where(row[at - 1] == rows, w3[at - 1], 0)
+        w1 = np.where(row[at - 2] == rows, w3[at - 2], 0)
+        w3 = w3[:-2]
+        # the least trigram of a text deals it to a half, so that near copies mostly share theirs
+        least = np.full(step.num_rows, -1, np.int64).view(np.uint64)
+        np.minimum.at(least, rows, tx.mix(tx.mix(tx.mix(w1.view(np.uint64)) + w2.view(np.uint64)) + w3.view(np.uint64)))
+        half = (tx.mix(least) & np.uint64(1)).astype(np.int8)
+        yield pa.RecordBatch.from_arrays(
+            [step.column("l").take(pa.array(rows)), step.column("t").take(pa.array(rows)), pa.array(half[rows]),
+             pa.array(w1), pa.array(w2), pa.array(w3)], names=["l", "t", "half", "w1", "w2", "w3"])
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """l, t (hashes of language, and of language and text) and text, once for each."""
     # copies become one within their task before the texts are dealt out
-    texts = (_text_rows(docs).filter("text <> ''").groupBy("lang", F.xxhash64("text").alias("h"))
-             .agg(F.min("text").alias("text")))
-    rows = (texts.select("lang", "text").mapInArrow(_count, "lang string, gram int, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n"))).toArrow()
-    lang = np.array(rows.column("lang").to_pylist(), object)
-    gram, n = rows.column("gram").to_numpy(), rows.column("n").to_numpy()
-    return {x: fit(gram[lang == x], n[lang == x]) for x in sorted(set(lang))}
+    return (_text_rows(docs).filter("text <> ''").groupBy("lang", F.xxhash64("text").alias("text_hash"))
+            .agg(F.min("text").alias("text"))
+            .select(F.xxhash64("lang").alias("l"), F.xxhash64("lang", "text_hash").alias("t"), "text"))
+
+
+def word_grams(texts: DataFrame) -> DataFrame:
+    """l, t, half (0 or 1), w1, w2, w3: a row for each word of each distinct text."""
+    return texts.mapInArrow(_grams, "l long, t long, half byte, w1 long, w2 long, w3 long")
+
+
+def _per_fold(*exprs: str) -> list:
+    """The SQL expressions for both halves of the texts: ``{f}`` is 0, then 1."""
+    return [F.expr(e.format(f=f)) for f in (0, 1) for e in exprs]
+
+
+def _contexts(x: str) -> list:
+    """Of each context: the sum of its counts and how many are 1, 2, and 3 or more."""
+    return _per_fold(f"sum({x}{{f}}) as {x}_sum{{f}}", *(
+        f"count_if({x}{{f}} {c}) as {x}_{i}{{f}}" for i, c in ((1, "= 1"), (2, "= 2"), (3, ">= 3"))))
+
+
+def _language_discounts(counts: DataFrame, x: str) -> DataFrame:
+    """Modified Kneser-Ney discounts of each language's counts 1, 2 and 3 or more (as ``_discounts``)."""
+    of = counts.groupBy("l").agg(*_per_fold(*(f"greatest(1, count_if({x}{{f}} = {i})) as t{i}{{f}}" for i in (1, 2, 3, 4))))
+    return of.select("l", *_per_fold(*(
+        f"least(greatest({i} - {i + 1} * (t1{{f}} / (t1{{f}} + 2 * t2{{f}})) * t{i + 1}{{f}} / t{i}{{f}}, 0.05D), {i} - 0.05D)"
+        f" as {x}_d{i}{{f}}" for i in (1, 2, 3))))
+
+
+def _interpolated(x: str, lower: str) -> str:
+    """Probability of a count in its context: discounted, plus what the context leaves to the lower order."""
+    cut = f"case when {x}{{f}} >= 3 then {x}_d3{{f}} when {x}{{f}} = 2 then {x}_d2{{f}} when {x}{{f}} = 1 then {x}_d1{{f}} else 0D end"
+    left = f"{x}_d1{{f}} * {x}_1{{f}} + {x}_d2{{f}} * {x}_2{{f}} + {x}_d3{{f}} * {x}_3{{f}}"
+    return f"if({x}_sum{{f}} > 0, ({x}{{f}} - {cut} + ({left}) * {lower}) / nullif({x}_sum{{f}}, 0), {lower})"
+
+
+def word_model(grams: DataFrame, keep: list[DataFrame]) -> DataFrame:
+    """l, w1, w2, w3, p0, p1: probability of each distinct trigram's last word under the model of each half of the
+    texts (null where the half has no text of the language). Frames written on the way are added to ``keep``."""
+    spark = grams.sparkSession
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        keep.append(materialize(spark, df, name))
+        release(spark)
+        return keep[-1]
+    three = written(grams.groupBy("l", "w1", "w2", "w3").agg(*_per_fold("count_if(half = {f}) as n{f}")), "quality-trigrams")
+    # the lower orders count the distinct words before them
+    two = written(three.groupBy("l", "w2", "w3").agg(*_per_fold("count_if(n{f} > 0) as k{f}")), "quality-bigrams")
+    one = two.groupBy("l", "w3").agg(*_per_fold("count_if(k{f} > 0) as u{f}"))
+    # one row per language
+    totals = one.groupBy("l").agg(*_contexts("u"), *_per_fold("count_if(u{f} > 0) as words{f}"))
+    discounts = written(totals.join(_language_discounts(one, "u"), "l").join(_language_discounts(two, "k"), "l")
+                        .join(_language_discounts(three, "n"), "l"), "quality-discounts")
+    p1 = one.join(F.broadcast(discounts), "l").select(
+        "l", "w3", *_per_fold("if(u_sum{f} > 0, " + _interpolated("u", "(1D / (words{f} + 1))") + ", null) as p1{f}"))
+    p2 = (two.join(two.groupBy("l", "w2").agg(*_contexts("k")), ["l", "w2"]).join(p1, ["l", "w3"])
+          .join(F.broadcast(discounts.select("l", *(f"k_d{i}{f}" for f in (0, 1) for i in (1, 2, 3)))), "l")
+          .select("l", "w2", "w3", *_per_fold(_interpolated("k", "p1{f}") + " as p2{f}")))
+    return (three.join(three.groupBy("l", "w1", "w2").agg(*_contexts("n")), ["l", "w1", "w2"]).join(p2, ["l", "w2", "w3"])
+            .join(F.broadcast(discounts.select("l", *(f"n_d{i}{f}" for f in (0, 1) for i in (1, 2, 3)))), "l")
+            .select("l", "w1", "w2", "w3", *_per_fold(_interpolated("n", "p2{f}") + " as p{f}")))
+
+
+def perplexities(docs: DataFrame) -> DataFrame:
+    """t and log_perplexity (per word) of each distinct text, under the model of the half that it is not in."""
+    spark, keep = docs.sparkSession, []
+    keep.append(materialize(spark, distinct_texts(docs), "quality-texts"))
+    release(spark)
+    grams = word_grams(keep[0])
+    # one number for a trigram crosses the shuffle
+    gram = F.xxhash64("l", "w1", "w2", "w3").alias("gram")
+    model = word_model(grams, keep).select(gram, *_per_fold(f"cast(round(ln(p{{f}}) * {UNIT}) as int) as s{{f}}"))
+    found = grams.select("t", "half", gram).join(model, "gram").groupBy("t").agg(
+        (-F.sum(F.expr("if(half = 0, s1, s0)").cast("long")) / F.count("*") / UNIT).alias("log_perplexity"))
+    found = materialize(spark, found, "quality-perplexities")
+    discard(*keep)
+    release(spark)
+    return found
 
 
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
@@ -171,30 +243,29 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def measure(docs: DataFrame, models: dict[str, Language]) -> DataFrame:
-    """doc_id, lang, text_hash, n_bytes, base counts and log_perplexity of each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+def measure(docs: DataFrame) -> DataFrame:
+    """doc_id, lang, text_hash, n_bytes and base counts of each document."""
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     rows = _text_rows(docs).withColumn("text_hash", F.xxhash64("text"))
 
     def run(batches):
         for step in tx.steps(batches, "text"):
-            data, offsets = tx.utf8(step.column("text"))
+            _, offsets = tx.utf8(step.column("text"))
             counted = base_counts(step.column("text"))
-            scores = [log_perplexity(shared.value.get(lang), data[offsets[i]:offsets[i + 1]])
-                      for i, lang in enumerate(step.column("lang").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [step.column("doc_id"), step.column("lang"), step.column("text_hash"), pa.array(np.diff(offsets), pa.int64()),
-                 *(pa.array(counted[c], pa.int64()) for c in names), pa.array(scores, pa.float64())],
-                names=["doc_id", "lang", "text_hash", "n_bytes", *names, "log_perplexity"])
+                 *(pa.array(counted[c], pa.int64()) for c in names)],
+                names=["doc_id", "lang", "text_hash", "n_bytes", *names])
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang string, text_hash long, n_bytes long, "
-                           + ", ".join(f"{c} long" for c in names) + ", log_perplexity double")
+                           + ", ".join(f"{c} long" for c in names))
 
 
 def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
-    """The measures with base_failed, lower, upper (the document's band) and kept."""
-    rows = materialize(docs.sparkSession, measure(docs, fit_models(docs)), "quality-measures")
-    texts = rows.groupBy("lang", "text_hash").agg(F.min("log_perplexity").alias("log_perplexity"))
+    """The measures with log_perplexity, base_failed, lower, upper (the document's band) and kept."""
+    rows = measure(docs).withColumn("t", F.xxhash64("lang", "text_hash"))
+    rows = materialize(docs.sparkSession, rows.join(perplexities(docs), "t", "left"), "quality-measures")
+    # of distinct texts that are long enough to be kept
+    texts = rows.filter(f"n_words >= {MIN_WORDS}").groupBy("lang", "t").agg(F.min("log_perplexity").alias("log_perplexity"))
     middle = texts.groupBy("lang").agg(F.percentile_approx("log_perplexity", 0.5, 10000).alias("middle"))
     spread = texts.join(F.broadcast(middle), "lang").groupBy("lang").agg(
         F.first("middle").alias("middle"),
@@ -206,4 +277,4 @@ def judge(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     return (rows.join(F.broadcast(spread), "lang", "left")
             .withColumns({"base_failed": F.expr(failed), "lower": F.col("middle") - wide, "upper": F.col("middle") + wide})
             .withColumn("kept", F.expr("not base_failed and coalesce(log_perplexity between lower and upper, true)"))
-            .drop("middle", "deviation", "text_hash"))
+            .drop("middle", "deviation", "text_hash", "t"))
