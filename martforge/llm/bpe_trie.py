@@ -6,12 +6,13 @@ comes before the merges that made them. So the encoding of a prefix ends in one
 token that is fixed by the prefix, and what lies before that token is the
 encoding of the shorter prefix.
 
-The distinct words are put into a trie in sorted order, which numbers its nodes
-depth first. Each new node takes the last token of its prefix from its
-ancestors: of the tokens that end there (found by walking a trie of reversed
-tokens up the path) the longest that stands beside the last token of the node
-where it begins. A prefix that many words share is so computed once. A word's
-ids are read along the begins of its last tokens, back to the root.
+The distinct words are put into a trie, whose nodes are found by the bytes that
+lead to them: a word enters at its longest prefix that is there. Each new node
+takes the last token of its prefix from its ancestors: of the tokens that end
+there (found by a search automaton over the tokens, whose state a node keeps) the
+longest that stands beside the last token of the node where it begins. A prefix
+that many words share is so computed once. A word's ids are read along the
+begins of its last tokens, back to the root.
 
 A word of more than LONG bytes is a path of its own, held in flat arrays. The
 trie starts anew past NODES nodes and the words kept with their ids past
@@ -47,11 +48,16 @@ from . import text as tx
 VOCABULARY_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 #: The byte-level split (fixed value of the public tokenizers).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same words of characters that Python's own expressions class alike, found faster.
+FAST_PATTERN = r""" ?[^\W\d_]+|'(?:[stmd]|re|ve|ll)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"""
 #: Nodes of one trie, words kept with their ids, bytes of a word in the trie, words of one run.
 NODES = 1 << 20
 CACHE_WORDS = 1 << 18
 LONG = 256
 RUN = 1 << 17
+#: Bytes that lead to a node, on average at most; bits of a node that hold its token.
+NODE_BYTES = 16
+TOKEN = (1 << 24) - 1
 #: Characters of a text that is cut in one call.
 ONE_CALL = 1 << 22
 
@@ -128,17 +134,7 @@ class Coder:
         for r, (a, b, made) in enumerate(v.merges):
             if a in usable and b in usable and self.stands(a, b, r):
                 usable.add(made)  # the others are never an encoding's token
-        self.back: dict[int, int] = {}
-        self.back_id = array("i", [-1])
-        for i in sorted(usable):
-            state = 0
-            for byte in reversed(v.pieces[i]):
-                key = state << 8 | byte
-                state = self.back.get(key, 0)
-                if not state:
-                    state = self.back[key] = len(self.back_id)
-                    self.back_id.append(-1)
-            self.back_id[state] = i
+        self._automaton(sorted(usable))
         self.beside: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.special = v.special
@@ -146,15 +142,42 @@ class Coder:
             re.escape(s) for s in sorted(v.special, key=len, reverse=True)) + ")") if v.special else None
         import regex
         from tokenizers import pre_tokenizers
-        self.cut = regex.compile(PATTERN)
+        self.cut, self.fast_cut = regex.compile(PATTERN), re.compile(FAST_PATTERN)
         self.splitter = pre_tokenizers.ByteLevel(add_prefix_space=False)
-        self.known, self.odd = set(map(chr, range(128))), set()
+        self.known, self.odd, self.slow = set(), set(), set()
+        self._class_new(set(map(chr, range(128))))
         self._fresh()
 
     def _fresh(self) -> None:
-        self.child: dict[int, int] = {}
-        self.up, self.byte = array("i", [0]), array("B", [0])
-        self.token, self.begin = array("i", [-1]), array("i", [0])
+        # a node by the bytes that lead to it: its state, the begin of its last token and that token
+        self.up: dict[bytes, int] = {b"": 0}
+        self.held = 0
+
+    def _automaton(self, usable: list[int]) -> None:
+        """States of the search for the tokens that end at a byte: the beginnings of tokens."""
+        pieces = self.pieces
+        self.spelled = sorted({pieces[i][:k] for i in usable for k in range(len(pieces[i]) + 1)})
+        self.state = {s: i for i, s in enumerate(self.spelled)}  # the root is 0
+        of = {pieces[i]: i for i in usable}
+        longest = lambda s, k: next((of[s[j:]] for j in range(k, len(s)) if s[j:] in of), -1)
+        #: the longest token that ends a state, and the next shorter one that ends a token
+        self.tail = array("i", [longest(s, 0) for s in self.spelled])
+        self.shorter = array("i", [-1]) * self.size
+        for s, i in of.items():
+            self.shorter[i] = longest(s, 1)
+        self.length = [len(p) for p in pieces]
+        self.packed = [i.to_bytes(4, "little") for i in range(self.size)]
+        self.goto: dict[int, int] = {}
+
+    def _next(self, state: int, byte: int) -> int:
+        """The longest beginning of a token that ends after ``byte``."""
+        s = self.spelled[state] + bytes((byte,))
+        while s not in self.state:
+            s = s[1:]
+        if len(self.goto) >= NODES:
+            self.goto.clear()
+        to = self.goto[state << 8 | byte] = self.state[s]
+        return to
 
     def stands(self, a: int, b: int, limit: int = 1 << 60) -> bool:
         """Whether no merge across the border a | b comes before those that made a and b (or before ``limit``)."""
@@ -170,109 +193,112 @@ class Coder:
             else:
                 return True
 
-    def _propagate(self, up, byte, token, begin, start: int) -> None:
-        """Last token and its begin for the nodes from ``start`` on; ancestors come before."""
-        back, back_id, beside, n = self.back, self.back_id, self.beside, self.size
-        for node in range(start, len(up)):
-            state, at, ends = 0, node, []
-            while at:
-                state = back.get(state << 8 | byte[at])
-                if state is None:
-                    break
-                at = up[at]
-                t = back_id[state]
-                if t >= 0:
-                    ends.append((t, at))
-            for t, at in reversed(ends):
-                if not at:
-                    break
-                key = token[at] * n + t
-                ok = beside.get(key)
-                if ok is None:
-                    if len(beside) >= NODES:
-                        beside.clear()
-                    ok = beside[key] = self.stands(token[at], t)
-                if ok:
-                    break
-            token[node], begin[node] = t, at
-
-    @staticmethod
-    def _ids(token, begin, node: int) -> bytes:
-        ids = array("I")
-        while node:
-            ids.append(token[node])
-            node = begin[node]
-        ids.reverse()
-        return np.asarray(ids, "<u4").tobytes()
+    def _beside(self, a: int, b: int) -> bool:
+        if len(self.beside) >= NODES:
+            self.beside.clear()
+        ok = self.beside[a * self.size + b] = self.stands(a, b)
+        return ok
 
     def _long(self, word: bytes) -> bytes:
-        n = len(word)
-        up, byte = array("i", [0, *range(n)]), array("B", b"\0" + word)
-        token, begin = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
-        self._propagate(up, byte, token, begin, 1)
-        return self._ids(token, begin, n)
+        tail, shorter, length, beside, goto, n = self.tail, self.shorter, self.length, self.beside, self.goto, self.size
+        token, begin, state = array("i", [0]), array("i", [0]), 0
+        for k, byte in enumerate(word, 1):
+            to = goto.get(state << 8 | byte)
+            state = self._next(state, byte) if to is None else to
+            t = tail[state]
+            at = k - length[t]
+            while at:
+                ok = beside.get(token[at] * n + t)
+                if ok or ok is None and self._beside(token[at], t) or shorter[t] < 0:
+                    break
+                t = shorter[t]
+                at = k - length[t]
+            token.append(t)
+            begin.append(at)
+        ids, k = [], len(word)
+        while k:
+            ids.append(token[k])
+            k = begin[k]
+        return np.array(ids[::-1], "<u4").tobytes()
 
     def learn(self, words: list[str]) -> None:
         """Keep the ids (little-endian unsigned 32-bit) of sorted distinct words."""
-        at = 0
-        while at < len(words):
-            if len(self.up) > NODES:
+        tail, shorter, length, beside, goto, n = self.tail, self.shorter, self.length, self.beside, self.goto, self.size
+        packed, up, kept = self.packed, self.up, self.words
+        for word in words:
+            data = word.encode()
+            end = len(data)
+            if end > LONG:
+                kept[word] = self._long(data)
+                continue
+            if len(up) > NODES or self.held > NODE_BYTES * NODES:
                 self._fresh()
-            first, ends = len(self.up), []
-            while at < len(words) and len(self.up) <= NODES:
-                word, data = words[at], words[at].encode()
-                at += 1
-                if len(data) > LONG:
-                    self.words[word] = self._long(data)
-                    continue
-                node = 0
-                for b in data:
-                    key = node << 8 | b
-                    new = self.child.get(key)
-                    if new is None:
-                        new = self.child[key] = len(self.up)
-                        self.up.append(node)
-                        self.byte.append(b)
-                        self.token.append(-1)
-                        self.begin.append(0)
-                    node = new
-                ends.append((word, node))
-            self._propagate(self.up, self.byte, self.token, self.begin, first)
-            for word, node in ends:
-                self.words[word] = self._ids(self.token, self.begin, node)
+                up = self.up
+            k = end
+            while (node := up.get(data[:k])) is None:
+                k -= 1
+            self.held += (end * (end + 1) - k * (k + 1)) // 2
+            state = node >> 40
+            while k < end:
+                byte = data[k]
+                k += 1
+                to = goto.get(state << 8 | byte)
+                state = self._next(state, byte) if to is None else to
+                # of the tokens that end here the longest that stands beside the last one of the node where it begins
+                t = tail[state]
+                at = k - length[t]
+                while at:
+                    before = up[data[:at]] & TOKEN
+                    ok = beside.get(before * n + t)
+                    if ok or ok is None and self._beside(before, t) or shorter[t] < 0:
+                        break
+                    t = shorter[t]
+                    at = k - length[t]
+                node = up[data[:k]] = (state << 16 | at) << 24 | t
+            ids = b""
+            while end:
+                ids = packed[node & TOKEN] + ids
+                end = node >> 24 & 0xFFFF
+                node = up[data[:end]]
+            kept[word] = ids
 
     def _class_new(self, chars: set[str]) -> None:
         for c in chars:
             probe = f"a{c}1{c}.{c} {c}{c}b"
-            if self.cut.findall(probe) != [probe[s:e] for _, (s, e) in self.splitter.pre_tokenize_str(probe)]:
+            words = [probe[s:e] for _, (s, e) in self.splitter.pre_tokenize_str(probe)]
+            if not c.isascii() and self.cut.findall(probe) != words:
                 self.odd.add(c)
+            if self.fast_cut.findall(probe) != self.cut.findall(probe):
+                self.slow.add(c)
         self.known |= chars
 
     def runs(self, text: str) -> Iterator[list[str]]:
         """The words of a text, in runs."""
-        if not text.isascii():
-            chars = set(text)
+        chars = set(text)
+        if not chars <= self.known:
             self._class_new(chars - self.known)
-            if not self.odd.isdisjoint(chars):
-                yield [text[s:e] for _, (s, e) in self.splitter.pre_tokenize_str(text)]
-                return
+        if not self.odd.isdisjoint(chars):
+            yield [text[s:e] for _, (s, e) in self.splitter.pre_tokenize_str(text)]
+            return
+        cut = self.fast_cut if self.slow.isdisjoint(chars) else self.cut
         if len(text) <= ONE_CALL:
-            yield self.cut.findall(text)
+            yield cut.findall(text)
             return
-        found = (m.group() for m in self.cut.finditer(text))
+        found = (m.group() for m in cut.finditer(text))
         while run := list(islice(found, RUN)):
             yield run
 
     def _learn_new(self, new: set[str], needed) -> None:
-        """Learn the words ``new``; if the kept ones are too many, all of ``needed`` anew."""
+        """Learn the words ``new``; if the kept ones are too many, only those of ``needed`` stay."""
         if new and len(self.words) + len(new) > CACHE_WORDS:
+            stay = {w: self.words[w] for w in needed() - new}
             self.words.clear()
-            new = set(needed())
+            self.words.update(stay)
         self.learn(sorted(new))
 
     def _run_ids(self, run: list[str]) -> bytes:
         words = self.words
-        self._learn_new({w for w in run if w not in words}, lambda: run)
+        self._learn_new({w for w in run if w not in words}, lambda: set(run))
         return b"".join(map(words.__getitem__, run))
 
     def _parts(self, text: str, special: bool) -> list[str]:
@@ -293,7 +319,7 @@ class Coder:
                 continue
             cut.append([[p] if k % 2 else [w for run in self.runs(p) for w in run]
                         for k, p in enumerate(self._parts(t, special))])
-        every = lambda: (w for parts in cut if parts for words in parts[::2] for w in words)
+        every = lambda: set().union(*(words for parts in cut if parts for words in parts[::2]))
         self._learn_new({w for w in every() if w not in self.words}, every)
         out = []
         for t, parts in zip(texts, cut):

@@ -104,6 +104,37 @@ class Models:
     b_pieces: list[bytes]
     pairs: np.ndarray
 
+    @cached_property
+    def slots(self) -> np.ndarray:
+        """Number of the pair in each slot (-1: none): a pair stands in the first free one from its own on."""
+        bits = max(4, (8 * len(self.pairs)).bit_length())
+        out = np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(self.pairs), dtype=np.int32), self._slot(self.pairs, bits)
+        while len(left):
+            free = out[at] < 0
+            out[at[free]] = left[free]
+            lost = out[at] != left
+            left, at = left[lost], (at[lost] + 1) & (len(out) - 1)
+        return out
+
+    @staticmethod
+    def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+    def pair_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The number in ``pairs`` of each pair of linked ids."""
+        keys = a * len(self.b_pieces) + b
+        at = self._slot(keys, len(self.slots).bit_length() - 1)
+        pair = self.slots[at]
+        left = np.flatnonzero(self.pairs[pair] != keys)
+        while len(left):
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+            pair[left] = self.slots[at[left]]
+            if (pair[left] < 0).any():
+                raise ValueError("linked ids of which none ends the other")
+            left = left[self.pairs[pair[left]] != keys[left]]
+        return pair
+
     @cached_property
     def a(self) -> Side:
         return Side(self.a_vocabulary.pieces)
@@ -199,7 +230,7 @@ def _first_pass(models):
         for step in tx.steps(batches, "text"):
             x, n = align(m, step.column("text").to_pylist()), step.num_rows
             left, right = x.links
-            pair = np.searchsorted(m.pairs, x.a[left] * len(m.b_pieces) + x.b[right])
+            pair = m.pair_of(x.a[left], x.b[right])
             total += np.bincount(pair, minlength=len(total))
             rows = np.arange(n + 1)
             link_cut = np.searchsorted(x.a_text[left], rows)

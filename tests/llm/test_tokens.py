@@ -97,6 +97,32 @@ def test_trie_shares_prefixes(coder):
     assert len(fresh.up) == 1 + len("internal") + len("et")
 
 
+def test_known_words_stay_when_the_cache_is_full(monkeypatch, library):
+    monkeypatch.setattr(bpe_trie, "CACHE_WORDS", 5)
+    small, learned = bpe_trie.Coder(bpe_trie.load_vocabulary()), []
+    learn = small.learn
+    monkeypatch.setattr(small, "learn", lambda words: (learned.extend(words), learn(words)))
+    texts = ["one two three", "two three four five six", "seven one two"]
+    for t in texts:
+        ids = np.frombuffer(small.encode_step([t])[0], "<u4").tolist()
+        assert ids == library.encode(t, add_special_tokens=False).ids
+    # " three" is known when the second text fills the cache
+    assert learned.count(" three") == 1
+
+
+def test_fast_split_equals_the_library(coder):
+    assert "\x1c" in coder.slow and not {"a", "\u00e9", "1", "_", " "} & coder.slow
+    for t in ("it's we'll 'd x's", "a_b __ 1_2", "x\u00b2 \u0663\u0664 \u2167", "a\x1cb \x1d\x1f 1", "\u00e9t\u00e9  \n\n b ", " \x85\u00a0 c"):
+        assert [w for run in coder.runs(t) for w in run] == [t[s:e] for _, (s, e) in coder.splitter.pre_tokenize_str(t)]
+
+
+def test_pair_numbers_are_places_among_the_linkable():
+    m = token_alignment.load_models()
+    a, b = np.divmod(m.pairs, len(m.b_pieces))
+    assert np.array_equal(m.pair_of(a, b), np.arange(len(m.pairs)))
+    assert len(m.pair_of(a[:0], b[:0])) == 0
+
+
 def test_trie_query(spark, library):
     rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     out = queries.op13_bpe_trie(spark, SF).collect()
