@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import drop_path, scratch_path
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, by: str | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: cuts the lineage; survives lost executors."""
     path = scratch_path(spark, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path, compression=codec)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

@@ -5,11 +5,10 @@ the words `[^\x20\x09-\x0D]+` (A-Z lowered; 64-bit hashes stand for them) of all
 distinct texts, one for each language and half of the texts: a text is scored by
 the model of the half that it is not in, so its own trigrams never speak for it.
 A text's least trigram hash deals it to a half, so near copies mostly share one.
-Spark counts the trigrams, and from them the distinct words before each pair and
-each word; the probabilities of all trigrams are joins of these tables, and a
-text's log perplexity is the sum over its trigrams joined to them. All tables are
-dealt by their keys and grow with the corpus; only one row per language is sent
-to every task. An unknown word has one of words + 1 equal shares at the bottom.
+``word_model`` counts the trigrams, and from them the distinct words before each
+pair and each word, in tables dealt by their keys, which grow with the corpus;
+only one row per language is sent to every task. An unknown word has one of
+words + 1 equal shares at the bottom.
 
 Counts and bands are of distinct texts, one of each language and text hash, so
 that copies do not shift them; every row is scored.
@@ -34,16 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from . import text as tx
-from .graph import discard, materialize, release
+from . import text as tx, word_model
+from .graph import materialize
 
 #: Base rules: least words, and the largest percentage of words in repeated windows.
 MIN_WORDS, MAX_REPEAT = 10, 20
 REPEAT_WORDS = 5
 #: Robust standard deviations of a band, the least deviation, and the bytes at which a band is half as wide again.
 WIDTH, LEAST_DEVIATION, SHORT_BYTES = 3.0, 0.02, 100
-#: Log probabilities are added as whole numbers of 1 / UNIT, so that the sum has no order.
-UNIT = 1 << 20
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 _LOWER = np.arange(256, dtype=np.int32)
@@ -109,22 +106,11 @@ def _text_rows(docs: DataFrame) -> DataFrame:
 def _grams(batches):
     """Word trigrams of each text, as hashes of the lower-cased words (0 before the first)."""
     for step in tx.steps(batches, "text"):
-        data, offsets = tx.utf8(step.column("text"))
-        starts, ends, rows = tx.spans(data, offsets, tx.NOT_SPACE)
-        # two rows at the end of the step's words stand for "none before the first"
-        w3 = np.append(tx.hash_spans(data, starts, ends, tx.VALUES_LOWER).view(np.int64), [0, 0])
-        row = np.append(rows, [-1, -2])
-        at = np.arange(len(rows))
-        w2 = np.where(row[at - 1] == rows, w3[at - 1], 0)
-        w1 = np.where(row[at - 2] == rows, w3[at - 2], 0)
-        w3 = w3[:-2]
-        # the least trigram of a text deals it to a half, so that near copies mostly share theirs
-        least = np.full(step.num_rows, -1, np.int64).view(np.uint64)
-        np.minimum.at(least, rows, tx.mix(tx.mix(tx.mix(w1.view(np.uint64)) + w2.view(np.uint64)) + w3.view(np.uint64)))
-        half = (tx.mix(least) & np.uint64(1)).astype(np.int8)
+        w1, w2, w3, rows = word_model.trigrams(*tx.utf8(step.column("text")))
+        half = word_model.halves(w1, w2, w3, rows, step.num_rows)
         yield pa.RecordBatch.from_arrays(
             [step.column("l").take(pa.array(rows)), step.column("t").take(pa.array(rows)), pa.array(half[rows]),
-             pa.array(w1), pa.array(w2), pa.array(w3)], names=["l", "t", "half", "w1", "w2", "w3"])
+             *(pa.array(w.view(np.int64)) for w in (w1, w2, w3))], names=["l", "t", "half", "w1", "w2", "w3"])
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -140,74 +126,9 @@ def word_grams(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_grams, "l long, t long, half byte, w1 long, w2 long, w3 long")
 
 
-def _per_fold(*exprs: str) -> list:
-    """The SQL expressions for both halves of the texts: ``{f}`` is 0, then 1."""
-    return [F.expr(e.format(f=f)) for f in (0, 1) for e in exprs]
-
-
-def _contexts(x: str) -> list:
-    """Of each context: the sum of its counts and how many are 1, 2, and 3 or more."""
-    return _per_fold(f"sum({x}{{f}}) as {x}_sum{{f}}", *(
-        f"count_if({x}{{f}} {c}) as {x}_{i}{{f}}" for i, c in ((1, "= 1"), (2, "= 2"), (3, ">= 3"))))
-
-
-def _language_discounts(counts: DataFrame, x: str) -> DataFrame:
-    """Modified Kneser-Ney discounts of each language's counts 1, 2 and 3 or more (as ``_discounts``)."""
-    of = counts.groupBy("l").agg(*_per_fold(*(f"greatest(1, count_if({x}{{f}} = {i})) as t{i}{{f}}" for i in (1, 2, 3, 4))))
-    return of.select("l", *_per_fold(*(
-        f"least(greatest({i} - {i + 1} * (t1{{f}} / (t1{{f}} + 2 * t2{{f}})) * t{i + 1}{{f}} / t{i}{{f}}, 0.05D), {i} - 0.05D)"
-        f" as {x}_d{i}{{f}}" for i in (1, 2, 3))))
-
-
-def _interpolated(x: str, lower: str) -> str:
-    """Probability of a count in its context: discounted, plus what the context leaves to the lower order."""
-    cut = f"case when {x}{{f}} >= 3 then {x}_d3{{f}} when {x}{{f}} = 2 then {x}_d2{{f}} when {x}{{f}} = 1 then {x}_d1{{f}} else 0D end"
-    left = f"{x}_d1{{f}} * {x}_1{{f}} + {x}_d2{{f}} * {x}_2{{f}} + {x}_d3{{f}} * {x}_3{{f}}"
-    return f"if({x}_sum{{f}} > 0, ({x}{{f}} - {cut} + ({left}) * {lower}) / nullif({x}_sum{{f}}, 0), {lower})"
-
-
-def word_model(grams: DataFrame, keep: list[DataFrame]) -> DataFrame:
-    """l, w1, w2, w3, p0, p1: probability of each distinct trigram's last word under the model of each half of the
-    texts (null where the half has no text of the language). Frames written on the way are added to ``keep``."""
-    spark = grams.sparkSession
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        keep.append(materialize(spark, df, name))
-        release(spark)
-        return keep[-1]
-    three = written(grams.groupBy("l", "w1", "w2", "w3").agg(*_per_fold("count_if(half = {f}) as n{f}")), "quality-trigrams")
-    # the lower orders count the distinct words before them
-    two = written(three.groupBy("l", "w2", "w3").agg(*_per_fold("count_if(n{f} > 0) as k{f}")), "quality-bigrams")
-    one = two.groupBy("l", "w3").agg(*_per_fold("count_if(k{f} > 0) as u{f}"))
-    # one row per language
-    totals = one.groupBy("l").agg(*_contexts("u"), *_per_fold("count_if(u{f} > 0) as words{f}"))
-    discounts = written(totals.join(_language_discounts(one, "u"), "l").join(_language_discounts(two, "k"), "l")
-                        .join(_language_discounts(three, "n"), "l"), "quality-discounts")
-    p1 = one.join(F.broadcast(discounts), "l").select(
-        "l", "w3", *_per_fold("if(u_sum{f} > 0, " + _interpolated("u", "(1D / (words{f} + 1))") + ", null) as p1{f}"))
-    p2 = (two.join(two.groupBy("l", "w2").agg(*_contexts("k")), ["l", "w2"]).join(p1, ["l", "w3"])
-          .join(F.broadcast(discounts.select("l", *(f"k_d{i}{f}" for f in (0, 1) for i in (1, 2, 3)))), "l")
-          .select("l", "w2", "w3", *_per_fold(_interpolated("k", "p1{f}") + " as p2{f}")))
-    return (three.join(three.groupBy("l", "w1", "w2").agg(*_contexts("n")), ["l", "w1", "w2"]).join(p2, ["l", "w2", "w3"])
-            .join(F.broadcast(discounts.select("l", *(f"n_d{i}{f}" for f in (0, 1) for i in (1, 2, 3)))), "l")
-            .select("l", "w1", "w2", "w3", *_per_fold(_interpolated("n", "p2{f}") + " as p{f}")))
-
-
 def perplexities(docs: DataFrame) -> DataFrame:
     """t and log_perplexity (per word) of each distinct text, under the model of the half that it is not in."""
-    spark, keep = docs.sparkSession, []
-    keep.append(materialize(spark, distinct_texts(docs), "quality-texts"))
-    release(spark)
-    grams = word_grams(keep[0])
-    # one number for a trigram crosses the shuffle
-    gram = F.xxhash64("l", "w1", "w2", "w3").alias("gram")
-    model = word_model(grams, keep).select(gram, *_per_fold(f"cast(round(ln(p{{f}}) * {UNIT}) as int) as s{{f}}"))
-    found = grams.select("t", "half", gram).join(model, "gram").groupBy("t").agg(
-        (-F.sum(F.expr("if(half = 0, s1, s0)").cast("long")) / F.count("*") / UNIT).alias("log_perplexity"))
-    found = materialize(spark, found, "quality-perplexities")
-    discard(*keep)
-    release(spark)
-    return found
+    return word_model.perplexities(distinct_texts(docs))
 
 
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
@@ -233,7 +154,7 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     hashes, at = tx.windows(words, rows, REPEAT_WORDS)
     covered = np.zeros(len(words) + 1, np.int64)
     if len(at):
-        order = np.lexsort((hashes, rows[at]))
+        order = tx.order(hashes)     # of equal ones by row, as they are
         h, r = hashes[order], rows[at][order]
         same = (h[1:] == h[:-1]) & (r[1:] == r[:-1])
         twice = at[order[np.append(same, False) | np.append(False, same)]]

@@ -3,11 +3,14 @@
 import math
 import random
 import re
+import threading
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 
-from martforge.llm import quality
+from martforge.llm import quality, text as tx, word_model
+from martforge.session import shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -97,3 +100,47 @@ def test_words_out_of_order_are_rejected(spark):
     assert len(good) > 250 and sum(r.kept for r in good) >= 0.97 * len(good)
     assert not any(out[i].kept for i in out if 1000 <= i < 3000)
     assert len({(r.kept, r.log_perplexity) for i, r in out.items() if i >= 3000 or i == 0}) == 1
+
+
+def test_hashes_are_ordered_as_by_a_stable_sort():
+    rnd = np.random.default_rng(1)
+    for keys in (rnd.integers(0, 1 << 63, 1000).astype(np.uint64), rnd.integers(0, 40, 1000).astype(np.uint64), np.empty(0, np.uint64),
+                 rnd.integers(0, 3, 1000).astype(np.uint64) << np.uint64(62)):
+        assert np.array_equal(tx.order(keys), np.argsort(keys, kind="stable"))
+
+
+def test_rounds_ask_for_every_trigram_once_and_tables_stay_off_the_disk(spark):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randint(3, 9))) for _ in range(5000)]
+    rows = [(i, ["en", "de", None][i % 3], " ".join(rnd.choices(words, k=100))) for i in range(1000)]
+    docs = spark.createDataFrame(rows + rows[:300], "doc_id long, lang string, text string")
+    n_words = 100 * len(rows)
+    held = word_model.chunks(quality.distinct_texts(docs))
+    for context, rounds in ((False, word_model.PAIR_ROUNDS), (True, word_model.CONTEXT_ROUNDS)):
+        asked = sum(len(r.subs) // 6 for k in range(rounds) for r in
+                    held.mapInArrow(word_model._ask(context, k, rounds, 8), word_model.QUESTION).collect())
+        want = sum(len(set(zip(c.w1, c.w2, c.w3, c.lang))) for c in (word_model.Chunk(r.asDict()) for r in held.collect()))
+        assert asked == want
+    word_model.discard(held)
+    # all that is written on the way, as it grows; texts have 7 bytes a word, a table of trigrams some 30
+    folder = Path(shared_dir(spark))
+    old = set(folder.rglob("*.parquet"))
+    most, ended = [0], threading.Event()
+
+    def watch():
+        while not ended.wait(0.02):
+            size = 0
+            for p in set(folder.rglob("*.parquet")) - old:
+                try:
+                    size += p.stat().st_size
+                except FileNotFoundError:
+                    pass
+            most[0] = max(most[0], size)
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert quality.perplexities(docs).count() == len(rows)
+    finally:
+        ended.set()
+        watcher.join()
+    assert 0 < most[0] < 25 * n_words, most[0] / n_words
